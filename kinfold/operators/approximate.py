@@ -95,26 +95,17 @@ def assign_cells(df: DataFrame, cells: Cells) -> DataFrame:
     return df.filter(F.col("embedding").isNotNull()).withColumn("_cell", cell_of(F.col("embedding"), cells))
 
 
-def write_cells(df: DataFrame, cells: Cells, path: str, rows_per_file: int = 1_000_000) -> None:
+def write_cells(df: DataFrame, cells: Cells, path: str) -> None:
     """Store the records partitioned by cell, the centroids beside them.
 
-    Rows are spread by cell and by a salt from the id; a cell gets one salt per `rows_per_file` rows,
-    so a hot cell is written by many tasks and a small one makes one file.
+    Rows are rebalanced by cell before the write: adaptive execution merges small cells into one task
+    and splits a hot one over many, so files come out even whatever the sizes of the cells.
     """
-    spark = df.sparkSession
-    assigned = assign_cells(df, cells)
-    sizes = assigned.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_salts"))
-    salted = assigned.join(F.broadcast(sizes), "_cell").withColumn(
-        "_salt", F.pmod(F.xxhash64("id"), F.col("_salts"))
-    )
-    (
-        salted.repartition("_cell", "_salt")
-        .drop("_salt", "_salts")
-        .write.partitionBy("_cell")
-        .parquet(f"{path}/records")
-    )
+    assigned = assign_cells(df, cells).hint("rebalance", F.col("_cell"))
+    assigned.write.partitionBy("_cell").parquet(f"{path}/records")
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(cells.centroids)]
-    spark.createDataFrame(rows, "cell int, centroid array<double>").coalesce(1).write.parquet(f"{path}/centroids")
+    table = df.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
+    table.coalesce(1).write.parquet(f"{path}/centroids")
 
 
 def read_cells(spark: SparkSession, path: str) -> tuple[DataFrame, Cells]:

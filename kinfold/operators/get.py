@@ -47,7 +47,7 @@ def included_columns(
 ) -> list[str]:
     """Names of the columns a result shows under the given include flags."""
     names = ["id"]
-    if documents:
+    if documents and "document" in df.columns:
         names.append("document")
     if metadatas:
         names += [*(["metadata"] if "metadata" in df.columns else []), *promoted_columns(df)]
