@@ -264,6 +264,7 @@ class Collection:
             where_document,
             space=version.space,
             dim=version.dim,
+            lookup=MAX_LOOKUP,
             **options,
         )
 

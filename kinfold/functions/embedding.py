@@ -84,14 +84,21 @@ class HashedWords:
 
         def vector(slots: Column) -> Column:
             total = F.size(slots) - F.lit(self.dim + 1)
-            # Same length, shifted by one: the last position has no successor and is dropped.
-            places = F.transform(markers, lambda i: F.array_position(slots, i))
-            gaps = F.zip_with(F.slice(places, 2, self.dim), F.slice(places, 1, self.dim), lambda b, a: b - a - 1)
-            return F.transform(gaps, lambda n: F.when(n > 0, n.cast("double") / total).otherwise(0.0))
+            found = F.array(F.transform(markers, lambda i: F.array_position(slots, i)))
+
+            def weights(places: Column) -> Column:
+                later, earlier = F.slice(places, 2, self.dim), F.slice(places, 1, self.dim)
+                counts = F.zip_with(later, earlier, lambda b, a: b - a - 1)
+                return F.transform(counts, lambda n: F.when(n > 0, n.cast("double") / total).otherwise(0.0))
+
+            return F.get(F.transform(found, weights), F.lit(0))
 
         # One-element transforms name the intermediate arrays, so each is computed once per row.
         counted = F.transform(F.array(ordered), vector)
-        return F.get(F.transform(counted, l2_normalise), F.lit(0)).cast(EMBEDDING)
+        made = F.get(F.transform(counted, l2_normalise), F.lit(0)).cast(EMBEDDING)
+        # Never null; the fallback says so to the optimiser, which then drops null checks on the
+        # vector instead of computing it once more for each of them.
+        return F.coalesce(made, F.lit([0.0] * self.dim).cast(EMBEDDING))
 
 
 class Constant:

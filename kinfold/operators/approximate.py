@@ -21,17 +21,7 @@ from pyspark.sql import functions as F
 from kinfold.errors import ValidationError
 from kinfold.functions.filters import Filter, apply_filters
 from kinfold.operators.get import included_columns
-from kinfold.operators.search import (
-    HIT_BYTES,
-    QueryBlock,
-    _collect_block,
-    _query_blocks,
-    attach,
-    check_k,
-    check_space,
-    partial_hits,
-    rank_hits,
-)
+from kinfold.operators.search import HIT_BYTES, attach, check_k, check_space, hits_of_queries
 from kinfold.plans.sizing import broadcast_limit
 
 # Centroids travel with every task, so their number is bounded.
@@ -134,23 +124,11 @@ def approximate_knn_join(
     """
     check_k(k)
     check_space(space)
-    queries = queries.select(F.col(qid).alias("qid"), F.col(embedding).cast("array<float>").alias("v"))
-    total, columns, blocks = _query_blocks(queries, "qid", "v", cells.centroids.shape[1])
-    if blocks > 1:
-        raise ValidationError("too many queries for one pass: search them in parts")
-    qid_type = queries.schema["qid"].dataType
-    if blocks == 0:
-        raise ValidationError("there are no query vectors")
-    block = _collect_block(queries, space, k, columns)
-    visits = cells.visits(block.vectors, probes)
-    block = QueryBlock(block.qids, block.vectors, space, k, visits)
-    visited = np.flatnonzero(visits.any(axis=0)).tolist()
-    rows = assigned if len(visited) == cells.count else assigned.filter(F.col("_cell").isin(visited))
-    hits = rank_hits(partial_hits(apply_filters(rows, where, where_document), block, qid_type), k)
-    shown = [
-        c for c in included_columns(assigned, False, include_metadatas, include_documents) if c != "_cell"
-    ]
-    small = total * k * HIT_BYTES <= broadcast_limit(assigned.sparkSession)
+    rows = apply_filters(assigned, where, where_document)
+    dim = cells.centroids.shape[1]
+    hits, total = hits_of_queries(rows, queries, k, space, qid, embedding, dim, lambda v: cells.visits(v, probes))
+    shown = [c for c in included_columns(assigned, False, include_metadatas, include_documents) if c != "_cell"]
+    small = total * HIT_BYTES <= broadcast_limit(assigned.sparkSession)
     return attach(rows, hits, shown, small).select("qid", "rank", *shown, "distance")
 
 

@@ -17,10 +17,10 @@ Ids = Union[Sequence[str], DataFrame, None]
 
 # Above this many literals an id list becomes a joined DataFrame.
 MAX_ID_LITERALS = 1000
-# Up to this offset a page is cut from one top-n; beyond it the page start is located first.
-MAX_TOP_OFFSET = 10_000
-# Ranges of positions counted in one step when a page start is located.
-POSITION_BUCKETS = 4096
+# Up to this many rows, skipped ones included, a page is cut from one top-n.
+MAX_TOP_ROWS = 10_000
+# Ranges of positions counted in one step when a row is located.
+POSITION_RANGES = 4096
 
 
 def ids_frame(df: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -59,21 +59,35 @@ def included_columns(
 def page(df: DataFrame, limit: int = 0, offset: int = 0, after: tuple[int, int] | None = None) -> DataFrame:
     """One page in insertion order. A limit of 0 means no limit.
 
-    Small offsets plan as one distributed top-n. For a large offset, or one without a limit, the
-    key of the page start is found from row counts first, and the page is read by that key: no task
-    ever holds the skipped rows. `after` continues behind a known key and needs no offset.
+    A page near the start plans as one distributed top-n and comes back in order. Further on, or
+    when it is large, the keys of its first row and of the row behind it are found from row counts,
+    and the page is what lies between: no task ever holds skipped rows or the whole page.
+    `after` continues behind a known key and needs no offset.
     """
     if limit < 0 or offset < 0:
         raise ValidationError("limit and offset must not be negative")
     if after is not None:
-        batch, pos = after
-        df = df.filter((F.col("_batch") > batch) | ((F.col("_batch") == batch) & (F.col("_pos") > pos)))
-    if offset and (limit == 0 or offset > MAX_TOP_OFFSET):
-        df, offset = _from_offset(df, offset), 0
-    if limit == 0:
-        return df
-    ordered = df.orderBy(*ORDER)
-    return (ordered.offset(offset) if offset else ordered).limit(limit)
+        df = df.filter(~_before(after, inclusive=True))
+    if limit and offset + limit <= MAX_TOP_ROWS:
+        ordered = df.orderBy(*ORDER)
+        return (ordered.offset(offset) if offset else ordered).limit(limit)
+    rows = df
+    if offset:
+        start = _key_at(df, offset)
+        if start is None:
+            return df.filter(F.lit(False))
+        rows = rows.filter(~_before(start))
+    if limit:
+        end = _key_at(df, offset + limit)
+        if end is not None:
+            rows = rows.filter(_before(end))
+    return rows
+
+
+def _before(key: tuple[int, int], inclusive: bool = False) -> Column:
+    batch, pos = F.col("_batch"), F.col("_pos")
+    inside = pos <= key[1] if inclusive else pos < key[1]
+    return (batch < key[0]) | ((batch == key[0]) & inside)
 
 
 def _locate(counts: DataFrame, key: str, skip: int) -> tuple[int, int] | None:
@@ -83,35 +97,29 @@ def _locate(counts: DataFrame, key: str, skip: int) -> tuple[int, int] | None:
     return (found[0][key], found[0]["upto"] - found[0]["n"]) if found else None
 
 
-def _from_offset(df: DataFrame, offset: int) -> DataFrame:
-    """`df` without its first `offset` rows in insertion order.
+def _key_at(df: DataFrame, number: int) -> tuple[int, int] | None:
+    """The key of row `number` (from 0) in insertion order, None if there are fewer rows.
 
-    The start is narrowed down by row counts: first the batch, then ever smaller ranges of
-    positions, so only counts and at most MAX_TOP_OFFSET keys are ever brought together.
+    The row is narrowed down by row counts: first the batch, then ever smaller ranges of positions,
+    so only counts and at most MAX_TOP_ROWS keys are ever brought together.
     """
     rows = F.count(F.lit(1)).alias("n")
-    found = _locate(df.groupBy("_batch").agg(rows), "_batch", offset)
+    found = _locate(df.groupBy("_batch").agg(rows), "_batch", number)
     if found is None:
-        return df.filter(F.lit(False))
+        return None
     batch, before = found
-    skip = offset - before
-    here = F.col("_batch") == batch
-    inside = df.filter(here).select("_pos")
+    skip = number - before
+    inside = df.filter(F.col("_batch") == batch).select("_pos")
     low, high = inside.agg(F.min("_pos"), F.max("_pos")).first()
-    while skip > MAX_TOP_OFFSET:
-        width = max(1, -(-(high - low + 1) // POSITION_BUCKETS))
-        bucket = F.floor((F.col("_pos") - low) / width).alias("_bucket")
+    while skip > MAX_TOP_ROWS and low < high:
+        width = -(-(high - low + 1) // POSITION_RANGES)
         part = inside.filter(F.col("_pos").between(low, high))
-        number, before = _locate(part.groupBy(bucket).agg(rows), "_bucket", skip)
+        ranges = part.groupBy(F.floor((F.col("_pos") - low) / width).alias("_range")).agg(rows)
+        at, before = _locate(ranges, "_range", skip)
         skip -= before
-        low = low + number * width
-        high = min(high, low + width - 1)
-        if width == 1:
-            break
-    if skip:
-        part = inside.filter(F.col("_pos").between(low, high))
-        low = part.orderBy("_pos").offset(skip).limit(1).first()["_pos"]
-    return df.filter((F.col("_batch") > batch) | (here & (F.col("_pos") >= low)))
+        low, high = low + at * width, min(high, low + (at + 1) * width - 1)
+    part = inside.filter(F.col("_pos").between(low, high))
+    return batch, part.orderBy("_pos").offset(skip).limit(1).first()["_pos"]
 
 
 def get(

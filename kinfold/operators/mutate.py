@@ -18,7 +18,7 @@ from kinfold.errors import ValidationError
 from kinfold.functions.filters import Filter, document_column, where_column
 from kinfold.functions.values import drop_nulls, merge, typed_slot
 from kinfold.operators.get import MAX_ID_LITERALS, Ids, ids_frame
-from kinfold.plans.sizing import broadcast_if_small, broadcast_limit, row_bytes
+from kinfold.plans.sizing import broadcast_if_small, broadcast_limit, fits, row_bytes
 from kinfold.schema import ORDER, RESERVED, conform, empty_as_null, promoted_columns
 
 
@@ -74,10 +74,7 @@ def is_small(batch: DataFrame, facts: BatchFacts) -> bool:
 
 
 def _small(batch: DataFrame, small: bool | None) -> bool:
-    if small is not None:
-        return small
-    weight = batch.agg(F.coalesce(F.sum(row_bytes(batch.schema)), F.lit(0)).alias("b")).first()["b"]
-    return weight <= broadcast_limit(batch.sparkSession)
+    return fits(batch) if small is None else small
 
 
 def _offer(batch: DataFrame, small: bool) -> DataFrame:

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,13 @@ from kinfold.schema import ORDER
 
 # Cells of one distance matrix inside a task (8 bytes each).
 MATRIX_CELLS = 4_000_000
+# Vector components taken from a batch at once.
+VECTOR_CELLS = 4_000_000
+# Values of one list in a filter that reaches Parquet, the default of
+# spark.sql.parquet.pushdown.inFilterThreshold.
+PUSHED_VALUES = 10
+# Rows of one result batch.
+OUTPUT_ROWS = 50_000
 # Assumed size of one hit when the hits are weighed for a broadcast.
 HIT_BYTES = 256
 # Vector components recomputed at once when distances of kept pairs are made exact.
@@ -59,16 +67,22 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def _rough(x: np.ndarray, q: np.ndarray, space: str) -> tuple[np.ndarray, np.ndarray]:
     """Distances (query x row) by one matrix product, and a bound of their rounding error per query."""
-    products = q @ x.T
     xx, qq = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", q, q)
     slack = 1e-15 * (x.shape[1] + 8)
     reach = xx.max(initial=0.0)
+    if space == "l2" and len(q) < 8:
+        return xx[None, :] + qq[:, None] - 2.0 * (q @ x.T), 4 * slack * (reach + qq)
     if space == "l2":
-        return xx[None, :] + qq[:, None] - 2.0 * products, 4 * slack * (reach + qq)
+        # |x - q|^2 = |x|^2 + |q|^2 - 2xq, with the first two terms as extra components of the product:
+        # one pass over the large matrix instead of three.
+        left = np.column_stack([q * -2.0, np.ones(len(q)), qq])
+        return left @ np.column_stack([x, xx, np.ones(len(x))]).T, 4 * slack * (reach + qq)
     if space == "ip":
-        return 1.0 - products, 4 * slack * (1.0 + np.sqrt(reach * qq))
-    norms = np.sqrt(xx[None, :] * qq[:, None])
+        return 1.0 - q @ x.T, 4 * slack * (1.0 + np.sqrt(reach * qq))
     with np.errstate(divide="ignore", invalid="ignore"):
+        # Scaling first would lose zero vectors: their distance is 1 by definition.
+        products = q @ x.T
+        norms = np.sqrt(qq)[:, None] * np.sqrt(xx)[None, :]
         return np.where(norms == 0.0, 1.0, 1.0 - products / norms), np.full(len(q), 8 * slack)
 
 
@@ -108,27 +122,45 @@ def _rank_within(sorted_keys: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """The k best rows per query seen so far in one task."""
+    """The k best rows per query seen so far in one task: one line of k places per query."""
 
     def __init__(self, queries: int, k: int):
         self.k = k
         self.kth = np.full(queries, np.inf)
-        self.q = np.empty(0, np.int64)
-        self.distance = np.empty(0)
-        self.batch = np.empty(0, np.int64)
-        self.pos = np.empty(0, np.int64)
-        self.ids = np.empty(0, object)
+        self.used = np.zeros((queries, k), bool)
+        self.distance = np.empty((queries, k))
+        self.batch = np.empty((queries, k), np.int64)
+        self.pos = np.empty((queries, k), np.int64)
+        self.ids = np.empty((queries, k), object)
 
     def add(self, q, distance, batch, pos, ids) -> None:
-        q, distance = np.r_[self.q, q], np.r_[self.distance, distance]
-        batch, pos, ids = np.r_[self.batch, batch], np.r_[self.pos, pos], np.r_[self.ids, ids]
+        """Merge new rows into the lines of their queries; other lines are not looked at."""
+        lines = np.unique(q)
+        at, place = np.nonzero(self.used[lines])
+        held = (lines[at], place)
+        q, distance = np.r_[held[0], q], np.r_[self.distance[held], distance]
+        batch, pos, ids = np.r_[self.batch[held], batch], np.r_[self.pos[held], pos], np.r_[self.ids[held], ids]
         order = np.lexsort((pos, batch, distance, q))
         rank = _rank_within(q[order])
         keep = order[rank < self.k]
-        last = order[rank == self.k - 1]
-        self.kth[q[last]] = np.where(np.isnan(distance[last]), np.inf, distance[last])
-        self.q, self.distance, self.batch = q[keep], distance[keep], batch[keep]
-        self.pos, self.ids = pos[keep], ids[keep]
+        line = (q[keep], rank[rank < self.k])
+        self.used[line] = True
+        self.distance[line], self.batch[line], self.pos[line], self.ids[line] = (
+            distance[keep],
+            batch[keep],
+            pos[keep],
+            ids[keep],
+        )
+        full = lines[self.used[lines, -1]]
+        last = self.distance[full, -1]
+        self.kth[full] = np.where(np.isnan(last), np.inf, last)
+
+
+def _within(rough: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Flat places of the distances within the bound of their query."""
+    with np.errstate(invalid="ignore"):
+        # Written as a negation so that undefined distances stay in and rank last.
+        return np.flatnonzero(~(rough > bound[:, None]))
 
 
 def _compare(best: _Best, block: QueryBlock, queries: np.ndarray, x, batch, pos, ids: pa.Array) -> None:
@@ -139,13 +171,14 @@ def _compare(best: _Best, block: QueryBlock, queries: np.ndarray, x, batch, pos,
         q = block.vectors[chosen]
         rough, slack = _rough(x, q, block.space)
         bound = best.kth[chosen]
-        if len(x) > block.k:
-            bound = np.fmin(bound, np.partition(rough, block.k - 1, axis=1)[:, block.k - 1])
-        with np.errstate(invalid="ignore"):
-            # Written as a negation so that undefined distances stay in and rank last.
-            near = ~(rough > (bound + 2 * slack)[:, None])
-        mine, rows = np.nonzero(near)
-        if len(rows) > 8 * block.k * len(chosen):
+        near = _within(rough, bound + 2 * slack)
+        few = 8 * block.k * len(chosen)
+        if len(near) > few and len(x) > block.k:
+            # Not enough known yet to tell rows apart: the k-th best of this batch is a bound too.
+            here = np.partition(rough, block.k - 1, axis=1)[:, block.k - 1]
+            near = _within(rough, np.fmin(bound, here) + 2 * slack)
+        mine, rows = np.divmod(near, len(x))
+        if len(rows) > few:
             # Many ties: copies of one vector. Those with k equal ones before them drop out.
             distinct = np.zeros(len(x), bool)
             distinct[_first_copies(x, batch, pos, block.k)] = True
@@ -161,33 +194,39 @@ def _compare(best: _Best, block: QueryBlock, queries: np.ndarray, x, batch, pos,
 
 
 def _kernel(block: QueryBlock) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    dim = block.vectors.shape[1]
+    everyone = np.arange(len(block.vectors))
+    step = max(1, VECTOR_CELLS // dim)
+
+    def offer(best: _Best, rows: pa.RecordBatch) -> None:
+        x = _matrix(rows.column("embedding"), dim)
+        batch = rows.column("_batch").fill_null(0).to_numpy(zero_copy_only=False)
+        pos = rows.column("_pos").fill_null(0).to_numpy(zero_copy_only=False)
+        ids = rows.column("id")
+        if block.visits is None:
+            _compare(best, block, everyone, x, batch, pos, ids)
+            return
+        cells = rows.column("_cell").to_numpy(zero_copy_only=False)
+        for cell in np.unique(cells):
+            queries, here = np.flatnonzero(block.visits[:, cell]), np.flatnonzero(cells == cell)
+            if len(queries):
+                _compare(best, block, queries, x[here], batch[here], pos[here], ids.take(pa.array(here)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(len(block.vectors), block.k)
-        everyone = np.arange(len(block.vectors))
-        for rows in batches:
-            if not rows.num_rows:
-                continue
-            x = _matrix(rows.column("embedding"), block.vectors.shape[1])
-            batch = rows.column("_batch").fill_null(0).to_numpy(zero_copy_only=False)
-            pos = rows.column("_pos").fill_null(0).to_numpy(zero_copy_only=False)
-            ids = rows.column("id")
-            if block.visits is None:
-                _compare(best, block, everyone, x, batch, pos, ids)
-                continue
-            cells = rows.column("_cell").to_numpy(zero_copy_only=False)
-            for cell in np.unique(cells):
-                queries, here = np.flatnonzero(block.visits[:, cell]), np.flatnonzero(cells == cell)
-                if len(queries):
-                    taken = ids.take(pa.array(here))
-                    _compare(best, block, queries, x[here], batch[here], pos[here], taken)
-        if len(best.q):
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                offer(best, batch.slice(at, step))
+        q, place = np.nonzero(best.used)
+        for at in range(0, len(q), OUTPUT_ROWS):
+            line = (q[at : at + OUTPUT_ROWS], place[at : at + OUTPUT_ROWS])
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.qids.take(pa.array(best.q)),
-                    pa.array(best.ids, pa.string()),
-                    pa.array(best.distance),
-                    pa.array(best.batch),
-                    pa.array(best.pos),
+                    block.qids.take(pa.array(line[0])),
+                    pa.array(best.ids[line], pa.string()),
+                    pa.array(best.distance[line]),
+                    pa.array(best.batch[line]),
+                    pa.array(best.pos[line]),
                 ],
                 names=["qid", "id", "distance", "_batch", "_pos"],
             )
@@ -255,19 +294,12 @@ def attach(corpus: DataFrame, hits: DataFrame, columns: Sequence[str], small: bo
 
 
 def _nearest(
-    corpus: DataFrame,
-    vector: Sequence[float],
-    k: int,
-    where: Filter = None,
-    where_document: Filter = None,
-    space: str = "l2",
-    dim: int | None = None,
+    rows: DataFrame, vector: Sequence[float], k: int, space: str = "l2", dim: int | None = None
 ) -> DataFrame:
     """Id, distance and position of the k nearest records of one vector."""
     check_k(k)
     check_space(space)
     q = check_vector(vector, dim)
-    rows = apply_filters(corpus, where, where_document)
     block = QueryBlock(pa.array([0]), q[None, :], space, k)
     return partial_hits(rows, block, T.LongType()).orderBy("distance", *ORDER).limit(k).drop("qid")
 
@@ -289,40 +321,50 @@ def knn(
 
     Filters apply before the search, so k rows come back whenever k rows match.
     """
-    hits = _nearest(corpus, vector, k, where, where_document, space, dim)
+    rows = apply_filters(corpus, where, where_document)
+    hits = _nearest(rows, vector, k, space, dim)
     shown = included_columns(corpus, include_embeddings, include_metadatas, include_documents)
-    result = attach(corpus, hits, shown, small=k * HIT_BYTES <= broadcast_limit(corpus.sparkSession))
+    result = attach(rows, hits, shown, small=k * HIT_BYTES <= broadcast_limit(corpus.sparkSession))
     if result is not hits:
         result = result.orderBy("distance", *ORDER).limit(k)
     return result.select(*shown, *(["distance"] if include_distances else []))
 
 
+def collected_hits(hits: DataFrame) -> tuple[Column, DataFrame]:
+    """A bounded number of hits, computed now: a filter on their positions, and the hits as local rows."""
+    found = hits.collect()
+    at: dict[int, list[int]] = {}
+    for r in found:
+        at.setdefault(r["_batch"], []).append(r["_pos"])
+    place = F.lit(False)
+    for batch, positions in at.items():
+        # Short lists, because Parquet skips row groups value by value only for short ones.
+        for n in range(0, len(positions), PUSHED_VALUES):
+            place = place | ((F.col("_batch") == batch) & F.col("_pos").isin(positions[n : n + PUSHED_VALUES]))
+    return place, hits.sparkSession.createDataFrame(found, hits.schema)
+
+
 def knn_lookup(
     corpus: DataFrame,
     vector: Sequence[float],
     k: int = 10,
+    where: Filter = None,
+    where_document: Filter = None,
+    space: str = "l2",
     include_metadatas: bool = True,
     include_documents: bool = True,
     include_distances: bool = True,
     include_embeddings: bool = False,
-    **options: Any,
+    dim: int | None = None,
 ) -> DataFrame:
     """As :func:`knn`, for few results over stored records: two jobs instead of one.
 
     The first finds the k hits from vectors alone. The second reads just these records, by a filter
     on their position that lets Parquet skip row groups without a hit.
     """
-    spark = corpus.sparkSession
-    found = _nearest(corpus, vector, k, **options).collect()
+    found = _nearest(apply_filters(corpus, where, where_document), vector, k, space, dim)
     shown = included_columns(corpus, include_embeddings, include_metadatas, include_documents)
-    schema = "id string, distance double, _batch bigint, _pos bigint"
-    hits = spark.createDataFrame([(r["id"], r["distance"], r["_batch"], r["_pos"]) for r in found], schema)
-    at: dict[int, list[int]] = {}
-    for r in found:
-        at.setdefault(r["_batch"], []).append(r["_pos"])
-    place = F.lit(False)
-    for batch, positions in at.items():
-        place = place | ((F.col("_batch") == batch) & F.col("_pos").isin(positions))
+    place, hits = collected_hits(found)
     result = attach(corpus.filter(place), hits, shown, small=True)
     ordered = result.orderBy("distance", *ORDER).limit(k)
     return ordered.select(*shown, *(["distance"] if include_distances else []))
@@ -355,12 +397,6 @@ def _query_blocks(queries: DataFrame, qid: str, embedding: str, dim: int | None)
     return s["queries"], s["low"], 1 if size <= limit else -(-size * 5 // (limit * 4))
 
 
-def _collect_block(queries: DataFrame, space: str, k: int, columns: int) -> QueryBlock:
-    table = queries.toArrow().combine_chunks()
-    vectors = _matrix(table.column("v").combine_chunks(), columns)
-    return QueryBlock(table.column("qid").combine_chunks(), vectors, space, k)
-
-
 def knn_join(
     corpus: DataFrame,
     queries: DataFrame,
@@ -374,42 +410,62 @@ def knn_join(
     include_documents: bool = True,
     include_embeddings: bool = False,
     dim: int | None = None,
+    lookup: int = 0,
 ) -> DataFrame:
     """The k nearest records of every query vector: columns qid, rank, distance and the record.
 
     The query side is measured. Up to the broadcast bound it is one block; beyond it, it is cut into
     blocks within the bound, each compared with the whole corpus and its hits checkpointed. Query ids
-    must be unique.
+    must be unique. If there can be no more than `lookup` hits, they are found first and their records
+    then read by position, as in :func:`knn_lookup`.
     """
     check_k(k)
     check_space(space)
+    shown = included_columns(corpus, include_embeddings, include_metadatas, include_documents)
+    rows = apply_filters(corpus, where, where_document)
+    hits, total = hits_of_queries(rows, queries, k, space, qid, embedding, dim)
+    small = total * HIT_BYTES <= broadcast_limit(corpus.sparkSession)
+    if 0 < total <= lookup:
+        place, hits = collected_hits(hits)
+        rows = corpus.filter(place)
+    return attach(rows, hits, shown, small).select("qid", "rank", *shown, "distance")
+
+
+def hits_of_queries(
+    rows: DataFrame,
+    queries: DataFrame,
+    k: int,
+    space: str,
+    qid: str,
+    embedding: str,
+    dim: int | None = None,
+    visits: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> tuple[DataFrame, int]:
+    """Ranked hits of all queries, and how many there can be.
+
+    `visits`, if given, tells for query vectors which cells each may visit.
+    """
     queries = queries.select(F.col(qid).alias("qid"), F.col(embedding).cast("array<float>").alias("v"))
     qid_type = queries.schema["qid"].dataType
-    shown = included_columns(corpus, include_embeddings, include_metadatas, include_documents)
     total, columns, blocks = _query_blocks(queries, "qid", "v", dim)
-    rows = apply_filters(corpus, where, where_document)
 
     def search(part: DataFrame) -> DataFrame:
-        return rank_hits(partial_hits(rows, _collect_block(part, space, k, columns), qid_type), k)
+        table = part.toArrow().combine_chunks()
+        vectors = _matrix(table.column("v").combine_chunks(), columns)
+        mask = visits(vectors) if visits else None
+        block = QueryBlock(table.column("qid").combine_chunks(), vectors, space, k, mask)
+        visited = rows if mask is None else rows.filter(F.col("_cell").isin(np.flatnonzero(mask.any(axis=0)).tolist()))
+        return rank_hits(partial_hits(visited, block, qid_type), k)
 
     if blocks == 0:
-        hits = rank_hits(partial_hits(rows.filter(F.lit(False)), _no_queries(qid_type, space, k), qid_type), k)
-    elif blocks == 1:
-        hits = search(queries)
-    else:
-        ensure_checkpoint_dir(corpus)
-        number = F.pmod(F.xxhash64("qid"), F.lit(blocks))
-        parts = [search(queries.filter(number == b)).checkpoint() for b in range(blocks)]
-        hits = parts[0]
-        for part in parts[1:]:
-            hits = hits.unionByName(part)
-    small = total * k * HIT_BYTES <= broadcast_limit(corpus.sparkSession)
-    result = attach(corpus, hits, shown, small)
-    return result.select("qid", "rank", *shown, "distance")
-
-
-def _no_queries(qid_type: T.DataType, space: str, k: int) -> QueryBlock:
-    return QueryBlock(pa.array([], pa.int64()), np.empty((0, 1)), space, k)
+        nothing = QueryBlock(pa.array([], pa.int64()), np.empty((0, 1)), space, k)
+        return rank_hits(partial_hits(rows.filter(F.lit(False)), nothing, qid_type), k), 0
+    if blocks == 1:
+        return search(queries), total * k
+    ensure_checkpoint_dir(rows)
+    number = F.pmod(F.xxhash64("qid"), F.lit(blocks))
+    parts = [search(queries.filter(number == b)).checkpoint() for b in range(blocks)]
+    return reduce(DataFrame.unionByName, parts), total * k
 
 
 def ensure_checkpoint_dir(df: DataFrame, fallback: str | None = None) -> None:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,7 +117,7 @@ def where_equals(t: Tables) -> DataFrame:
     return get_ops.where_equals(t.docs, "source", source).select("id", "document")
 
 
-_NOON = dt.datetime(2024, 1, 1, 12, 0, tzinfo=dt.timezone.utc)
+_NOON = dt.datetime(2024, 1, 1, 12, 0)
 
 
 def _events(t: Tables, promoted: bool) -> DataFrame:
@@ -139,8 +137,8 @@ def _moment_query(name: str, promoted: bool) -> None:
         "WHERE ts >= TIMESTAMP '2024-01-01 12:00:00' AND value < 20.5",
     )
     def moment(t: Tables) -> DataFrame:
-        after: dict[str, Any] = {"ts": {"$gte": _NOON if not promoted else _NOON.replace(tzinfo=None)}}
-        return get_ops.get(_events(t, promoted), where={**after, "value": {"$lt": 20.5}}).select("id")
+        filter = Where().greater_than_or_equal("ts", _NOON).less_than("value", 20.5)
+        return get_ops.where(_events(t, promoted), filter).select("id")
 
 
 _moment_query("c22_datetime", True)

@@ -138,7 +138,7 @@ def normalised(t: Tables) -> DataFrame:
 
 @query("e1_count", "SELECT count(*) AS count FROM documents")
 def count(t: Tables) -> DataFrame:
-    return get_ops.count(t.docs)
+    return get_ops.count(as_collection(t["documents"], id="doc_id", document="text", order="doc_id"))
 
 
 @query("g1_limit", f"WITH {DOCS} SELECT id, document FROM docs ORDER BY pos LIMIT 20")
@@ -381,7 +381,8 @@ def normalised_vectors(t: Tables) -> DataFrame:
 
 
 def _components(df: DataFrame, key: str) -> DataFrame:
-    parts = df.select(key, F.posexplode("embedding").alias("place", "x"))
+    # The outer form, because the inner one filters on the size and computes the vector again for it.
+    parts = df.select(key, F.posexplode_outer("embedding").alias("place", "x"))
     return parts.select(key, (F.col("place") + 1).cast("bigint").alias("place"), rounded(F.col("x").cast("double"), "x"))
 
 

@@ -96,7 +96,7 @@ def test_copies_without_the_shortcut_agree(spark, monkeypatch):
     n = np.arange(len(v))
     search._compare(best, block, np.arange(4), v, n * 0, n, ids)
     for i in range(4):
-        mine = sorted(best.pos[best.q == i].tolist())
+        mine = sorted(best.pos[i].tolist())
         d = ((v - block.vectors[i]) ** 2).sum(1)
         assert mine == sorted(np.lexsort((n, d))[:3].tolist())
 
