@@ -1,9 +1,12 @@
-"""Approximate nearest-neighbour search over cells.
+"""Nearest-neighbour search over cells: approximate, or exact with cells skipped by their radius.
 
 Vectors are assigned to the nearest of a bounded number of centroids, their *cell*. Stored, the cell
 is a partition column, so a query that visits a few cells reads only their files. A cell with a large
 share of the rows is simply many files: nothing is grouped or shuffled by cell at query time.
 The search inside the visited cells is the exact one.
+
+With the radius of every cell known (the largest distance of a member to the centroid) a cell can be
+ruled out for certain: no member is nearer to the query than the centroid is, less the radius.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from kinfold.errors import ValidationError
 from kinfold.functions.filters import Filter, apply_filters
 from kinfold.operators.get import included_columns
-from kinfold.operators.search import HIT_BYTES, attach, check_k, check_space, hits_of_queries
+from kinfold.operators.search import HIT_BYTES, attach, check_k, check_space, ensure_checkpoint_dir, hits_of_queries
 from kinfold.plans.sizing import broadcast_limit
 
 # Centroids travel with every task, so their number is bounded.
@@ -30,9 +33,10 @@ MAX_CELLS = 16_384
 
 @dataclass(frozen=True)
 class Cells:
-    """Centroids of the cells, one row each."""
+    """Centroids of the cells, one row each, and their radii if they were measured."""
 
     centroids: np.ndarray
+    radii: np.ndarray | None = None
 
     @property
     def count(self) -> int:
@@ -44,6 +48,15 @@ class Cells:
         gaps = np.einsum("ij,ij->i", c, c)[None, :] - 2.0 * (vectors @ c.T)
         return np.argsort(gaps, axis=1, kind="stable")[:, : max(1, min(probes, self.count))]
 
+    def reachable(self, vectors: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Which cells can hold a row within the (squared) bound of each query; all, if it has none."""
+        mask = np.empty((len(vectors), self.count), bool)
+        for i, (v, bound) in enumerate(zip(vectors, bounds)):
+            lowest = np.sqrt(np.square(self.centroids - v).sum(axis=1)) - self.radii
+            # A little slack for rounding: visiting a cell too many is harmless.
+            mask[i] = ~(np.maximum(lowest, 0.0) ** 2 > bound * (1 + 1e-9) + 1e-12)
+        return mask
+
     def visits(self, vectors: np.ndarray, probes: int) -> np.ndarray:
         mask = np.zeros((len(vectors), self.count), bool)
         np.put_along_axis(mask, self.nearest(vectors, probes), True, axis=1)
@@ -85,23 +98,46 @@ def assign_cells(df: DataFrame, cells: Cells) -> DataFrame:
     return df.filter(F.col("embedding").isNotNull()).withColumn("_cell", cell_of(F.col("embedding"), cells))
 
 
+def with_radii(assigned: DataFrame, cells: Cells) -> Cells:
+    """`cells` with the largest distance of a member to its centroid; an empty cell has radius 0."""
+
+    @F.pandas_udf("double")
+    def gap(vectors: pd.Series, numbers: pd.Series) -> pd.Series:
+        out = np.empty(len(vectors))
+        for a in range(0, len(vectors), 1024):
+            x = np.stack(vectors.iloc[a : a + 1024]).astype(np.float64)
+            out[a : a + 1024] = np.sqrt(np.square(x - cells.centroids[numbers.iloc[a : a + 1024]]).sum(axis=1))
+        return pd.Series(out)
+
+    # One number per cell, and the number of cells is bounded.
+    sizes = assigned.groupBy("_cell").agg(F.max(gap("embedding", "_cell")).alias("radius")).collect()
+    radii = np.zeros(cells.count)
+    for r in sizes:
+        radii[r["_cell"]] = r["radius"]
+    return Cells(cells.centroids, radii)
+
+
 def write_cells(df: DataFrame, cells: Cells, path: str) -> None:
-    """Store the records partitioned by cell, the centroids beside them.
+    """Store the records partitioned by cell, the centroids and radii beside them.
 
     Rows are rebalanced by cell before the write: adaptive execution merges small cells into one task
     and splits a hot one over many, so files come out even whatever the sizes of the cells.
     """
     assigned = assign_cells(df, cells).hint("rebalance", F.col("_cell"))
     assigned.write.partitionBy("_cell").parquet(f"{path}/records")
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(cells.centroids)]
-    table = df.sparkSession.createDataFrame(rows, "cell int, centroid array<double>")
+    spark = df.sparkSession
+    measured = with_radii(spark.read.parquet(f"{path}/records"), cells)
+    rows = [(i, [float(x) for x in c], float(measured.radii[i])) for i, c in enumerate(cells.centroids)]
+    table = spark.createDataFrame(rows, "cell int, centroid array<double>, radius double")
     table.coalesce(1).write.parquet(f"{path}/centroids")
 
 
 def read_cells(spark: SparkSession, path: str) -> tuple[DataFrame, Cells]:
     """Records and centroids as :func:`write_cells` stored them."""
     table = spark.read.parquet(f"{path}/centroids").orderBy("cell").collect()
-    return spark.read.parquet(f"{path}/records"), Cells(np.array([r["centroid"] for r in table]))
+    return spark.read.parquet(f"{path}/records"), Cells(
+        np.array([r["centroid"] for r in table]), np.array([r["radius"] for r in table])
+    )
 
 
 def approximate_knn_join(
@@ -126,7 +162,50 @@ def approximate_knn_join(
     check_space(space)
     rows = apply_filters(assigned, where, where_document)
     dim = cells.centroids.shape[1]
-    hits, total = hits_of_queries(rows, queries, k, space, qid, embedding, dim, lambda v: cells.visits(v, probes))
+    hits, total = hits_of_queries(rows, queries, k, space, qid, embedding, dim, lambda v, _: cells.visits(v, probes))
+    shown = [c for c in included_columns(assigned, False, include_metadatas, include_documents) if c != "_cell"]
+    small = total * HIT_BYTES <= broadcast_limit(assigned.sparkSession)
+    return attach(rows, hits, shown, small).select("qid", "rank", *shown, "distance")
+
+
+def pruned_knn_join(
+    assigned: DataFrame,
+    cells: Cells,
+    queries: DataFrame,
+    k: int = 10,
+    probes: int = 4,
+    where: Filter = None,
+    where_document: Filter = None,
+    qid: str = "qid",
+    embedding: str = "embedding",
+    include_metadatas: bool = True,
+    include_documents: bool = True,
+) -> DataFrame:
+    """The exact k nearest records (squared L2) of every query vector, reading only cells in reach.
+
+    The `probes` nearest cells give the distance of a k-th record, which bounds that of the true one.
+    A second pass reads the cells that are not ruled out by that bound. `cells` needs radii.
+    """
+    check_k(k)
+    if cells.radii is None:
+        raise ValidationError("the radii of the cells are not known: see with_radii")
+    rows = apply_filters(assigned, where, where_document)
+    dim = cells.centroids.shape[1]
+    options = dict(space="l2", qid="qid", embedding="v", dim=dim)
+    queries = queries.select(F.col(qid).alias("qid"), F.col(embedding).cast("array<float>").alias("v"))
+    first, _ = hits_of_queries(rows, queries, k, visits=lambda v, _: cells.visits(v, probes), **options)
+    # One number per query, used twice below: kept, so that the first pass runs once.
+    ensure_checkpoint_dir(rows)
+    kth = first.filter(F.col("rank") == k).select("qid", F.col("distance").alias("bound")).checkpoint()
+    bounded = queries.join(kth, "qid", "left").select("qid", "v", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    hits, total = hits_of_queries(
+        rows,
+        bounded,
+        k,
+        visits=lambda v, table: cells.reachable(v, table.column("bound").to_numpy()),
+        extra=["bound"],
+        **options,
+    )
     shown = [c for c in included_columns(assigned, False, include_metadatas, include_documents) if c != "_cell"]
     small = total * HIT_BYTES <= broadcast_limit(assigned.sparkSession)
     return attach(rows, hits, shown, small).select("qid", "rank", *shown, "distance")

@@ -9,6 +9,7 @@ joined to the few hits afterwards.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -439,20 +440,22 @@ def hits_of_queries(
     qid: str,
     embedding: str,
     dim: int | None = None,
-    visits: Callable[[np.ndarray], np.ndarray] | None = None,
+    visits: Callable[[np.ndarray, pa.Table], np.ndarray] | None = None,
+    extra: Sequence[str] = (),
 ) -> tuple[DataFrame, int]:
     """Ranked hits of all queries, and how many there can be.
 
-    `visits`, if given, tells for query vectors which cells each may visit.
+    `visits`, if given, tells for a block of queries (vectors, and a table with the `extra` columns)
+    which cells each may visit.
     """
-    queries = queries.select(F.col(qid).alias("qid"), F.col(embedding).cast("array<float>").alias("v"))
+    queries = queries.select(F.col(qid).alias("qid"), F.col(embedding).cast("array<float>").alias("v"), *extra)
     qid_type = queries.schema["qid"].dataType
     total, columns, blocks = _query_blocks(queries, "qid", "v", dim)
 
     def search(part: DataFrame) -> DataFrame:
         table = part.toArrow().combine_chunks()
         vectors = _matrix(table.column("v").combine_chunks(), columns)
-        mask = visits(vectors) if visits else None
+        mask = visits(vectors, table) if visits else None
         block = QueryBlock(table.column("qid").combine_chunks(), vectors, space, k, mask)
         visited = rows if mask is None else rows.filter(F.col("_cell").isin(np.flatnonzero(mask.any(axis=0)).tolist()))
         return rank_hits(partial_hits(visited, block, qid_type), k)
@@ -469,13 +472,19 @@ def hits_of_queries(
 
 
 def ensure_checkpoint_dir(df: DataFrame, fallback: str | None = None) -> None:
-    """Checkpoints go to the folder the cluster names; `fallback`, also shared, serves if it names none."""
+    """Checkpoints go to the folder the cluster names; `fallback`, also shared, serves if it names none.
+
+    Without either, a session on one machine gets a temporary folder and a cluster an error.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+        if not folder and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="kinfold-checkpoints-")
         if not folder:
             raise ValidationError("set spark.checkpoint.dir to a shared folder")
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
 
 
 def embed_text(df: DataFrame, text: str, embedder: Embedder | None) -> list[float]:

@@ -207,6 +207,16 @@ def approximate_all_cells(t: Tables) -> DataFrame:
     return found.select("qid", "id", "label", "rank", rounded("distance"))
 
 
+@query("d9_pruned_exact", f"WITH {VECS}, {MEANS} {_joined('means', 'l2', 10)}")
+def pruned_exact(t: Tables) -> DataFrame:
+    cells = approximate.train_cells(t.vecs, cells=16, iterations=3)
+    assigned = approximate.assign_cells(t.vecs, cells)
+    found = approximate.pruned_knn_join(
+        assigned, approximate.with_radii(assigned, cells), t.label_means(), k=10, probes=2
+    )
+    return found.select("qid", "id", "label", "rank", rounded("distance"))
+
+
 # ------------------------------------------------------------------------- result shapes
 
 

@@ -206,6 +206,11 @@ def test_cells(spark, tmp_path):
     assert key(every) == key(exact)
     few = approximate.approximate_knn_join(stored, again, queries, k=5, probes=2)
     assert approximate.recall(few, exact).first()["recall"] >= 0.9
+    pruned = approximate.pruned_knn_join(stored, again, queries, k=5, probes=1)
+    assert key(pruned) == key(exact)
+    reach = again.reachable(v[::29][:8].astype(np.float32).astype(float), np.full(8, 1.0))
+    assert reach.any(axis=1).all() and reach.mean() < 0.7
+    assert key(approximate.pruned_knn_join(stored, again, queries, k=200, probes=1)) == key(search.knn_join(df, queries, k=200))
     one = approximate.approximate_knn(stored, again, v[3], k=5, probes=8)
     assert found(one) == brute(v, v[3], 5)
     plan = approximate.approximate_knn(stored, again, v[3], k=5, probes=1)._jdf.queryExecution().executedPlan().toString()
