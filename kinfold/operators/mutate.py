@@ -1,7 +1,8 @@
 """Record mutations: each takes a collection and a batch and returns the new collection.
 
 The batch is measured first. Within the broadcast bound the collection is only scanned, never
-shuffled; beyond it the two sides meet in one shuffle join on the (unique) id.
+shuffled; beyond it the two sides meet in one shuffle join on the (unique) id. A batch is read more than once, so
+one that is costly to compute should be checkpointed or stored first, as `Collection` does.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ from kinfold.functions.filters import Where
 from kinfold.functions.text import contains, tokens
 from kinfold.operators import get as get_ops
 from kinfold.operators import mutate
+from kinfold.operators.search import ensure_checkpoint_dir
 from kinfold.plans.registry import DOCS, FULL, VECS, hashed_words, query
 from kinfold.plans.sizing import spread
 from kinfold.plans.tables import Tables, rounded
@@ -173,13 +174,16 @@ def deep_page(t: Tables) -> DataFrame:
 
 
 def _embedded_batch(t: Tables) -> DataFrame:
-    return as_collection(
+    """`documents` with vectors as a batch, checkpointed because a mutation reads its batch several times."""
+    made = as_collection(
         spread(t["documents"]),
         id="doc_id",
         embedding=HashedWords(DIM).embed(F.col("text")),
         document="text",
         order="doc_id",
     ).drop("metadata", "_batch")
+    ensure_checkpoint_dir(made)
+    return made.checkpoint()
 
 
 @query(

@@ -57,9 +57,10 @@ def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Redistribute input that has fewer splits than there are cores, before costly work per row.
+    """Redistribute input of few splits before costly work per row.
 
-    Tables of any size worth a cluster have more splits than that and pass unchanged.
+    A split without the start of a row group is empty, so a handful of splits can mean a single
+    busy task. Tables of any size worth a cluster have far more splits and pass unchanged.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
