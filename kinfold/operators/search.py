@@ -181,8 +181,9 @@ def _compare(best: _Best, block: QueryBlock, queries: np.ndarray, x, batch, pos,
         mine, rows = np.divmod(near, len(x))
         if len(rows) > few:
             # Many ties: copies of one vector. Those with k equal ones before them drop out.
+            offered = np.unique(rows)
             distinct = np.zeros(len(x), bool)
-            distinct[_first_copies(x, batch, pos, block.k)] = True
+            distinct[offered[_first_copies(x[offered], batch[offered], pos[offered], block.k)]] = True
             mine, rows = mine[distinct[rows]], rows[distinct[rows]]
         if len(rows):
             exact = _exact_in_slices(x, q, rows, mine, block.space)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinfold.functions.filters import Filter, Where
-from kinfold.functions.values import metadata_column
+from kinfold.functions.values import metadata_column, typed_slot
 from kinfold.operators import get as get_ops
 from kinfold.plans.registry import DOCS, query
 from kinfold.plans.tables import LABELS, Tables
@@ -16,8 +17,8 @@ from kinfold.schema import as_collection
 
 def _from_map(df: DataFrame) -> DataFrame:
     """The labels out of the metadata map, as plain columns."""
-    slot = {"lang": "s", "source": "s", "n_chars": "i", "quality": "i", "toxic": "i"}
-    return df.select("id", *[F.col("metadata")[n][slot[n]].alias(n) for n in LABELS])
+    types = {"lang": "string", "source": "string", "n_chars": "bigint", "quality": "int", "toxic": "int"}
+    return df.select("id", *[typed_slot(F.col("metadata")[n], T.DataType.fromDDL(types[n])).alias(n) for n in LABELS])
 
 
 def _filter_query(name: str, where: Filter, sql: str) -> None:

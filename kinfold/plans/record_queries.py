@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinfold.collection import Workspace
 from kinfold.functions import values
@@ -38,7 +39,7 @@ def _workspace(t: Tables) -> Workspace:
     return Workspace(t.spark, f"{root}/workspace-{uuid.uuid4().hex}")
 
 
-@query("a3_reopen", f"WITH {DOCS}, {FULL} SELECT id, document, lang, n_chars, len(embedding) AS dim FROM full_docs")
+@query("a3_reopen", f"WITH {DOCS}, {FULL} SELECT id, document, lang, n_chars, CAST(len(embedding) AS INTEGER) AS dim FROM full_docs")
 def reopen(t: Tables) -> DataFrame:
     space = _workspace(t)
     space.create_collection("docs", promote={"lang": "string", "n_chars": "bigint"}).add(t.full)
@@ -109,7 +110,7 @@ def get_defaults(t: Tables) -> DataFrame:
 
 @query(
     "b1_embeddings_only",
-    f"WITH {DOCS}, {FULL} SELECT id, len(embedding) AS dim, round(CAST(embedding[1] AS DOUBLE), 6) AS first FROM full_docs",
+    f"WITH {DOCS}, {FULL} SELECT id, CAST(len(embedding) AS INTEGER) AS dim, round(CAST(embedding[1] AS DOUBLE), 6) AS first FROM full_docs",
 )
 def get_embeddings(t: Tables) -> DataFrame:
     rows = get_ops.get(t.full, include_embeddings=True, include_metadatas=False, include_documents=False)
@@ -124,7 +125,7 @@ def first_row(t: Tables) -> DataFrame:
 
 @query(
     "b6_normalised",
-    f"WITH {DOCS} SELECT id, CASE WHEN lang = 'fr' THEN '' ELSE document END AS document, 0 AS keys, 0.0 AS distance FROM docs",
+    f"WITH {DOCS} SELECT id, CASE WHEN lang = 'fr' THEN '' ELSE document END AS document, 0 AS keys, CAST(0.0 AS DOUBLE) AS distance FROM docs",
 )
 def normalised(t: Tables) -> DataFrame:
     # Empty texts are stored as null and read back as empty; rows without metadata read as {}.
@@ -224,8 +225,9 @@ def _label_batch(t: Tables) -> DataFrame:
 
 
 def _shown(df: DataFrame) -> DataFrame:
-    slot = {"lang": "s", "source": "s", "quality": "i", "toxic": "i"}
-    return df.select("id", "document", *[F.col("metadata")[n][s].alias(n) for n, s in slot.items()])
+    types = {"lang": "string", "source": "string", "quality": "int", "toxic": "int"}
+    shown = [values.typed_slot(F.col("metadata")[n], T.DataType.fromDDL(d)).alias(n) for n, d in types.items()]
+    return df.select("id", "document", *shown)
 
 
 UPDATED = f"""WITH {DOCS} SELECT id, CASE WHEN toxic = 1 THEN 'removed' ELSE document END AS document, lang,
@@ -357,7 +359,7 @@ def text_contains(t: Tables) -> DataFrame:
 
 @query(
     "i6_tokens",
-    """SELECT doc_id, len(w) AS n, md5(array_to_string(w, ' ')) AS digest FROM (
+    """SELECT doc_id, CAST(len(w) AS INTEGER) AS n, md5(array_to_string(w, ' ')) AS digest FROM (
 SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '\\p{P}', ' ', 'g'), ' '), lambda x: x <> '') AS w
 FROM documents)""",
 )
@@ -428,7 +430,7 @@ def hashed(t: Tables) -> DataFrame:
 
 @query(
     "j5_constant",
-    """SELECT doc_id, 4 AS dim, 0.1 AS first FROM documents""",
+    """SELECT doc_id, 4 AS dim, CAST(0.1 AS DOUBLE) AS first FROM documents""",
 )
 def constant(t: Tables) -> DataFrame:
     rows = t["documents"].select("doc_id", Constant([0.1, 0.2, 0.3, 0.4]).embed(F.col("text")).alias("v"))
