@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kinfold.errors import ValidationError
 from kinfold.functions.filters import Filter, Where, apply_filters
-from kinfold.plans.sizing import broadcast_if_small
+from kinfold.plans.sizing import key_list
 from kinfold.schema import METADATA, ORDER, promoted_columns
 
 Ids = Union[Sequence[str], DataFrame, None]
@@ -33,13 +33,13 @@ def restrict_ids(df: DataFrame, ids: Ids, small: bool | None = None) -> DataFram
         return df
     if isinstance(ids, DataFrame):
         wanted = ids.select(F.col(ids.columns[0]).cast("string").alias("id"))
-        return df.join(broadcast_if_small(wanted, small), "id", "left_semi")
+        return df.join(key_list(wanted, small), "id", "left_semi")
     ids = [str(i) for i in ids]
     if not ids:
         return df.filter(F.lit(False))
     if len(ids) <= MAX_ID_LITERALS:
         return df.filter(F.col("id").isin(ids))
-    return df.join(broadcast_if_small(ids_frame(df, ids)), "id", "left_semi")
+    return df.join(key_list(ids_frame(df, ids)), "id", "left_semi")
 
 
 def included_columns(

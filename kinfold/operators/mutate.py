@@ -19,7 +19,7 @@ from kinfold.errors import ValidationError
 from kinfold.functions.filters import Filter, document_column, where_column
 from kinfold.functions.values import drop_nulls, merge, typed_slot
 from kinfold.operators.get import MAX_ID_LITERALS, Ids, ids_frame
-from kinfold.plans.sizing import broadcast_if_small, broadcast_limit, fits, row_bytes
+from kinfold.plans.sizing import broadcast_limit, fits, key_list, row_bytes
 from kinfold.schema import ORDER, RESERVED, conform, empty_as_null, promoted_columns
 
 
@@ -213,7 +213,7 @@ def delete(
         return base.filter(~taken)
     listed = ids if isinstance(ids, DataFrame) else ids_frame(base, ids)
     listed = listed.select(F.col(listed.columns[0]).cast("string").alias("id"))
-    offered = broadcast_if_small(listed.distinct(), small)
+    offered = key_list(listed, small)
     if where is None and where_document is None:
         return base.join(offered, "id", "left_anti")
     also = F.lit(True)

@@ -51,9 +51,13 @@ def fits(df: DataFrame) -> bool:
     return measure(df).bytes <= broadcast_limit(df.sparkSession)
 
 
-def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:
-    """Mark `df` for broadcast if it is within the bound. `small` skips the measuring job."""
-    return F.broadcast(df) if (fits(df) if small is None else small) else df
+def key_list(ids: DataFrame, small: bool | None = None) -> DataFrame:
+    """A list of ids as the right side of a semi or anti join.
+
+    A small one is broadcast. A large one is reduced to distinct ids first, partially in every task,
+    so an id repeated in a large share of the list does not gather in one task of the join.
+    """
+    return F.broadcast(ids) if (fits(ids) if small is None else small) else ids.distinct()
 
 
 def spread(df: DataFrame) -> DataFrame:

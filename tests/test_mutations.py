@@ -178,3 +178,25 @@ def test_upsert_matches_a_dictionary(spark, old, new):
         want[i] = ([1.0, 1.0], text or before, merged)
     for small in (True, False):
         assert rows(mutate.upsert(base, records_frame(spark, listed(new, 1.0)), 1, small)) == want
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_small_batch_never_shuffles_the_collection(spark, tmp_path, small):
+    path = f"file://{tmp_path}/base"
+    start(spark, [A, B]).write.parquet(path)
+    base, batch = spark.read.parquet(path), records_frame(spark, [Record("b", [2.0, 2.0], "x"), Record("c", [3.0, 3.0])])
+    changed = [
+        mutate.add(base, batch, 1, small),
+        mutate.update(base, batch, small),
+        mutate.upsert(base, batch, 1, small),
+        mutate.delete(base, ids=batch.select("id"), small=small),
+    ]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in changed]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for plan in plans:
+        assert ("Exchange hashpartitioning" in plan) is (not small)
+        assert ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan) is (not small)

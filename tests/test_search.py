@@ -211,6 +211,11 @@ def test_cells(spark, tmp_path):
     reach = again.reachable(v[::29][:8].astype(np.float32).astype(float), np.full(8, 1.0))
     assert reach.any(axis=1).all() and reach.mean() < 0.7
     assert key(approximate.pruned_knn_join(stored, again, queries, k=200, probes=1)) == key(search.knn_join(df, queries, k=200))
+    rough = approximate.train_cells(df, 8, iterations=2, training_fraction=0.5)
+    sampled = approximate.assign_cells(df, rough)
+    assert sampled.count() == len(v)
+    found_all = approximate.approximate_knn_join(sampled, rough, queries, k=5, probes=rough.count)
+    assert key(found_all) == key(exact)
     one = approximate.approximate_knn(stored, again, v[3], k=5, probes=8)
     assert found(one) == brute(v, v[3], 5)
     plan = approximate.approximate_knn(stored, again, v[3], k=5, probes=1)._jdf.queryExecution().executedPlan().toString()
