@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinfold.llm.mixing import MIX_SQL
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -34,3 +36,10 @@ def op6(documents: DataFrame) -> DataFrame:
     from kinfold.llm.orc_tokens import round_trip
 
     return round_trip(documents, end_id=2)
+
+
+@register("op8_mix_sources", "documents", MIX_SQL)
+def op8(documents: DataFrame) -> DataFrame:
+    from kinfold.llm.mixing import mix
+
+    return mix(documents)[1]
