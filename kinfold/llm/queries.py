@@ -43,3 +43,10 @@ def op8(documents: DataFrame) -> DataFrame:
     from kinfold.llm.mixing import mix
 
     return mix(documents)[1]
+
+
+@register("op9_robust_outliers", "documents")
+def op9(documents: DataFrame) -> DataFrame:
+    from kinfold.llm.outliers import judge
+
+    return judge(documents)
