@@ -50,3 +50,10 @@ def op9(documents: DataFrame) -> DataFrame:
     from kinfold.llm.outliers import judge
 
     return judge(documents)
+
+
+@register("op1_byte_network_language", "documents")
+def op1(documents: DataFrame) -> DataFrame:
+    from kinfold.llm.language import identify
+
+    return identify(documents, sample=600)
