@@ -72,25 +72,29 @@ def write_tokens(
     )
 
 
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    file = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint")
+    return spark.read.schema(FILE_SCHEMA).orc(path).withColumn("file", file)
+
+
+def _with_start(rows: DataFrame, spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """Start of each document in all files; a window orders one row per file in one task."""
+    sizes = _rows(spark, path).groupBy("file").agg(F.max(F.col("start_in_file") + F.col("n_tokens")).alias("size"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("file", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    return rows.join(bases, "file").select("doc_id", (F.col("base") + F.col("start_in_file")).alias("start"), *columns)
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Documents of the files under `path`: doc_id, start (ids of all documents before it), n_tokens, ids.
 
-    A filter on doc_id reaches the files. The number of rows that a window orders in one task is that
-    of the files.
+    A filter on doc_id reaches the files.
     """
-    rows = spark.read.schema(FILE_SCHEMA).orc(path).withColumn(
-        "file", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint")
-    )
-    sizes = rows.groupBy("file").agg(F.max(F.col("start_in_file") + F.col("n_tokens")).alias("size"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("file", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    return rows.join(bases, "file").select(
-        "doc_id", (F.col("base") + F.col("start_in_file")).alias("start"), "n_tokens", "ids"
-    )
+    return _with_start(_rows(spark, path), spark, path, "n_tokens", "ids")
 
 
-def digests(rows: DataFrame) -> DataFrame:
-    """The ids of :func:`read_tokens` replaced by their count and CRC-32."""
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_tokens`, with the count and the CRC-32 of the ids read in place of the ids."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,15 +103,18 @@ def digests(rows: DataFrame) -> DataFrame:
             at = at - at[0]
             sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(at).astype(np.int64)), pa.array(sums, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
+                [*[batch.column(c) for c in kept], pa.array(np.diff(at).astype(np.int64)), pa.array(sums, pa.int64())],
+                [*kept, "n_tokens", "ids_crc32"],
             )
 
-    return rows.mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    kept = ["doc_id", "start_in_file", "file"]
+    schema = "doc_id bigint, start_in_file bigint, file bigint, n_tokens bigint, ids_crc32 bigint"
+    found = _rows(spark, path).select(*kept, "ids").mapInArrow(digest, schema)
+    return _with_start(found, spark, path, "n_tokens", "ids_crc32")
 
 
 def round_trip(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
     """Write `docs` and return what the files hold, a row per document."""
     path = path or f"{shared_folder(docs.sparkSession)}/orc-tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, **options)
-    return digests(read_tokens(docs.sparkSession, path))
+    return read_digests(docs.sparkSession, path)

@@ -57,3 +57,10 @@ def op1(documents: DataFrame) -> DataFrame:
     from kinfold.llm.language import identify
 
     return identify(documents, sample=600)
+
+
+@register("op3_weak_label_quality", "documents")
+def op3(documents: DataFrame) -> DataFrame:
+    from kinfold.llm.quality import classify
+
+    return classify(documents.select("doc_id", "text")).drop("text")
