@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
-#: White space other than a lone space or line feed between two other characters.
-_IRREGULAR = re.compile(r"[^\S \n]|[ \n](?:[ \n]|\Z)|\A[ \n]|[\0\x1c-\x1f\x85]")
+#: White space other than space and line feed, and the character that marks cuts below.
+_OTHER_SPACE = re.compile("[\0\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Signs that often end a word. The vocabulary's word pattern parts letters from them.
+_SIGNS = ".,;:!?*#$%&|"
 #: Distinct words whose ids a task remembers at a time.
 REMEMBERED = 600_000
 
@@ -17,43 +20,78 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary (fixed values).
+
+    Printable bytes stand for themselves, the others for the characters from 256 on, in turn.
+    """
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def _regular(text: str) -> bool:
+    """Whether all white space is a lone space or line feed between two other characters."""
+    doubled = "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+    return not (doubled or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"))
+
+
 def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
     """A function from texts to their ids as little-endian unsigned 32-bit values.
 
     Every id comes from the tokenizers library. Each distinct word of a task is encoded once: the
-    vocabulary splits a text before a lone space and around a lone line feed whatever follows, so
-    the ids of a text are those of its words in turn. Texts with any other white space are encoded whole.
+    vocabulary splits a text before a lone space and around a lone line feed whatever follows, and
+    between letters and the signs after them, so the ids of a text are those of its parts in turn.
+    Texts with any other white space are encoded whole.
     """
     import os
 
-    import numpy as np
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(vocabulary)
     library.encode_special_tokens = True
+    model, letters = library.model, _byte_letters()
 
-    def ids(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
     known: dict[str, bytes] = {}
+    parts: dict[str, bytes] = {}
+
+    def add_parts(new: set[str]) -> None:
+        # Letters after at most one space are one word of the pattern: the model alone is enough.
+        for word in [w for w in new if (w[1:] if w[:1] == " " else w).isalpha()]:
+            new.discard(word)
+            shown = word.encode().decode("latin-1").translate(letters)
+            parts[word] = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
+        rest = list(new)
+        parts.update(zip(rest, whole(rest)))
+
+    def add_words(new: set[str]) -> None:
+        cuts = []
+        for word in new:
+            head = word.rstrip(_SIGNS)
+            cuts.append((word, head, word[len(head) :]) if head[-1:].isalpha() else (word, word, ""))
+        add_parts({p for _, head, tail in cuts for p in (head, tail) if p and p not in parts})
+        for word, head, tail in cuts:
+            known[word] = parts[head] + parts[tail] if tail else parts[head]
 
     def encode(texts: list[str]) -> Iterator[bytes]:
-        if len(known) > REMEMBERED:
+        if len(known) + len(parts) > REMEMBERED:
             known.clear()
-        parts: list[list[str] | None] = []
+            parts.clear()
+        other = _OTHER_SPACE.search("".join(texts)) is not None
+        words: list[list[str] | None] = []
         for text in texts:
-            if _IRREGULAR.search(text):
-                parts.append(None)
-                continue
-            # " word" for every word after a space; after a line feed there is no space.
-            parts.append(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if text else [])
-        new = list({w for p in parts if p for w in p if w not in known})
-        for begin in range(0, len(new), 20_000):
-            some = new[begin : begin + 20_000]
-            known.update(zip(some, ids(some)))
-        for text, words in zip(texts, parts):
-            yield ids([text])[0] if words is None else b"".join(map(known.__getitem__, words))
+            if not text:
+                words.append([])
+            elif (other and _OTHER_SPACE.search(text)) or not _regular(text):
+                words.append(None)
+            else:
+                words.append(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
+        add_words({w for some in words if some for w in some}.difference(known))
+        for text, some in zip(texts, words):
+            yield whole([text])[0] if some is None else b"".join([known[w] for w in some])
 
     return encode
