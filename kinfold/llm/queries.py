@@ -64,3 +64,10 @@ def op3(documents: DataFrame) -> DataFrame:
     from kinfold.llm.quality import classify
 
     return classify(documents.select("doc_id", "text")).drop("text")
+
+
+@register("op10_sparse_suffix_array", "documents")
+def op10(documents: DataFrame) -> DataFrame:
+    from kinfold.llm.repeats import removal_report
+
+    return removal_report(documents, length=200)
