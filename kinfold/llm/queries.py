@@ -71,3 +71,10 @@ def op10(documents: DataFrame) -> DataFrame:
     from kinfold.llm.repeats import removal_report
 
     return removal_report(documents, length=200)
+
+
+@register("op4_bag_minhash", "documents")
+def op4(documents: DataFrame) -> DataFrame:
+    from kinfold.llm.near_copies import near_copies
+
+    return near_copies(documents, threshold=0.8)
