@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kinfold.llm.mixing import MIX_SQL
+from kinfold.llm.vantage import NEAREST_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -78,3 +79,10 @@ def op4(documents: DataFrame) -> DataFrame:
     from kinfold.llm.near_copies import near_copies
 
     return near_copies(documents, threshold=0.8)
+
+
+@register("op2_vantage_point_trees", "embeddings", NEAREST_SQL)
+def op2(embeddings: DataFrame) -> DataFrame:
+    from kinfold.llm.vantage import nearest
+
+    return nearest(embeddings, k=20, factor=1.0)
