@@ -86,3 +86,10 @@ def op2(embeddings: DataFrame) -> DataFrame:
     from kinfold.llm.vantage import nearest
 
     return nearest(embeddings, k=20, factor=1.0)
+
+
+@register("op7_host_suffix_array", "pages")
+def op7(pages: DataFrame) -> DataFrame:
+    from kinfold.llm.pages import main_text
+
+    return main_text(pages)
