@@ -37,12 +37,18 @@ def quality_of(text: Column) -> Column:
     return F.coalesce(F.pow(clean, F.lit(4.0)), F.lit(1.0))
 
 
-def drawn(docs: DataFrame, *, id: str, text: str, source: str, quality: Column | None, seed: int) -> dict[str, Column]:
+def _known(quality: str) -> Column:
+    """A quality column; what is null or not a number counts as the least."""
+    value = F.col(f"`{quality}`").cast("double")
+    return F.when(F.isnan(value) | value.isNull(), F.lit(LEAST_QUALITY)).otherwise(value)
+
+
+def drawn(*, id: str, text: str, source: str, quality: str | None, seed: int) -> dict[str, Column]:
     """Size, source, key and tie-break of a document as columns."""
     words, key_of = F.col(f"`{text}`"), F.coalesce(F.col(f"`{id}`").cast("string"), F.lit(""))
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}|"), key_of)), 1, 13)
     uniform = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
-    weight = F.greatest(F.least(quality_of(words) if quality is None else quality, F.lit(1.0)), F.lit(LEAST_QUALITY))
+    weight = F.greatest(F.least(quality_of(words) if quality is None else _known(quality), F.lit(1.0)), F.lit(LEAST_QUALITY))
     return {
         "_size": F.coalesce(F.regexp_count(words, F.lit(WORD)), F.lit(0)).cast("bigint"),
         "_source": F.col(f"`{source}`").cast("string"),
@@ -131,15 +137,19 @@ def mix(
     weights: Sequence[float] = (5, 2, 1),
     factor: float = 1.5,
     most: float = 2.0,
-    quality: Column | None = None,
+    quality: str | None = None,
     seed: int = 7,
 ) -> tuple[DataFrame, DataFrame]:
     """Two frames: the documents as often as the mix takes them, and the decision on each document.
 
-    The second has the id, size, source_size, target, and taken (words that the mix takes).
+    `quality` names a column to weigh documents by, in place of :func:`quality_of` the text. The second
+    frame has the id, size, source_size, target, and taken (words that the mix takes).
     """
-    columns = drawn(docs, id=id, text=text, source=source, quality=quality, seed=seed)
-    thin = stored(docs.select(F.col(f"`{id}`").alias("_id"), *[c.alias(n) for n, c in columns.items()]), "mix")
+    names = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at = {n: f"c{i}" for i, n in enumerate(names)}
+    columns = drawn(id=at[id], text=at[text], source=at[source], quality=quality and at[quality], seed=seed)
+    thin = stored(numbered.select(F.col(at[id]).alias("_id"), *[c.alias(n) for n, c in columns.items()]), "mix")
     per_source = stored(cuts(thin, weights=weights, factor=factor, most=most), "mix-sources")
     decided = _joined(thin, per_source).select(
         F.col("_id").alias(id),
@@ -148,11 +158,9 @@ def mix(
         F.col("_target").alias("target"),
         (F.col("_size") * times_taken()).alias("taken"),
     )
-    names = docs.columns
-    clash = docs.select(*[F.col(f"`{n}`") for n in names], *[c.alias(n) for n, c in columns.items()])
-    mixed = _joined(clash, per_source).withColumn("_times", times_taken()).filter("_times > 0")
+    mixed = _joined(numbered.withColumns(columns), per_source).withColumn("_times", times_taken()).filter("_times > 0")
     mixed = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
-    return mixed.select(*[F.col(f"`{n}`") for n in names]), decided
+    return mixed.select(*[F.col(at[n]).alias(n) for n in names]), decided
 
 
 MIX_SQL = r"""

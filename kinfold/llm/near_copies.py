@@ -233,10 +233,12 @@ def near_copies(docs: DataFrame, *, id: str = "doc_id", text: str = "text", thre
 def without_near_copies(docs: DataFrame, *, id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """`docs` with one document of each class: that with the smallest id, and one row where rows repeat."""
     rows, classes = _prepared(docs, id, text, threshold)
-    staying = classes.filter(F.col("node") == F.col("stays")).select("node", F.col("first").alias("_id_"), F.col("copies").alias("_copies_"))
+    staying = classes.filter(F.col("node") == F.col("stays")).select("node", "first", "copies")
     staying = F.broadcast(staying) if fits(staying) else staying
-    node = F.unhex(F.md5(text_or_empty(text).cast("binary")))
-    kept = docs.withColumn("_node_", node).join(staying.withColumnRenamed("node", "_node_"), "_node_")
-    kept = kept.filter(F.col(f"`{id}`").cast("bigint").eqNullSafe(F.col("_id_")))
-    single, repeated = kept.filter("_copies_ = 1"), kept.filter("_copies_ > 1").dropDuplicates(["_node_"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own_id, own_text = f"c{names.index(id)}", f"c{names.index(text)}"
+    kept = numbered.withColumn("node", F.unhex(F.md5(text_or_empty(own_text).cast("binary")))).join(staying, "node")
+    kept = kept.filter(F.col(own_id).cast("bigint").eqNullSafe(F.col("first")))
+    single, repeated = kept.filter("copies = 1"), kept.filter("copies > 1").dropDuplicates(["node"])
+    return single.unionByName(repeated).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

@@ -169,18 +169,18 @@ def _cut_out(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         for batch in slices(batches, "text"):
             raw, at = flat_bytes(batch.column("text"))
             lists = batch.column("wanted")
-            items, of = lists.flatten(), np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
-            place = items.field("place").to_numpy()
+            token, strings, place = np.ascontiguousarray(lists.flatten().to_numpy().reshape(-1, 3).T)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)) // 3)
             start, count, lead = place >> 24, (place >> 12) & 0xFFF, place & 0xFFF
             begin = at[of] + start
             cuts = [raw[a:b].tobytes() for a, b in zip(begin, begin + count - 1 + length)]
             order = [int.from_bytes(x[k : k + 8], "big") - (1 << 63) for x, k in zip(cuts, lead)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(order, pa.int64()), items.field("token"), items.field("strings"), pa.array(count), pa.array(lead), pa.array(cuts, pa.binary())],
+                [pa.array(order, pa.int64()), pa.array(token), pa.array(strings), pa.array(count), pa.array(lead), pa.array(cuts, pa.binary())],
                 ["leading", "token", "strings", "count", "lead", "bytes"],
             )
 
-    per_text = wanted.groupBy("h", "g").agg(F.collect_list(F.struct("token", "strings", "place")).alias("wanted"))
+    per_text = wanted.groupBy("h", "g").agg(F.flatten(F.collect_list(F.array("token", "strings", "place"))).alias("wanted"))
     per_text = F.broadcast(per_text) if fits(per_text) else per_text
     schema = "leading bigint, token bigint, strings bigint, count bigint, lead bigint, bytes binary"
     return texts.join(per_text, ["h", "g"]).select("text", "wanted").mapInArrow(cut, schema)
@@ -246,7 +246,7 @@ def _by_digests(cuts: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 200, most: int = MOST_SUFFIXES) -> DataFrame:
-    """Per different text (h, g) the removed stretches as an array of structs (begin, end), not merged."""
+    """Per different text (h, g) with any, its removed stretches: begin, end, begin, end ... in order."""
     texts = _texts(docs, text)
     taken = _taken(texts, length)
     counts = taken.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
@@ -270,35 +270,47 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 200, mo
     spans = again.join(stored(verdicts, "verdicts"), ["token", "strings"]).select(
         "h", "g", F.struct((start + F.col("low")).alias("begin"), (start + F.col("high") + length).alias("end")).alias("span")
     )
-    return spans.groupBy("h", "g").agg(F.collect_set("span").alias("spans"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            merged = [_merged(x) for x in batch.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("g"), pa.array(merged, pa.list_(pa.int64()))], ["h", "g", "spans"])
+
+    per_text = spans.groupBy("h", "g").agg(F.collect_set("span").alias("spans"))
+    return per_text.mapInArrow(merge, "h bigint, g bigint, spans array<bigint>")
 
 
-def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted((s["begin"], s["end"]) for s in spans or ()):
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
+def _merged(spans: list[dict]) -> list[int]:
+    """Overlapping or touching spans as one."""
+    out: list[int] = []
+    for begin, end in sorted((s["begin"], s["end"]) for s in spans):
+        if out and begin <= out[-1]:
+            out[-1] = max(out[-1], end)
         else:
-            out.append((begin, end))
+            out += (begin, end)
     return out
 
 
-def _with_spans(docs: DataFrame, text: str, length: int, names: list[str]) -> DataFrame:
-    spans = stored(repeated_spans(docs, text=text, length=length), "spans")
+def _pairs(spans: list[int] | None) -> list[tuple[int, int]]:
+    return list(zip(spans[::2], spans[1::2])) if spans else []
+
+
+def _with_spans(docs: DataFrame, text: str, length: int, most: int, names: list[str]) -> DataFrame:
+    spans = stored(repeated_spans(docs, text=text, length=length, most=most), "spans")
     spans = F.broadcast(spans) if fits(spans) else spans
     words = text_or_empty(text)
     keyed = docs.select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)], words.alias("text_"), F.xxhash64(words).alias("h"), F.crc32(words.cast("binary")).alias("g"))
     return keyed.join(spans, ["h", "g"], "left").drop("h", "g")
 
 
-def removal_report(docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
+def removal_report(docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = 200, most: int = MOST_SUFFIXES) -> DataFrame:
     """A row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256."""
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text_"):
             rows = []
             for doc, words, spans in zip(*(batch.column(c).to_pylist() for c in ("c0", "text_", "spans"))):
-                data, gone, kept, last = words.encode(), _merged(spans), hashlib.sha256(), 0
+                data, gone, kept, last = words.encode(), _pairs(spans), hashlib.sha256(), 0
                 for begin, end in gone:
                     kept.update(data[last:begin])
                     last = end
@@ -308,10 +320,10 @@ def removal_report(docs: DataFrame, *, id: str = "doc_id", text: str = "text", l
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return _with_spans(docs, text, length, [id]).withColumn("c0", F.col("c0").cast("bigint")).mapInArrow(report, schema)
+    return _with_spans(docs, text, length, most, [id]).withColumn("c0", F.col("c0").cast("bigint")).mapInArrow(report, schema)
 
 
-def without_repeats(docs: DataFrame, *, text: str = "text", length: int = 200) -> DataFrame:
+def without_repeats(docs: DataFrame, *, text: str = "text", length: int = 200, most: int = MOST_SUFFIXES) -> DataFrame:
     """`docs` with the repeated strings cut out of the text; a character that loses a byte goes whole."""
     names, at = docs.columns, docs.columns.index(text)
 
@@ -323,7 +335,7 @@ def without_repeats(docs: DataFrame, *, text: str = "text", length: int = 200) -
                     out.append(original)
                     continue
                 data, parts, last = words.encode(), [], 0
-                for begin, end in _merged(spans):
+                for begin, end in _pairs(spans):
                     parts.append(data[last:begin])
                     last = end
                 out.append(b"".join([*parts, data[last:]]).decode("utf-8", "ignore"))
@@ -333,4 +345,4 @@ def without_repeats(docs: DataFrame, *, text: str = "text", length: int = 200) -
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField(f"c{i}", T.StringType() if i == at else f.dataType) for i, f in enumerate(docs.schema)])
-    return _with_spans(docs, text, length, names).mapInArrow(remove, schema).toDF(*names)
+    return _with_spans(docs, text, length, most, names).mapInArrow(remove, schema).toDF(*names)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -10,8 +12,8 @@ from collections.abc import Callable, Iterator
 _OTHER_SPACE = re.compile("[\0\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Signs that often end a word. The vocabulary's word pattern parts letters from them.
 _SIGNS = ".,;:!?*#$%&|"
-#: Distinct words whose ids a task remembers at a time.
-REMEMBERED = 600_000
+#: Words and parts of words whose ids a Python worker remembers, before it begins anew.
+REMEMBERED = 800_000
 
 
 def default_vocabulary() -> str:
@@ -36,13 +38,19 @@ def _regular(text: str) -> bool:
     return not (doubled or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"))
 
 
+def _memory(vocabulary: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """Ids of words and of their parts that this process has met, also in earlier tasks."""
+    held = sys.modules.setdefault("kinfold_task_memory", types.ModuleType("kinfold_task_memory")).__dict__
+    return held.setdefault(f"words {vocabulary}", {}), held.setdefault(f"parts {vocabulary}", {"": b""})
+
+
 def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
     """A function from texts to their ids as little-endian unsigned 32-bit values.
 
-    Every id comes from the tokenizers library. Each distinct word of a task is encoded once: the
-    vocabulary splits a text before a lone space and around a lone line feed whatever follows, and
-    between letters and the signs after them, so the ids of a text are those of its parts in turn.
-    Texts with any other white space are encoded whole.
+    Every id comes from the tokenizers library. A distinct word is encoded once as long as the process
+    remembers it: the vocabulary splits a text before a lone space and around a lone line feed whatever
+    follows, and between letters and the signs after them, so the ids of a text are those of its parts
+    in turn. Texts with any other white space are encoded whole.
     """
     import os
 
@@ -56,31 +64,29 @@ def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
     def whole(texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    known: dict[str, bytes] = {}
-    parts: dict[str, bytes] = {}
+    known, parts = _memory(vocabulary)
 
     def add_parts(new: set[str]) -> None:
         # Letters after at most one space are one word of the pattern: the model alone is enough.
-        for word in [w for w in new if (w[1:] if w[:1] == " " else w).isalpha()]:
-            new.discard(word)
-            shown = word.encode().decode("latin-1").translate(letters)
-            parts[word] = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
-        rest = list(new)
+        plain = [w for w in new if w.isalpha() or (w[:1] == " " and w[1:].isalpha())]
+        shown = "\n".join(plain).encode().decode("latin-1").translate(letters).split(letters[10]) if plain else []
+        found = [[t.id for t in tokens] for tokens in map(model.tokenize, shown)]
+        parts.update(zip(plain, [array("I", ids).tobytes() for ids in found]))
+        rest = list(new.difference(plain))
         parts.update(zip(rest, whole(rest)))
 
-    def add_words(new: set[str]) -> None:
-        cuts = []
-        for word in new:
-            head = word.rstrip(_SIGNS)
-            cuts.append((word, head, word[len(head) :]) if head[-1:].isalpha() else (word, word, ""))
-        add_parts({p for _, head, tail in cuts for p in (head, tail) if p and p not in parts})
-        for word, head, tail in cuts:
-            known[word] = parts[head] + parts[tail] if tail else parts[head]
+    def add_words(new: list[str]) -> None:
+        heads = [w.rstrip(_SIGNS) for w in new]
+        heads = [h if h[-1:].isalpha() else w for w, h in zip(new, heads)]
+        tails = [w[len(h) :] for w, h in zip(new, heads)]
+        add_parts(set(heads).union(tails).difference(parts))
+        known.update(zip(new, [parts[h] + parts[t] for h, t in zip(heads, tails)]))
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         if len(known) + len(parts) > REMEMBERED:
             known.clear()
             parts.clear()
+            parts[""] = b""
         other = _OTHER_SPACE.search("".join(texts)) is not None
         words: list[list[str] | None] = []
         for text in texts:
@@ -90,8 +96,8 @@ def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
                 words.append(None)
             else:
                 words.append(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
-        add_words({w for some in words if some for w in some}.difference(known))
+        add_words(list(set().union(*filter(None, words)).difference(known)))
         for text, some in zip(texts, words):
-            yield whole([text])[0] if some is None else b"".join([known[w] for w in some])
+            yield whole([text])[0] if some is None else b"".join(map(known.__getitem__, some))
 
     return encode
