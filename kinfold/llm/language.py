@@ -202,7 +202,7 @@ def identify(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: s
             best = p.argmax(1)
             has = np.array([bool(t and letter.search(t)) for t in batch.column("text").to_pylist()], bool) & (net is not None)
             names = [net.languages[b] if h else "und" for b, h in zip(best, has)]
-            score = np.where(has, p[np.arange(n), best], 0.0)
+            score = np.round(np.where(has, p[np.arange(n), best], 0.0), 6)  # alike wherever a text lies in its batch
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(score, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],

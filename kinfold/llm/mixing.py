@@ -8,7 +8,7 @@ u ** (1 / quality), u uniform from the document id (the exponential keys -ln(u)
 Keys fall into narrow ranges, some thousands of documents each. Sums per range locate the one range in
 which a source's rest runs out, and only there documents are ordered, so no task holds a source.
 
-Null text has size 0, and null sources are one source, the last. Rows that repeat id, size and text
+Null text has size 0: such a document comes with the whole epochs of its source. Null sources are one source, the last. Rows that repeat id, size and text
 share one fate. An empty table, or one without words, takes nothing. Further columns are kept.
 """
 

@@ -67,12 +67,15 @@ def text_counts(raw: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
 
     # Lines with a word that equal an earlier line of their row.
     breaks = np.flatnonzero(raw == 10)
-    line_begin = np.sort(np.concatenate([at[:-1], breaks + 1]))
-    line_row = np.searchsorted(at[:-1], line_begin, "right") - 1
-    line_row_end = at[line_row + 1]
+    break_row = np.searchsorted(at, breaks, "right") - 1
+    inner = breaks + 1 < at[break_row + 1]  # a line feed at the end of a row begins no line with a word
+    line_begin = np.concatenate([at[:-1], breaks[inner] + 1])
+    line_row = np.concatenate([np.arange(rows), break_row[inner]])
+    by_place = np.argsort(line_begin, kind="stable")
+    line_begin, line_row = line_begin[by_place], line_row[by_place]
     next_break = np.append(breaks, len(raw))[np.searchsorted(breaks, line_begin, "left")]
-    line_end = np.minimum(next_break, line_row_end)
-    keep = (line_begin <= line_row_end) & (np.searchsorted(begin, line_end) > np.searchsorted(begin, line_begin))
+    line_end = np.minimum(next_break, at[line_row + 1])
+    keep = np.searchsorted(begin, line_end) > np.searchsorted(begin, line_begin)
     line_begin, line_end, line_row = line_begin[keep], line_end[keep], line_row[keep]
     keys = mixed(hashed(line_begin, line_end) ^ mixed(line_row.astype(np.uint64)))
     order = np.argsort(keys, kind="stable")
