@@ -109,7 +109,7 @@ class Collection:
         rows = records_frame(self.spark, batch) if local else batch
         if "id" not in rows.columns:
             raise ValidationError("a batch needs an id column")
-        rows = rows.withColumn("id", F.col("id").cast("string"))
+        rows = mutate.with_all_metadata(rows, self.version.schema).withColumn("id", F.col("id").cast("string"))
         if "embedding" in rows.columns:
             rows = rows.withColumn("embedding", F.col("embedding").cast("array<float>"))
         else:
@@ -117,11 +117,14 @@ class Collection:
         if "document" in rows.columns and self._embedder is not None:
             filled = fill_embedding(F.col("embedding"), F.col("document"), self._embedder)
             rows = rows.withColumn("embedding", filled)
-        if "_pos" not in rows.columns:
-            # Generated numbers are safe here only because the checkpoint below fixes them.
-            rows = rows.withColumn("_pos", F.monotonically_increasing_id())
         if local and self._embedder is None:
             return rows
+        if not local:
+            # The caller's order decides, but positions are our own: none missing, none twice. Generated
+            # numbers are safe here only because the checkpoint below fixes them.
+            if "_pos" in rows.columns:
+                rows = rows.orderBy("_pos", "id")
+            rows = rows.withColumn("_pos", F.monotonically_increasing_id())
         search.ensure_checkpoint_dir(rows, f"{self._store.path}/checkpoints")
         return rows.checkpoint()
 

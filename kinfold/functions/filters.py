@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from kinfold.errors import FilterError
 from kinfold.functions.text import contains
 from kinfold.functions.values import primitive
-from kinfold.schema import RESERVED
+from kinfold.schema import ODD, RESERVED
 
 # The filter operators of the data model.
 ORDERING = {
@@ -143,7 +143,7 @@ def _test_integer(column: Column, op: str, value: float) -> Column:
 
 
 def _test_plain(column: Column, op: str, value: Any) -> Column:
-    exact = F.lit(value)
+    exact = value if isinstance(value, Column) else F.lit(value)
     return _known(column, column == exact if op == "$eq" else ORDERING[op](column, exact))
 
 
@@ -152,7 +152,10 @@ def _any_of(column: Column, values: list[Any]) -> Column:
 
 
 class _Field:
-    """A metadata field: up to one column per value type; None where the type cannot occur."""
+    """A metadata field: up to one column per value type; None where the type cannot occur.
+
+    `other` holds the values that do not fit the column of a promoted key, `odd` marks rows that have any.
+    """
 
     def __init__(
         self,
@@ -161,11 +164,32 @@ class _Field:
         double: Column | None = None,
         boolean: Column | None = None,
         moment: T.DataType | None = None,
+        single: bool = False,
+        other: _Field | None = None,
+        odd: Column | None = None,
     ):
         self.text, self.integer, self.double, self.boolean = text, integer, double, boolean
-        self.moment = moment
+        self.moment, self.single, self.other, self.odd = moment, single, other, odd
 
     def compare(self, op: str, value: Any) -> Column:
+        here = self._compare(op, value)
+        return here if self.other is None else self._or_odd(here, self.other.compare(op, value))
+
+    def one_of(self, values: list[Any]) -> Column:
+        here = self._one_of(values)
+        return here if self.other is None else self._or_odd(here, self.other.one_of(values))
+
+    def _or_odd(self, here: Column, there: Column) -> Column:
+        """Here, or there in an odd row. The first of two conditions reaches the scan, the map never does."""
+        if self.odd is None:
+            return here | there
+        return (here | self.odd) & F.when(self.odd, here | there).otherwise(here)
+
+    def _number(self, value: float) -> Any:
+        """A literal for the double column; single precision is compared in single precision."""
+        return F.lit(float(value)).cast("float") if self.single else float(value)
+
+    def _compare(self, op: str, value: Any) -> Column:
         tag, plain = _literal(value)
         if tag == "b":
             if op != "$eq":
@@ -183,14 +207,14 @@ class _Field:
         if self.integer is not None:
             tests.append(_test_integer(self.integer, op, plain))
         if self.double is not None:
-            tests.append(_test_plain(self.double, op, float(plain)))
+            tests.append(_test_plain(self.double, op, self._number(plain)))
         return reduce(operator.or_, tests) if tests else never()
 
-    def one_of(self, values: list[Any]) -> Column:
+    def _one_of(self, values: list[Any]) -> Column:
         if not isinstance(values, (list, tuple, set, frozenset)) or not values:
             raise FilterError("a list operator needs a non-empty list")
         if self.moment is not None:
-            return reduce(operator.or_, [self.compare("$eq", v) for v in values])
+            return reduce(operator.or_, [self._compare("$eq", v) for v in values])
         typed = [_literal(v) for v in values]
         numbers = [v for t, v in typed if t in "id"]
         tests = []
@@ -202,37 +226,41 @@ class _Field:
             whole = [int(v) for v in numbers if math.isfinite(v) and v == math.floor(v) and abs(v) <= 2**63 - 1]
             tests.append(_any_of(self.integer, whole))
         if self.double is not None:
-            tests.append(_any_of(self.double, [float(v) for v in numbers]))
+            tests.append(_any_of(self.double, [self._number(v) for v in numbers]))
         return reduce(operator.or_, tests) if tests else never()
 
 
-def _promoted(column: Column, dtype: T.DataType) -> _Field:
+def _promoted(column: Column, dtype: T.DataType, **rest: Any) -> _Field:
     if isinstance(dtype, T.BooleanType):
-        return _Field(boolean=column)
+        return _Field(boolean=column, **rest)
     if isinstance(dtype, T.StringType):
-        return _Field(text=column)
+        return _Field(text=column, **rest)
     if isinstance(dtype, T.IntegralType):
-        return _Field(integer=column)
+        return _Field(integer=column, **rest)
     if isinstance(dtype, (T.FractionalType, T.DecimalType)):
-        return _Field(double=column)
+        return _Field(double=column, single=isinstance(dtype, T.FloatType), **rest)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return _Field(text=column, moment=dtype)
+        return _Field(text=column, moment=dtype, **rest)
     raise FilterError(f"cannot filter on a column of type {dtype.simpleString()}")
 
 
 def field_resolver(schema: T.StructType) -> Callable[[str], _Field]:
-    """Field name to columns: a promoted column if there is one, else the metadata map.
+    """Field name to columns: a promoted column if there is one, and the metadata map.
 
-    Map keys are looked up whole, so names with dots work.
+    The map holds the values of a promoted key that do not fit its column. Where a DataFrame has no
+    metadata but promoted columns, the optimiser drops that part, and the column's alone reaches the
+    scan. Map keys are looked up whole, so names with dots work.
     """
 
     def resolve(name: str) -> _Field:
+        mapped = None
+        if "metadata" in schema.fieldNames():
+            value = F.col("metadata")[F.lit(name)]
+            mapped = _Field(value["s"], value["i"], value["d"], value["b"])
         if name in schema.fieldNames() and name not in RESERVED:
-            return _promoted(F.col(f"`{name}`"), schema[name].dataType)
-        if "metadata" not in schema.fieldNames():
-            return _Field()
-        value = F.col("metadata")[F.lit(name)]
-        return _Field(value["s"], value["i"], value["d"], value["b"])
+            odd = F.col(ODD).isNotNull() if ODD in schema.fieldNames() else None
+            return _promoted(F.col(f"`{name}`"), schema[name].dataType, other=mapped, odd=odd)
+        return mapped or _Field()
 
     return resolve
 

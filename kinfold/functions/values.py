@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping
 from decimal import Decimal
 from typing import Any
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,9 @@ def iso_text(value: dt.datetime) -> str:
 
 
 def primitive(value: Any) -> tuple[str, Any] | None:
-    """(type tag, plain value) of a primitive, None if `value` is not one."""
+    """(type tag, plain value) of a primitive, None if `value` is not one. NumPy scalars count as what they hold."""
+    if isinstance(value, np.generic) and not isinstance(value, (np.datetime64, np.timedelta64)):
+        value = value.item()
     if isinstance(value, bool):
         return "b", value
     if isinstance(value, str):
@@ -44,6 +47,8 @@ def primitive(value: Any) -> tuple[str, Any] | None:
         return "d", float(value)
     if isinstance(value, dt.datetime):
         return "s", iso_text(value)
+    if isinstance(value, dt.date):
+        return "s", iso_text(dt.datetime.combine(value, dt.time()))
     if isinstance(value, uuid.UUID):
         return "s", str(value)
     return None
@@ -84,8 +89,14 @@ def _slot(tag: str, value: Column) -> Column:
 
 
 def iso_column(ts: Column) -> Column:
-    """Timestamp to ISO-8601 text with seven fractional digits; needs a UTC session time zone."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("0Z"))
+    """Timestamp to ISO-8601 text in UTC with seven fractional digits, whatever the session time zone."""
+    micros = F.unix_micros(ts.cast("timestamp"))
+    rest = F.pmod(micros, F.lit(86_400_000_000))
+    days = ((micros - rest) / 86_400_000_000).cast("int")
+    seconds = (rest.cast("decimal(14,0)") / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    utc = F.to_timestamp_ntz(F.lit("1970-01-01")) + F.make_dt_interval(days, zero, zero, seconds)
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("0Z"))
 
 
 def value_column(value: Column, dtype: T.DataType) -> Column:
@@ -96,6 +107,8 @@ def value_column(value: Column, dtype: T.DataType) -> Column:
         return _slot("s", value)
     if isinstance(dtype, T.IntegralType):
         return _slot("i", value.cast("bigint"))
+    if isinstance(dtype, T.FloatType):
+        return _slot("d", value.cast("string").cast("double"))  # the same number, not the same bits
     if isinstance(dtype, (T.FractionalType, T.DecimalType)):
         return _slot("d", value.cast("double"))
     if isinstance(dtype, T.TimestampType):
@@ -114,15 +127,15 @@ def metadata_column(schema: T.StructType, names: Iterable[str]) -> Column:
 
 
 def typed_slot(value: Column, dtype: T.DataType) -> Column:
-    """The content of a value struct as a plain column of type `dtype`; null on another type."""
+    """The content of a value struct as a plain column of type `dtype`; null on another type or beyond its range."""
     if isinstance(dtype, T.BooleanType):
         return value["b"]
     if isinstance(dtype, T.StringType):
         return value["s"]
     if isinstance(dtype, T.IntegralType):
-        return value["i"].cast(dtype)
+        return value["i"].try_cast(dtype)
     if isinstance(dtype, (T.FractionalType, T.DecimalType)):
-        return F.coalesce(value["d"], value["i"].cast("double")).cast(dtype)
+        return F.coalesce(value["d"], value["i"].cast("double")).try_cast(dtype)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return value["s"].try_cast(dtype)
     return F.lit(None).cast(dtype)

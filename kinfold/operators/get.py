@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from typing import Union
+from typing import Any, Union
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ MAX_ID_LITERALS = 1000
 MAX_TOP_ROWS = 10_000
 # Ranges of positions counted in one step when a row is located.
 POSITION_RANGES = 4096
+# Insertion order; ids are unique, so they settle equal or missing positions.
+KEY = (*ORDER, "id")
 
 
 def ids_frame(df: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -56,20 +58,23 @@ def included_columns(
     return names
 
 
-def page(df: DataFrame, limit: int = 0, offset: int = 0, after: tuple[int, int] | None = None) -> DataFrame:
-    """One page in insertion order. A limit of 0 means no limit.
+def page(df: DataFrame, limit: int = 0, offset: int = 0, after: tuple | None = None) -> DataFrame:
+    """One page in insertion order (ties by id, nulls first). A limit of 0 means no limit.
 
-    A page near the start plans as one distributed top-n and comes back in order. Further on, or
-    when it is large, the keys of its first row and of the row behind it are found from row counts,
-    and the page is what lies between: no task ever holds skipped rows or the whole page.
-    `after` continues behind a known key and needs no offset.
+    A page near the start plans as one distributed top-n. Further on, or when it is large, the keys of
+    its first row and of the row behind it are found from row counts, and the page is what lies
+    between, sorted: no task ever holds skipped rows or the whole page. Either way the rows and their
+    order are the same. `after` continues behind a known key (batch, position and, where positions
+    repeat, id) and needs no offset. Without limit, offset and `after`, rows are not sorted.
     """
     if limit < 0 or offset < 0:
         raise ValidationError("limit and offset must not be negative")
     if after is not None:
         df = df.filter(~_before(after, inclusive=True))
+    elif not limit and not offset:
+        return df
+    ordered = df.orderBy(*KEY)
     if limit and offset + limit <= MAX_TOP_ROWS:
-        ordered = df.orderBy(*ORDER)
         return (ordered.offset(offset) if offset else ordered).limit(limit)
     rows = df
     if offset:
@@ -81,45 +86,71 @@ def page(df: DataFrame, limit: int = 0, offset: int = 0, after: tuple[int, int]
         end = _key_at(df, offset + limit)
         if end is not None:
             rows = rows.filter(_before(end))
-    return rows
+    return rows.orderBy(*KEY)
 
 
-def _before(key: tuple[int, int], inclusive: bool = False) -> Column:
-    batch, pos = F.col("_batch"), F.col("_pos")
-    inside = pos <= key[1] if inclusive else pos < key[1]
-    return (batch < key[0]) | ((batch == key[0]) & inside)
+def _before(key: tuple, inclusive: bool = False) -> Column:
+    """Whether a row stands before a key, nulls first; `inclusive` counts rows with the key itself."""
+    test = F.lit(inclusive)
+    for name, value in reversed(list(zip(KEY, key))):
+        column = F.col(name)
+        if value is None:
+            test = column.isNull() & test
+        else:
+            test = column.isNull() | (column < value) | ((column == value) & test)
+    return F.coalesce(test, F.lit(False))
 
 
-def _locate(counts: DataFrame, key: str, skip: int) -> tuple[int, int] | None:
-    """(key, rows before it) of the group that holds row number `skip` in key order."""
-    upto = F.sum("n").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
-    found = counts.withColumn("upto", upto).filter(F.col("upto") > skip).orderBy(key).limit(1).collect()
-    return (found[0][key], found[0]["upto"] - found[0]["n"]) if found else None
+def _part_at(counts: DataFrame, skip: int) -> tuple[Any, int] | None:
+    """(part, rows before it) of the part that holds row number `skip`, from counts `n` of few parts."""
+    upto = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0))
+    found = counts.withColumn("upto", upto).filter(F.col("upto") > skip).orderBy("part").limit(1).collect()
+    return (found[0]["part"], found[0]["upto"] - found[0]["n"]) if found else None
 
 
-def _key_at(df: DataFrame, number: int) -> tuple[int, int] | None:
+def _key_at(df: DataFrame, number: int) -> tuple | None:
     """The key of row `number` (from 0) in insertion order, None if there are fewer rows.
 
-    The row is narrowed down by row counts: first the batch, then ever smaller ranges of positions,
-    so only counts and at most MAX_TOP_ROWS keys are ever brought together.
+    The row is narrowed down by counts of ranges, at most POSITION_RANGES at a time: first of batch
+    numbers, then of positions, then of ever longer beginnings of the ids. Once few rows are left they
+    are sorted, so at most MAX_TOP_ROWS keys are ever brought together.
     """
-    rows = F.count(F.lit(1)).alias("n")
-    found = _locate(df.groupBy("_batch").agg(rows), "_batch", number)
-    if found is None:
+    rows, skip = df.select(*KEY), number
+    if rows.limit(number + 1).count() <= number:
         return None
-    batch, before = found
-    skip = number - before
-    inside = df.filter(F.col("_batch") == batch).select("_pos")
-    low, high = inside.agg(F.min("_pos"), F.max("_pos")).first()
-    while skip > MAX_TOP_ROWS and low < high:
-        width = -(-(high - low + 1) // POSITION_RANGES)
-        part = inside.filter(F.col("_pos").between(low, high))
-        ranges = part.groupBy(F.floor((F.col("_pos") - low) / width).alias("_range")).agg(rows)
-        at, before = _locate(ranges, "_range", skip)
+
+    def settled() -> tuple | None:
+        """The key itself, if the rows left are few."""
+        if rows.limit(max(MAX_TOP_ROWS, 1) + 1).count() > max(MAX_TOP_ROWS, 1):
+            return None
+        return tuple(rows.orderBy(*KEY).offset(skip).limit(1).first())
+
+    for name in ORDER:
+        if (key := settled()) is not None:
+            return key
+        nulls = rows.filter(F.col(name).isNull())
+        unknown = nulls.count()
+        if skip < unknown:
+            rows = nulls
+            continue
+        skip -= unknown
+        rows = rows.filter(F.col(name).isNotNull())
+        low, high = rows.agg(F.min(name), F.max(name)).first()
+        while low < high:
+            width = -(-(high - low + 1) // POSITION_RANGES)
+            part = ((F.col(name) - low - F.pmod(F.col(name) - low, F.lit(width))) / width).cast("bigint")
+            at, before = _part_at(rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")), skip)
+            skip -= before
+            low, high = low + at * width, min(high, low + (at + 1) * width - 1)
+            rows = rows.filter(F.col(name).between(low, high))
+    length = 0
+    while (key := settled()) is None:
+        length += 1
+        start = F.substring("id", 1, length)
+        at, before = _part_at(rows.groupBy(start.alias("part")).agg(F.count(F.lit(1)).alias("n")), skip)
         skip -= before
-        low, high = low + at * width, min(high, low + (at + 1) * width - 1)
-    part = inside.filter(F.col("_pos").between(low, high))
-    return batch, part.orderBy("_pos").offset(skip).limit(1).first()["_pos"]
+        rows = rows.filter(start == at)
+    return key
 
 
 def get(
@@ -135,7 +166,7 @@ def get(
 ) -> DataFrame:
     """Records by ids, metadata filter and text filter (ANDed), optionally one page of them.
 
-    Without a limit the rows come back unordered; order by ``_batch, _pos`` if it matters.
+    A page comes back in insertion order. Without limit and offset the rows are unordered.
     """
     rows = apply_filters(restrict_ids(df, ids), where, where_document)
     rows = page(rows, limit, offset)

@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from kinfold.errors import ValidationError
 from kinfold.functions.filters import Filter, document_column, where_column
-from kinfold.functions.values import drop_nulls, merge, typed_slot
+from kinfold.functions.values import drop_nulls, from_json_text, merge, metadata_column, typed_slot, value_column
 from kinfold.operators.get import MAX_ID_LITERALS, Ids, ids_frame
 from kinfold.plans.sizing import broadcast_limit, fits, key_list, row_bytes
-from kinfold.schema import ORDER, RESERVED, conform, empty_as_null, promoted_columns
+from kinfold.schema import METADATA, ODD, ORDER, RESERVED, conform, empty_as_null, promoted_columns
 
 
 @dataclass(frozen=True)
@@ -82,25 +82,69 @@ def _offer(batch: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(batch) if small else batch
 
 
+def with_all_metadata(batch: DataFrame, schema: T.StructType) -> DataFrame:
+    """`batch` with one typed metadata map that holds whatever the collection has no column for.
+
+    Metadata may come as JSON text or as a map of plain values. Columns unknown to the collection, and
+    columns of another type than its promoted ones, become keys of the map, which wins over them.
+    """
+    types = {f.name: f.dataType for f in schema.fields}
+    given = F.lit(None).cast(METADATA)
+    if "metadata" in batch.columns:
+        dtype = batch.schema["metadata"].dataType
+        given = F.col("metadata")
+        if isinstance(dtype, T.StringType):
+            given = from_json_text(given)
+        elif isinstance(dtype, T.MapType) and not isinstance(dtype.valueType, T.StructType):
+            given = F.map_filter(F.transform_values(given, lambda k, v: value_column(v, dtype.valueType)), lambda k, v: v.isNotNull())
+        given = given.cast(METADATA)
+    extra = [n for n in batch.columns if n not in RESERVED and types.get(n) != batch.schema[n].dataType]
+    if extra:
+        own = metadata_column(batch.schema, extra)
+        both = F.map_zip_with(F.coalesce(given, F.create_map().cast(METADATA)), own, lambda k, g, o: F.coalesce(g, o))
+        # Without any value, null metadata still means "unchanged".
+        given = F.when(given.isNull() & (F.size(own) == 0), given).otherwise(both)
+    elif "metadata" not in batch.columns:
+        return batch
+    return batch.withColumn("metadata", given).drop(*extra)
+
+
+def _split(metadata: Column, columns: dict[str, Column]) -> Column:
+    """The map without the keys that a promoted column holds; what does not fit the column stays."""
+    if not columns:
+        return metadata
+    held = F.array_compact(F.array(*[F.when(c.isNotNull(), F.lit(n)) for n, c in columns.items()]))
+    return F.map_filter(metadata, lambda k, v: ~F.array_contains(held, k))
+
+
+def _is_odd(metadata: Column, promoted: list[str]) -> Column:
+    """True where the map holds a promoted key, else null."""
+    keys = F.map_keys(F.coalesce(metadata, F.create_map().cast(METADATA)))
+    return F.when(F.exists(keys, lambda k: k.isin(promoted)), F.lit(True)) if promoted else F.lit(None).cast("boolean")
+
+
 def new_records(batch: DataFrame, schema: T.StructType, batch_no: int) -> DataFrame:
     """Batch rows as records of a collection: promoted keys out of the map, explicit nulls dropped."""
+    batch = with_all_metadata(batch, schema)
     have = set(batch.columns)
-    promoted = [f for f in schema.fields if f.name not in RESERVED]
     changes: dict[str, Column] = {"_batch": F.lit(batch_no).cast("bigint")}
     if "document" in have:
         changes["document"] = empty_as_null(F.col("document"))
     if "metadata" in have:
-        for f in promoted:
-            value = typed_slot(F.col("metadata")[F.lit(f.name)], f.dataType)
-            changes[f.name] = F.coalesce(value, F.col(f.name).cast(f.dataType)) if f.name in have else value
-        changes["metadata"] = _without(drop_nulls(F.col("metadata")), [f.name for f in promoted])
+        columns = {}
+        for f in schema.fields:
+            if f.name not in RESERVED:
+                given = F.col("metadata")[F.lit(f.name)]
+                value = typed_slot(given, f.dataType)
+                old = F.col(f"`{f.name}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)
+                columns[f.name] = F.when(given.isNotNull(), value).otherwise(old)
+        changes |= columns
+        changes["metadata"] = _split(drop_nulls(F.col("metadata")), columns)
+        if ODD in schema.fieldNames():
+            changes[ODD] = _is_odd(changes["metadata"], list(columns))
     return conform(batch.withColumns(changes), schema)
 
 
-def _without(metadata: Column, keys: list[str]) -> Column:
-    return F.map_filter(metadata, lambda k, v: ~k.isin(keys)) if keys else metadata
-
-
 def unknown_rows(base: DataFrame, batch: DataFrame, small: bool) -> DataFrame:
     """Batch rows whose id is not in the collection.
 
@@ -126,30 +170,31 @@ def _changed(base: DataFrame, batch: DataFrame) -> dict[str, Column]:
     """New content of each column, over the join of base `o` and batch `n`. Null means unchanged."""
     old, new, have = (lambda c: F.col(f"o.`{c}`")), (lambda c: F.col(f"n.`{c}`")), set(batch.columns)
     out: dict[str, Column] = {}
+    given_metadata = "metadata" in have
+    for name in promoted_columns(base):
+        dtype = base.schema[name].dataType
+        value = F.coalesce(new(name).cast(dtype), old(name)) if name in have else old(name)
+        if given_metadata:
+            given = new("metadata")[F.lit(name)]
+            value = F.when(given.isNotNull(), typed_slot(given, dtype)).otherwise(value)
+        out[name] = value
     for name in base.columns:
-        if name in ("id", *ORDER):
-            continue
-        if name not in have and not (name in promoted_columns(base) and "metadata" in have):
-            out[name] = old(name)
-        elif name == "document":
-            out[name] = F.coalesce(empty_as_null(new(name)), old(name))
-        elif name == "metadata":
-            merged = _without(merge(old(name), new(name)), promoted_columns(base))
-            out[name] = F.when(new(name).isNull(), old(name)).otherwise(merged)
+        if name == "document":
+            out[name] = F.coalesce(empty_as_null(new(name)), old(name)) if name in have else old(name)
         elif name == "embedding":
-            out[name] = F.coalesce(new(name).cast(base.schema[name].dataType), old(name))
-        else:
-            dtype = base.schema[name].dataType
-            value = F.coalesce(new(name).cast(dtype), old(name)) if name in have else old(name)
-            if "metadata" in have:
-                given = new("metadata")[F.lit(name)]
-                value = F.when(given.isNotNull(), typed_slot(given, dtype)).otherwise(value)
-            out[name] = value
+            out[name] = F.coalesce(new(name).cast(base.schema[name].dataType), old(name)) if name in have else old(name)
+        elif name == "metadata":
+            merged = merge(old(name), new(name)) if given_metadata else old(name)
+            # A value that a column now holds leaves the map, also one of another type that stood there.
+            out[name] = _split(merged, {n: out[n] for n in promoted_columns(base)})
+    if ODD in base.columns:
+        out[ODD] = _is_odd(out["metadata"], promoted_columns(base))
     return out
 
 
 def update(base: DataFrame, batch: DataFrame, small: bool | None = None) -> DataFrame:
     """Change the records with the batch's ids. Unknown ids are ignored, null fields leave the old value."""
+    batch = with_all_metadata(batch, base.schema)
     joined = base.alias("o").join(
         _offer(batch, _small(batch, small)).alias("n"), F.col("o.id") == F.col("n.id"), "left"
     )
@@ -158,21 +203,13 @@ def update(base: DataFrame, batch: DataFrame, small: bool | None = None) -> Data
 
 
 def upsert(base: DataFrame, batch: DataFrame, batch_no: int, small: bool | None = None) -> DataFrame:
-    """Change the records with known ids and append the others."""
-    if _small(batch, small):
-        fresh = unknown_rows(base, batch, True)
-        return update(base, batch, True).unionByName(new_records(fresh, base.schema, batch_no))
-    # One full outer join. Explicit nulls vanish from appended rows too, because merging does that.
-    shape = batch if "_pos" in batch.columns else batch.withColumn("_pos", F.lit(None).cast("bigint"))
-    joined = base.alias("o").join(shape.alias("n"), F.col("o.id") == F.col("n.id"), "full_outer")
-    changed = _changed(base, batch)
-    is_new = F.col("o.id").isNull()
-    order = {
-        "id": F.coalesce("o.id", "n.id"),
-        "_batch": F.when(is_new, F.lit(batch_no).cast("bigint")).otherwise(F.col("o._batch")),
-        "_pos": F.when(is_new, F.col("n._pos")).otherwise(F.col("o._pos")),
-    }
-    return joined.select(*[{**changed, **order}[c].alias(c) for c in base.columns])
+    """Change the records with known ids and append the others.
+
+    Both parts are those of :func:`update` and :func:`add`, whatever the size of the batch.
+    """
+    small = _small(batch, small)
+    fresh = unknown_rows(base, batch, small)
+    return update(base, batch, small).unionByName(new_records(fresh, base.schema, batch_no))
 
 
 def _id_column(ids: list[str]) -> Column:

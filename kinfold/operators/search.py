@@ -38,6 +38,8 @@ VECTOR_CELLS = 4_000_000
 PUSHED_VALUES = 10
 # Rows of one result batch.
 OUTPUT_ROWS = 50_000
+# Stands for a missing batch number or position inside a task; sorts first, as null does.
+NO_PLACE = np.iinfo(np.int64).min
 # Assumed size of one hit when the hits are weighed for a broadcast.
 HIT_BYTES = 256
 # Vector components recomputed at once when distances of kept pairs are made exact.
@@ -202,8 +204,8 @@ def _kernel(block: QueryBlock) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
     def offer(best: _Best, rows: pa.RecordBatch) -> None:
         x = _matrix(rows.column("embedding"), dim)
-        batch = rows.column("_batch").fill_null(0).to_numpy(zero_copy_only=False)
-        pos = rows.column("_pos").fill_null(0).to_numpy(zero_copy_only=False)
+        batch = rows.column("_batch").fill_null(NO_PLACE).to_numpy(zero_copy_only=False)
+        pos = rows.column("_pos").fill_null(NO_PLACE).to_numpy(zero_copy_only=False)
         ids = rows.column("id")
         if block.visits is None:
             _compare(best, block, everyone, x, batch, pos, ids)
@@ -227,8 +229,8 @@ def _kernel(block: QueryBlock) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                     block.qids.take(pa.array(line[0])),
                     pa.array(best.ids[line], pa.string()),
                     pa.array(best.distance[line]),
-                    pa.array(best.batch[line]),
-                    pa.array(best.pos[line]),
+                    pa.array(best.batch[line], mask=best.batch[line] == NO_PLACE),
+                    pa.array(best.pos[line], mask=best.pos[line] == NO_PLACE),
                 ],
                 names=["qid", "id", "distance", "_batch", "_pos"],
             )
@@ -335,14 +337,19 @@ def knn(
 def collected_hits(hits: DataFrame) -> tuple[Column, DataFrame]:
     """A bounded number of hits, computed now: a filter on their positions, and the hits as local rows."""
     found = hits.collect()
-    at: dict[int, list[int]] = {}
+    at: dict[int | None, set[int | None]] = {}
     for r in found:
-        at.setdefault(r["_batch"], []).append(r["_pos"])
+        at.setdefault(r["_batch"], set()).add(r["_pos"])
     place = F.lit(False)
-    for batch, positions in at.items():
+    # The places only say where to look: the records are joined by id.
+    for batch, held in at.items():
+        inside = F.col("_batch").isNull() if batch is None else F.col("_batch") == batch
+        if None in held:
+            place = place | (inside & F.col("_pos").isNull())
+        positions = sorted(p for p in held if p is not None)
         # Short lists, because Parquet skips row groups value by value only for short ones.
         for n in range(0, len(positions), PUSHED_VALUES):
-            place = place | ((F.col("_batch") == batch) & F.col("_pos").isin(positions[n : n + PUSHED_VALUES]))
+            place = place | (inside & F.col("_pos").isin(positions[n : n + PUSHED_VALUES]))
     return place, hits.sparkSession.createDataFrame(found, hits.schema)
 
 

@@ -37,7 +37,10 @@ RECORD = T.StructType(
         T.StructField("_pos", T.LongType()),
     ]
 )
-RESERVED = tuple(RECORD.fieldNames())
+# True where the map holds a value of a promoted key that does not fit its column, else null. Stored
+# collections with promoted keys have it, so that a filter looks into the map only there.
+ODD = "_odd"
+RESERVED = (*RECORD.fieldNames(), ODD)
 ORDER = ("_batch", "_pos")
 
 

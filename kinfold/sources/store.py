@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinfold.errors import CollectionExists, CollectionNotFound, ConcurrentWrite, ValidationError
-from kinfold.schema import ORDER, RECORD
+from kinfold.schema import ODD, ORDER, RECORD
 
 FILE_BYTES = 128 * 1024 * 1024
 
@@ -82,6 +82,8 @@ class Version:
     @property
     def schema(self) -> T.StructType:
         fields = list(RECORD.fields)
+        if self.promoted:
+            fields.append(T.StructField(ODD, T.BooleanType()))
         for name, dtype in self.promoted.items():
             fields.append(T.StructField(name, T.DataType.fromDDL(dtype)))
         return T.StructType([T.StructField(f.name, f.dataType) for f in fields])

@@ -182,7 +182,7 @@ def test_large_integers_compare_exactly(spark, ids):
 
 def test_promoted_filters_reach_the_scan(spark, tmp_path, promoted):
     path = f"file://{tmp_path}/products"
-    promoted.write.parquet(path)
+    promoted.withColumn("_odd", F.lit(None).cast("boolean")).write.parquet(path)
     df = get_ops.get(
         spark.read.parquet(path),
         where={"year": {"$gt": 2015}, "category": {"$ne": "x"}},
