@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: White space between words, as bytes: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = bytes([32, 9, 10, 11, 12, 13])
 #: Text bytes that one step of a numpy kernel takes, so its arrays stay within some tens of MB.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -84,6 +84,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES
             end = max(begin + 1, int(np.searchsorted(at, at[begin] + most, "right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
+    # Python workers live on between tasks and should not keep what Arrow no longer needs.
+    pa.default_memory_pool().release_unused()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
