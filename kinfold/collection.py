@@ -258,7 +258,8 @@ class Collection:
         if vectors is None:
             if self._embedder is None:
                 raise ValidationError("cannot query by text without an embedding function")
-            vectors = texts.withColumn("embedding", self._embedder.embed(F.col("text")))
+            search.ensure_checkpoint_dir(texts, f"{self._store.path}/checkpoints")
+            vectors = texts.withColumn("embedding", self._embedder.embed(F.col("text"))).checkpoint()
         return search.knn_join(
             self._store.read(version),
             vectors,

@@ -5,15 +5,17 @@ An embedder is any object with ``embed(text: Column) -> Column`` and a JSON-able
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any, Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinfold.functions.distance import l2_normalise
 from kinfold.functions.text import is_blank, tokens
 from kinfold.schema import EMBEDDING
 
@@ -51,7 +53,7 @@ class BatchEmbedder:
                 if len(made) != int(given.sum()):
                     raise ValueError("the embedding function must return one vector per text")
                 for at, vector in zip(given.nonzero()[0], made):
-                    vectors[at] = [float(x) for x in vector]
+                    vectors[at] = np.asarray(vector, dtype=np.float32)
                 yield pd.Series(vectors, dtype=object)
 
         self._run = run
@@ -63,8 +65,8 @@ class BatchEmbedder:
 class HashedWords:
     """Bag of words hashed into `dim` slots by relative word frequency, scaled to unit length.
 
-    Runs inside the scan stage: no explode and no shuffle. Slot numbers are sorted together with one
-    marker per slot, so the gap between two neighbouring markers is the number of words in a slot.
+    Words are split by built-in functions; Arrow batches of them go to a function that hashes each
+    distinct word of a batch once and counts slots for all rows at a time. No explode and no shuffle.
     """
 
     def __init__(self, dim: int):
@@ -73,32 +75,25 @@ class HashedWords:
         self.dim = dim
         self.configuration = {"type": "hashed_words", "dimension": dim}
 
-    def _slot(self, word: Column) -> Column:
-        head = F.substring(F.md5(word.cast("binary")), 1, 8)
-        return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(self.dim)).cast("int")
+        @F.arrow_udf(EMBEDDING)
+        def count(words: pa.Array) -> pa.Array:
+            words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
+            rows, sizes = len(words), words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            coded = words.flatten().dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            slot_of = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim for w in distinct], np.int64)
+            slots = slot_of[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
+            place = np.repeat(np.arange(rows), sizes) * dim + slots
+            vectors = np.bincount(place, minlength=rows * dim).reshape(rows, dim) / np.maximum(sizes, 1)[:, None]
+            length = np.sqrt(np.square(vectors).sum(axis=1, keepdims=True))
+            vectors = (vectors / np.where(length > 0, length, 1.0)).astype(np.float32)
+            return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * dim), pa.array(vectors.ravel()))
+
+        self._count = count
 
     def embed(self, text: Column) -> Column:
         words = F.when(is_blank(text), F.array().cast("array<string>")).otherwise(tokens(text))
-        markers = F.sequence(F.lit(0), F.lit(self.dim))
-        ordered = F.sort_array(F.concat(F.transform(words, self._slot), markers))
-
-        def vector(slots: Column) -> Column:
-            total = F.size(slots) - F.lit(self.dim + 1)
-            found = F.array(F.transform(markers, lambda i: F.array_position(slots, i)))
-
-            def weights(places: Column) -> Column:
-                later, earlier = F.slice(places, 2, self.dim), F.slice(places, 1, self.dim)
-                counts = F.zip_with(later, earlier, lambda b, a: b - a - 1)
-                return F.transform(counts, lambda n: F.when(n > 0, n.cast("double") / total).otherwise(0.0))
-
-            return F.get(F.transform(found, weights), F.lit(0))
-
-        # One-element transforms name the intermediate arrays, so each is computed once per row.
-        counted = F.transform(F.array(ordered), vector)
-        made = F.get(F.transform(counted, l2_normalise), F.lit(0)).cast(EMBEDDING)
-        # Never null; the fallback says so to the optimiser, which then drops null checks on the
-        # vector instead of computing it once more for each of them.
-        return F.coalesce(made, F.lit([0.0] * self.dim).cast(EMBEDDING))
+        return self._count(words)
 
 
 class Constant:
@@ -113,10 +108,12 @@ class Constant:
 
 
 class SeededRandom:
-    """Pseudo-random components in [0, 1) drawn from the text itself, so reruns agree."""
+    """Pseudo-random components in [0, 1) drawn from the text itself, so reruns agree.
+
+    A component is made of the first 13 hexadecimal digits of the md5 of seed, place and text.
+    """
 
-    # Fixed value: 2**53, the number of evenly spaced doubles in [0, 1).
-    STEPS = 9007199254740992
+    STEPS = 1 << 52
 
     def __init__(self, dim: int, seed: int = 42):
         self.dim, self.seed = dim, seed
@@ -124,8 +121,9 @@ class SeededRandom:
 
     def embed(self, text: Column) -> Column:
         def draw(i: Column) -> Column:
-            bits = F.xxhash64(F.coalesce(text, F.lit("")), i, F.lit(self.seed))
-            return F.pmod(bits, F.lit(self.STEPS)) / F.lit(float(self.STEPS))
+            named = F.concat(F.lit(f"{self.seed}|"), i.cast("string"), F.lit("|"), F.coalesce(text, F.lit("")))
+            digits = F.substring(F.md5(named.cast("binary")), 1, 13)
+            return F.conv(digits, 16, 10).cast("double") / F.lit(float(self.STEPS))
 
         return F.transform(F.sequence(F.lit(0), F.lit(self.dim - 1)), draw).cast(EMBEDDING)
 

@@ -7,6 +7,7 @@ disjunction compose, and both parts of a test on a promoted column are pushed in
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import math
 import operator
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from kinfold.errors import FilterError
 from kinfold.functions.text import contains
-from kinfold.functions.values import primitive
+from kinfold.functions.values import iso_text, primitive
 from kinfold.schema import ODD, RESERVED
 
 # The filter operators of the data model.
@@ -112,7 +113,22 @@ def filter_tree(where: Filter) -> Mapping[str, Any]:
     return where
 
 
+def _utc(value: dt.datetime) -> dt.datetime:
+    """A moment in UTC, the form that stored timestamps have; one without a zone is taken as UTC."""
+    return value.replace(tzinfo=dt.timezone.utc) if value.tzinfo is None else value.astimezone(dt.timezone.utc)
+
+
+def _spellings(value: Any) -> list[str]:
+    """The texts that stand for a value: a moment may be stored in UTC, without a zone, or as it was written."""
+    text = _literal(value)[1]
+    if not isinstance(value, dt.datetime):
+        return [text]
+    return list(dict.fromkeys([text, text.removesuffix("Z"), iso_text(value)]))
+
+
 def _literal(value: Any) -> tuple[str, Any]:
+    if isinstance(value, dt.datetime):
+        return "s", iso_text(_utc(value))
     typed = primitive(value)
     if typed is None:
         raise TypeError(f"cannot filter on a value of type {type(value).__name__}")
@@ -202,6 +218,8 @@ class _Field:
                 bound = F.lit(plain).try_cast(self.moment)
                 test = self.text == bound if op == "$eq" else ORDERING[op](self.text, bound)
                 return self.text.isNotNull() & bound.isNotNull() & test
+            if op == "$eq" and len(texts := _spellings(value)) > 1:
+                return _any_of(self.text, texts)
             return _test_plain(self.text, op, plain)
         tests = []
         if self.integer is not None:
@@ -219,7 +237,7 @@ class _Field:
         numbers = [v for t, v in typed if t in "id"]
         tests = []
         if self.text is not None:
-            tests.append(_any_of(self.text, [v for t, v in typed if t == "s"]))
+            tests.append(_any_of(self.text, [s for v, (t, _) in zip(values, typed) if t == "s" for s in _spellings(v)]))
         if self.boolean is not None:
             tests.append(_any_of(self.boolean, [v for t, v in typed if t == "b"]))
         if self.integer is not None:

@@ -95,8 +95,10 @@ def iso_column(ts: Column) -> Column:
     days = ((micros - rest) / 86_400_000_000).cast("int")
     seconds = (rest.cast("decimal(14,0)") / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
     zero = F.lit(0)
-    utc = F.to_timestamp_ntz(F.lit("1970-01-01")) + F.make_dt_interval(days, zero, zero, seconds)
-    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("0Z"))
+    # As text from a time without zone: formatting a moment would go through the session's zone and its gaps.
+    utc = (F.to_timestamp_ntz(F.lit("1970-01-01")) + F.make_dt_interval(days, zero, zero, seconds)).cast("string")
+    part = F.lpad(F.pmod(micros, F.lit(1_000_000)).cast("string"), 6, "0")
+    return F.concat(F.substring(utc, 1, 10), F.lit("T"), F.substring(utc, 12, 8), F.lit("."), part, F.lit("0Z"))
 
 
 def value_column(value: Column, dtype: T.DataType) -> Column:

@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.errors import ValidationError
 
-def to_arrays(df: DataFrame, fields: dict[str, str], by: Sequence[str] = (), rank: str = "rank") -> DataFrame:
-    """Rows to parallel arrays in rank order.
 
-    `fields` maps a column to the name of its array, e.g. ``{"id": "ids"}``. A group holds the at
-    most k rows of one query.
+def to_arrays(df: DataFrame, fields: dict[str, str], by: Sequence[str], rank: str = "rank") -> DataFrame:
+    """Rows to parallel arrays in rank order, one row per group.
+
+    `fields` maps a column to the name of its array, e.g. ``{"id": "ids"}``. `by` names the query, so
+    that a group holds the at most k rows of one query and never the whole frame.
     """
+    if not by:
+        raise ValidationError("name the columns that tell queries apart")
     packed = F.sort_array(F.collect_list(F.struct(F.col(rank).alias("_rank"), *fields)))
     rows = df.groupBy(*by).agg(packed.alias("_rows"))
     return rows.select(*by, *[F.col("_rows")[c].alias(name) for c, name in fields.items()])

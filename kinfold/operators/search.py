@@ -42,6 +42,8 @@ OUTPUT_ROWS = 50_000
 NO_PLACE = np.iinfo(np.int64).min
 # Assumed size of one hit when the hits are weighed for a broadcast.
 HIT_BYTES = 256
+# Tasks whose hits of one query are merged in one step.
+MERGED_TASKS = 256
 # Vector components recomputed at once when distances of kept pairs are made exact.
 RECOMPUTE_CELLS = 8_000_000
 
@@ -284,7 +286,14 @@ def partial_hits(corpus: DataFrame, block: QueryBlock, qid_type: T.DataType) ->
 
 
 def rank_hits(hits: DataFrame, k: int) -> DataFrame:
-    """The k best hits per query with their rank, ties in insertion order."""
+    """The k best hits per query with their rank, ties in insertion order.
+
+    Hits of many tasks are cut to k in groups of tasks first, so no task gets all of a query's hits.
+    """
+    if hits.rdd.getNumPartitions() > MERGED_TASKS:
+        grouped = hits.withColumn("_group", F.spark_partition_id() % MERGED_TASKS)
+        first = Window.partitionBy("qid", "_group").orderBy("distance", *ORDER)
+        hits = grouped.withColumn("_first", F.row_number().over(first)).filter(F.col("_first") <= k).drop("_first", "_group")
     ordered = Window.partitionBy("qid").orderBy("distance", *ORDER)
     return hits.withColumn("rank", F.row_number().over(ordered)).filter(F.col("rank") <= k)
 
@@ -513,7 +522,9 @@ def knn_join_text(
     corpus: DataFrame, queries: DataFrame, embedder: Embedder, k: int = 10, text: str = "text", **options: Any
 ) -> DataFrame:
     """The k nearest records of every query text."""
-    vectors = queries.withColumn("embedding", embedder.embed(F.col(text)))
+    ensure_checkpoint_dir(corpus)
+    # The query side is read more than once; each text is embedded once.
+    vectors = queries.withColumn("embedding", embedder.embed(F.col(text))).checkpoint()
     return knn_join(corpus, vectors, k, embedding="embedding", **options)
 
 

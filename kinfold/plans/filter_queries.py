@@ -142,6 +142,21 @@ def _moment_query(name: str, promoted: bool) -> None:
         return get_ops.where(_events(t, promoted), filter).select("id")
 
 
+def _moments_query(name: str, promoted: bool, listed: bool) -> None:
+    """Equality with a moment of the table, written without a zone or with another one."""
+    first, last = "(SELECT min(ts) FROM events)", "(SELECT max(ts) FROM events)"
+
+    @query(name, f"SELECT CAST(event_id AS VARCHAR) AS id FROM events WHERE ts IN ({first}{', ' + last if listed else ''})")
+    def moments(t: Tables) -> DataFrame:
+        low, high = t["events"].agg(F.min("ts").cast("timestamp_ntz"), F.max("ts").cast("timestamp_ntz")).first()
+        away = high.replace(tzinfo=dt.timezone.utc).astimezone(dt.timezone(dt.timedelta(hours=1)))
+        return get_ops.get(_events(t, promoted), where={"ts": {"$in": [low, away]} if listed else low}).select("id")
+
+
+_moments_query("c22_moment_equals", True, False)
+_moments_query("c22_moment_equals_map", False, False)
+_moments_query("c22_moment_in", True, True)
+_moments_query("c22_moment_in_map", False, True)
 _moment_query("c22_datetime", True)
 _moment_query("c22_datetime_map", False)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from kinfold.collection import Workspace
 from kinfold.functions import values
 from kinfold.functions.distance import l2_normalise
 from kinfold.functions.embedding import BatchEmbedder, Constant, HashedWords, SeededRandom, fill_embedding
-from kinfold.functions.filters import Where
+from kinfold.functions.filters import Where, where_column
 from kinfold.functions.text import contains, tokens
 from kinfold.operators import get as get_ops
 from kinfold.operators import mutate
@@ -33,15 +33,19 @@ def full_scan(t: Tables) -> DataFrame:
     return get_ops.get(t.docs).drop("metadata")
 
 
-def _workspace(t: Tables) -> Workspace:
+def stored_workspace(t: Tables) -> Workspace:
     """A fresh folder under the shared checkpoint folder; a temporary one where none is set (tests)."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinfold-")
+    root = t.spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not t.spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        root = tempfile.mkdtemp(prefix="kinfold-")
     return Workspace(t.spark, f"{root}/workspace-{uuid.uuid4().hex}")
 
 
 @query("a3_reopen", f"WITH {DOCS}, {FULL} SELECT id, document, lang, n_chars, CAST(len(embedding) AS INTEGER) AS dim FROM full_docs")
 def reopen(t: Tables) -> DataFrame:
-    space = _workspace(t)
+    space = stored_workspace(t)
     space.create_collection("docs", promote={"lang": "string", "n_chars": "bigint"}).add(t.full)
     stored = space.get_collection("docs").df
     return stored.select("id", "document", "lang", "n_chars", F.size("embedding").alias("dim"))
@@ -57,7 +61,7 @@ SELECT * FROM (SELECT * FROM updated UNION ALL SELECT * FROM added) WHERE label
 )
 def stored_changes(t: Tables) -> DataFrame:
     words = HashedWords(DIM)
-    space = _workspace(t)
+    space = stored_workspace(t)
     made = space.create_collection("mixed", words, promote={"label": "int", "lang": "string"})
     made.add(t.vecs)
     made.upsert(as_collection(t["documents"], id="doc_id", document="text", order="doc_id", promote=["lang"]))
@@ -171,8 +175,100 @@ def deep_page(t: Tables) -> DataFrame:
     return get_ops.get(as_collection(t["events"], id="event_id", order="event_id"), limit=40, offset=9000).select("id")
 
 
+@query(
+    "g3_large_page",
+    """SELECT CAST(event_id AS VARCHAR) AS id, row_number() OVER (ORDER BY event_id) AS place
+FROM (SELECT event_id FROM events ORDER BY event_id LIMIT 12000 OFFSET 100)""",
+)
+def large_page(t: Tables) -> DataFrame:
+    """A page beyond the size of one top-n; its own order, numbered by a counter of rows in order, is checked too."""
+    events = as_collection(t["events"], id="event_id", order="event_id")
+    rows = get_ops.get(events, limit=12_000, offset=100).select("id")
+    # The page comes sorted: partitions are ranges, and rows stand in order inside them.
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
+    return numbered.select("id", F.row_number().over(Window.orderBy("_at")).cast("bigint").alias("place"))
+
+
+@query(
+    "g3_page_without_order",
+    "SELECT CAST(event_id AS VARCHAR) AS id FROM events ORDER BY CAST(event_id AS VARCHAR) LIMIT 11000 OFFSET 50",
+)
+def page_without_order(t: Tables) -> DataFrame:
+    return get_ops.get(as_collection(t["events"], id="event_id"), limit=11_000, offset=50).select("id")
+
+
 # ------------------------------------------------------------------------- mutations
 
+_MIXED = """CASE doc_id % 4 WHEN 0 THEN 'i' WHEN 1 THEN 'd' WHEN 2 THEN 's' ELSE 'b' END"""
+
+
+def _mixed_batch(t: Tables) -> DataFrame:
+    """`documents` whose key `x` is an integer, a fraction, a text or a boolean, in turn."""
+    n, kind = F.col("doc_id"), F.col("doc_id") % 4
+    slots = [
+        F.when(kind == 0, "i").when(kind == 1, "d").when(kind == 2, "s").otherwise("b").alias("t"),
+        F.when(kind == 2, n.cast("string")).alias("s"),
+        F.when(kind == 0, n).alias("i"),
+        F.when(kind == 1, n + 0.5).alias("d"),
+        F.when(kind == 3, n % 8 == 3).alias("b"),
+    ]
+    value = F.create_map(F.lit("x"), F.struct(*slots)).cast(METADATA)
+    return t["documents"].select(n.cast("string").alias("id"), value.alias("metadata"), n.alias("_pos"))
+
+
+def _mixed_answer(t: Tables, promote: bool, small: bool) -> DataFrame:
+    """Which filters each record passes, and the value it holds, after an add."""
+    base = as_collection(t["documents"].filter(F.lit(False)), id="doc_id")
+    if promote:
+        base = base.withColumns({"x": F.lit(None).cast("int"), "_odd": F.lit(None).cast("boolean")})
+    rows = mutate.add(base, _mixed_batch(t), batch_no=0, small=small)
+    tests = {"above": {"x": {"$gt": 100}}, "text": {"x": "102"}, "flag": {"x": True}, "listed": {"x": {"$in": [4, 5.5, "6", True]}}, "other": {"x": {"$ne": 8}}}
+    shown = {n: where_column(w, rows) for n, w in tests.items()}
+    held = F.col("metadata")["x"]["t"]
+    tag = F.when(F.col("x").isNotNull(), "i").otherwise(held) if promote else held
+    return rows.select("id", tag.alias("tag"), *[c.alias(n) for n, c in shown.items()])
+
+
+MIXED = f"""SELECT CAST(doc_id AS VARCHAR) AS id, {_MIXED} AS tag,
+CASE doc_id % 4 WHEN 0 THEN doc_id > 100 WHEN 1 THEN doc_id + 0.5 > 100 ELSE false END AS above,
+doc_id = 102 AS text, doc_id % 8 = 3 AS flag, doc_id IN (4, 5, 6) OR doc_id % 8 = 3 AS listed, doc_id <> 8 AS other FROM documents"""
+
+
+@query("a9_mixed_types", MIXED)
+def mixed_types(t: Tables) -> DataFrame:
+    return _mixed_answer(t, promote=False, small=True)
+
+
+@query("a9_mixed_types_promoted", MIXED)
+def mixed_types_promoted(t: Tables) -> DataFrame:
+    return _mixed_answer(t, promote=True, small=True)
+
+
+@query("a9_mixed_types_promoted_large_batch", MIXED)
+def mixed_types_promoted_large(t: Tables) -> DataFrame:
+    return _mixed_answer(t, promote=True, small=False)
+
+
+@query("a9_extra_columns", f"WITH {DOCS} SELECT id, lang, n_chars, coalesce(quality, -1) AS quality FROM docs")
+def extra_columns(t: Tables) -> DataFrame:
+    """Columns that the collection does not know become metadata."""
+    base = as_collection(t["documents"].filter(F.lit(False)), id="doc_id")
+    batch = t.labelled().select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("_pos"), "lang", "n_chars", "quality")
+    rows = mutate.add(base, batch, batch_no=0)
+    value = F.col("metadata")
+    return rows.select("id", value["lang"]["s"].alias("lang"), value["n_chars"]["i"].alias("n_chars"), F.coalesce(value["quality"]["i"], F.lit(-1)).cast("int").alias("quality"))
+
+
+@query(
+    "a8_float",
+    "SELECT DISTINCT CAST(l_discount AS VARCHAR) AS text, CAST(l_discount AS DOUBLE) AS number FROM lineitem",
+)
+def float_values(t: Tables) -> DataFrame:
+    """Single-precision numbers come out as the same number."""
+    rows = t["lineitem"].select("l_discount", F.col("l_discount").cast("float").alias("f")).distinct()
+    m = values.metadata_column(rows.schema, ["f"])
+    return rows.select(F.col("l_discount").cast("string").alias("text"), m["f"]["d"].alias("number"))
+
 
 def _embedded_batch(t: Tables) -> DataFrame:
     """`documents` with vectors as a batch, checkpointed because a mutation reads its batch several times."""
@@ -251,6 +347,11 @@ CASE WHEN v.vec_id IS NULL THEN 1 ELSE 0 END AS batch
 FROM embeddings v FULL JOIN documents d ON v.vec_id = d.doc_id"""
 
 
+@query("h4_update_large_batch", UPDATED)
+def update_large(t: Tables) -> DataFrame:
+    return _shown(mutate.update(t.docs_in_map(["lang", "source", "n_chars"]), _label_batch(t), small=False))
+
+
 def _upserted(t: Tables, small: bool) -> DataFrame:
     rows = mutate.upsert(t.vecs, _embedded_batch(t), batch_no=1, small=small)
     return rows.select("id", "label", "document", F.col("_batch").cast("int").alias("batch"))
@@ -437,7 +538,12 @@ def constant(t: Tables) -> DataFrame:
     return rows.select("doc_id", F.size("v").alias("dim"), rounded(F.get("v", F.lit(0)).cast("double"), "first"))
 
 
-@query("j6_seeded_random")
+@query(
+    "j6_seeded_random",
+    """SELECT doc_id, i + 1 AS place, round(CAST(CAST(
+  CAST('0x' || substr(md5('42|' || i || '|' || coalesce(text, '')), 1, 13) AS BIGINT) / 4503599627370496.0 AS FLOAT) AS DOUBLE), 6) AS x
+FROM documents, range(8) AS r(i)""",
+)
 def seeded_random(t: Tables) -> DataFrame:
     rows = t["documents"].select("doc_id", SeededRandom(8).embed(F.col("text")).alias("embedding"))
     return _components(rows, "doc_id")

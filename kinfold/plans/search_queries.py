@@ -9,6 +9,7 @@ from kinfold.functions.distance import SPACES, distance, vector_literal
 from kinfold.functions.embedding import HashedWords
 from kinfold.functions.filters import Where
 from kinfold.operators import approximate, results, search
+from kinfold.plans.record_queries import stored_workspace
 from kinfold.plans.registry import DOCS, FULL, VECS, cosine, hashed_words, ip, l2, query
 from kinfold.plans.tables import Tables, rounded
 
@@ -179,24 +180,56 @@ def no_matches(t: Tables) -> DataFrame:
     return search.knn(t.vecs, t.vector(0), where={"label": -1}).select("id", rounded("distance"))
 
 
+# ------------------------------------------------------------------------- stored collections
+
+
+def _stored(t: Tables):
+    """The vectors added to a stored collection as a batch without an order column."""
+    made = stored_workspace(t).create_collection("vecs", promote={"label": "int"})
+    made.add(t["embeddings"].select(F.col("vec_id").cast("string").alias("id"), "embedding", "label"))
+    return made
+
+
+@query("d1_stored_query", f"WITH {VECS} {_nearest('vecs')}")
+def stored_query(t: Tables) -> DataFrame:
+    return _stored(t).query(t.vector(0)).select("id", rounded("distance"))
+
+
+@query("d1_stored_query_many_results", f"WITH {VECS} {_nearest('vecs', k=1001, condition='label < 100')}")
+def stored_query_many_results(t: Tables) -> DataFrame:
+    return _stored(t).query(t.vector(0), n_results=1001, where={"label": {"$lt": 100}}).select("id", rounded("distance"))
+
+
+@query("d7_stored_query_many", f"WITH {VECS}, {MEANS} {_joined('means', 'l2', 5)}")
+def stored_query_many(t: Tables) -> DataFrame:
+    found = _stored(t).query_many(vectors=t.label_means(), n_results=5)
+    return found.select("qid", "id", "label", "rank", rounded("distance"))
+
+
 # ------------------------------------------------------------------------- approximate
 
 
-@query("d9_approximate")
+@query("d9_approximate", "SELECT DISTINCT label AS qid, CAST(10 AS BIGINT) AS hits, true AS exact FROM embeddings")
 def approximate_join(t: Tables) -> DataFrame:
     cells = approximate.train_cells(t.vecs, cells=16, iterations=5)
     assigned = approximate.assign_cells(t.vecs, cells)
     found = approximate.approximate_knn_join(assigned, cells, t.label_means(), k=10, probes=4)
-    return found.select("qid", "id", "label", "rank", rounded("distance"))
+    # Which rows it finds is its own affair; that there are k, at their true distance, is not.
+    means = t.label_means().withColumnRenamed("embedding", "q")
+    stored = t.vecs.select("id", F.col("embedding").alias("v"))
+    true = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("double") - b), F.lit(0.0), lambda s, x: s + x * x)
+    held = found.select("qid", "id", "distance").join(stored, "id").join(means, "qid")
+    same = F.abs(F.col("distance") - true) < 1e-6
+    return held.groupBy("qid").agg(F.count(F.lit(1)).alias("hits"), F.every(same).alias("exact"))
 
 
-@query("d9_recall")
+@query("d9_recall", "SELECT true AS good")
 def approximate_recall(t: Tables) -> DataFrame:
     cells = approximate.train_cells(t.vecs, cells=16, iterations=5)
     assigned = approximate.assign_cells(t.vecs, cells)
     queries = t["embeddings"].select(F.col("vec_id").alias("qid"), "embedding")
     found = approximate.approximate_knn_join(assigned, cells, queries, k=10, probes=8)
-    return approximate.recall(found, search.knn_join(t.vecs, queries, k=10))
+    return approximate.recall(found, search.knn_join(t.vecs, queries, k=10)).select((F.col("recall") >= 0.8).alias("good"))
 
 
 @query("d9_all_cells", f"WITH {VECS}, {MEANS} {_joined('means', 'l2', 10)}")

@@ -37,38 +37,38 @@ def test_life_cycle(workspace):
 
 @pytest.mark.parametrize("promote", [{}, {"category": "string", "updated": "boolean"}])
 def test_workflow(workspace, ids, promote):
-    c = workspace.create_collection("flow", HashedWords(10), {"description": "workflow"}, promote=promote)
+    c = workspace.create_collection("flow", HashedWords(10), {"description": "field notes"}, promote=promote)
     c.add(
         [
-            Record.of_text("doc1", "The quick brown fox jumps over the lazy dog", {"category": "example", "tags": ["animals", "classic"]}),
-            Record.of_text("doc2", "The five boxing wizards jump quickly", {"category": "example", "tags": ["wizards", "classic"]}),
-            Record.of_text("doc3", "A store for keeping and searching embeddings", {"category": "documentation", "tags": ["database"]}),
+            Record.of_text("doc1", "Grey herons stand still at the weir", {"category": "bird", "tags": ["water", "grey"]}),
+            Record.of_text("doc2", "Swifts sleep on the wing above the town", {"category": "bird", "tags": ["air"]}),
+            Record.of_text("doc3", "How to mend a bicycle chain", {"category": "manual", "tags": ["tools"]}),
         ]
     )
     assert c.count() == 3
-    assert sorted(ids(c.where_equals("category", "example"))) == ["doc1", "doc2"]
-    c.update(Record("doc1", None, "The quick brown fox jumps over the lazy dog - UPDATED", {"category": "example", "tags": ["animals", "updated"], "updated": True}))
+    assert sorted(ids(c.where_equals("category", "bird"))) == ["doc1", "doc2"]
+    c.update(Record("doc1", None, "Grey herons stand still at the weir all winter", {"category": "bird", "tags": ["water", "winter"], "updated": True}))
     one = c.get_by_id("doc1")
-    assert one.text.endswith("UPDATED") and one.metadata["updated"] is True and one.metadata["tags"] == '["animals","updated"]'
-    c.upsert([Record("doc2", None, "The five boxing wizards jump quickly - UPDATED", {"updated": True}), Record("doc4", None, "This is a new document added via upsert", {"category": "new"})])
+    assert one.text.endswith("winter") and one.metadata["updated"] is True and one.metadata["tags"] == '["water","winter"]'
+    c.upsert([Record("doc2", None, "Swifts sleep on the wing above the harbour", {"updated": True}), Record("doc4", None, "Notes on a late frost in the orchard", {"category": "diary"})])
     assert c.count() == 4
     c.delete(["doc3"])
     assert c.count() == 3 and c.get_by_id("doc3") is None
-    found = c.search("updated", filter=Where().equals("category", "example"))
+    found = c.search("winter", filter=Where().equals("category", "bird"))
     assert sorted(ids(found)) == ["doc1", "doc2"]
     assert sorted(ids(c.where(Where().equals("updated", True)))) == ["doc1", "doc2"]
-    assert ids(c.search_equals("new document", "category", "new")) == ["doc4"]
+    assert ids(c.search_equals("late frost", "category", "diary")) == ["doc4"]
     assert [r["id"] for r in c.df.orderBy("_batch", "_pos").collect()] == ["doc1", "doc2", "doc4"]
 
 
-def test_batch_of_a_hundred(workspace, ids):
+def test_pages_of_a_batch(workspace, ids):
     c = workspace.create_collection("batch", WORDS)
-    c.add([Record(f"doc-{i}", None, f"Document number {i} with some text content", {"index": i, "batch": "test"}) for i in range(100)])
-    assert c.count() == 100
-    assert ids(c.get(limit=10)) == [f"doc-{i}" for i in range(10)]
+    c.add([Record(f"obs{i}", None, f"{i} geese flew over the salt marsh", {"geese": i, "site": "marsh"}) for i in range(90)])
+    assert c.count() == 90
+    assert ids(c.get(limit=12)) == [f"obs{i}" for i in range(12)]
     first, second = ids(c.get(limit=3)), ids(c.get(limit=3, offset=3))
     assert len(set(first + second)) == 6
-    assert len(ids(c.where(Where().greater_than("index", 89)))) == 10
+    assert len(ids(c.where(Where().greater_than("geese", 82)))) == 7
 
 
 def test_distances_do_not_decrease(workspace):
@@ -84,15 +84,15 @@ def test_filtered_and_text_queries(workspace, ids):
     c = workspace.create_collection("text", WORDS)
     c.add(
         [
-            Record("doc1", None, "The quick brown fox jumps over the lazy dog", {"source": "test"}),
-            Record("doc2", None, "Artificial intelligence is transforming the world", {"source": "test"}),
-            Record("doc3", None, "The fox ran across the field", {"source": "other"}),
+            Record("doc1", None, "An otter slept under the old bridge", {"source": "diary"}),
+            Record("doc2", None, "Rain is expected in the northern valleys", {"source": "diary"}),
+            Record("doc3", None, "The otter crossed the road", {"source": "letter"}),
         ]
     )
-    assert sorted(ids(c.query(text="fox", where_document='{"$contains": "fox"}'))) == ["doc1", "doc3"]
-    assert ids(c.query(text="fox", where_document={"$contains": "fox"}, where={"source": "other"})) == ["doc3"]
-    assert ids(c.query(text="the fox ran across the field", n_results=1)) == ["doc3"]
-    texts = c.spark.createDataFrame([(1, "quick brown fox"), (2, "intelligence world")], "qid int, text string")
+    assert sorted(ids(c.query(text="otter", where_document='{"$contains": "otter"}'))) == ["doc1", "doc3"]
+    assert ids(c.query(text="otter", where_document={"$contains": "otter"}, where={"source": "letter"})) == ["doc3"]
+    assert ids(c.query(text="the otter crossed the road", n_results=1)) == ["doc3"]
+    texts = c.spark.createDataFrame([(1, "otter slept bridge"), (2, "rain valleys")], "qid int, text string")
     hits = c.query_many(texts=texts, n_results=1).collect()
     assert {r["qid"]: r["id"] for r in hits} == {1: "doc1", 2: "doc2"}
     plain = workspace.get_collection("text")

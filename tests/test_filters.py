@@ -116,13 +116,13 @@ def test_not_equal(spark, ids):
 
 def test_document_filter(spark, ids):
     texts = [
-        "The quick brown fox jumps over the lazy dog",
-        "Artificial intelligence is transforming the world",
-        "The fox ran across the field",
+        "An otter slept under the old bridge",
+        "Rain is expected in the northern valleys",
+        "The otter crossed the road",
         None,
     ]
     df = make(spark, [(f"doc{i}", x, {"source": "test"}) for i, x in enumerate(texts, 1)])
-    assert sorted(ids(get_ops.get(df, where_document='{"$contains": "fox"}'))) == ["doc1", "doc3"]
+    assert sorted(ids(get_ops.get(df, where_document='{"$contains": "otter"}'))) == ["doc1", "doc3"]
     assert sorted(ids(get_ops.get(df, where_document={"$contains": "Fox"}))) == []
     kept = mutate.delete(df, where_document={"$contains": "fox"})
     assert sorted(ids(kept)) == ["doc2", "doc4"]

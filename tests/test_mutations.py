@@ -99,9 +99,35 @@ def test_validation(spark):
         check(A, dim=3)
 
 
-def test_promoted_type_mismatch_is_null(spark):
-    base = start(spark, [A], "x bigint")
-    assert base.first()["x"] == 1 and "x" not in unpack_all(base.first()["metadata"])
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("promote", ["", "x int", "x int, _odd boolean"])
+def test_values_that_do_not_fit_a_promoted_key_stay(spark, small, promote):
+    given = {"a": "2021", "b": 2021.5, "c": 2**40, "d": 7, "e": True, "f": None}
+    base = start(spark, [Record(i, [1.0], "t", {"x": v}) for i, v in given.items()], promote)
+
+    def held(df):
+        return {i: r[2].get("x") for i, r in rows(df.drop("_odd")).items()}
+
+    assert held(base) == given
+    tests = [({"x": "2021"}, "a"), ({"x": {"$gt": 100}}, "bc"), ({"x": True}, "e"), ({"x": {"$in": [7, 2**40]}}, "cd"), ({"x": {"$ne": 7}}, "abcef")]
+    for where, wanted in tests:
+        assert "".join(sorted(r["id"] for r in get_ops.get(base, where=where).collect())) == wanted
+    changes = {"a": 5, "b": None, "c": "new", "d": "text", "e": 9}
+    batch = records_frame(spark, [Record(i, None, None, {"x": v}) for i, v in changes.items()])
+    assert held(mutate.update(base, batch, small)) == {**changes, "f": None}
+    batch = records_frame(spark, [Record(i, [2.0], None, {"x": v}) for i, v in {**changes, "z": "odd", "y": 3}.items()])
+    assert held(mutate.upsert(base, batch, 1, small)) == {**changes, "f": None, "z": "odd", "y": 3}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_columns_of_a_batch_become_metadata(spark, small):
+    base = start(spark, [A, B], "x bigint")
+    new = spark.sql("SELECT 'c' AS id, array(1.0F) AS embedding, 'ann' AS author, 5L AS x, map('k', 'v', 'author', 'bob') AS metadata, 3L AS _pos")
+    assert rows(mutate.add(base, new, 1, small))["c"] == ([1.0], None, {"author": "bob", "k": "v", "x": 5})
+    text = spark.sql("""SELECT 'a' AS id, '{"n": 2.5, "y": null}' AS metadata, 9 AS level, 'many' AS x""")
+    assert rows(mutate.update(base, text, small))["a"] == ([1.0, 0.0], "text a", {"n": 2.5, "level": 9, "x": "many"})
+    nulls = spark.sql("SELECT 'n' AS id, array(1.0F) AS embedding, 5L AS x, CAST(NULL AS STRING) AS author, 1L AS _pos")
+    assert rows(mutate.upsert(base, nulls, 1, small))["n"] == ([1.0], None, {"x": 5})
 
 
 def test_conform(spark):
@@ -130,6 +156,19 @@ def test_offset_without_limit(spark, monkeypatch, offset, cut):
     assert in_order(get_ops.page(df, limit=7, offset=offset)) == in_order(df)[offset : offset + 7]
 
 
+@pytest.mark.parametrize("top", [0, 1, 10_000])
+@pytest.mark.parametrize("kind", ["unique", "equal", "missing"])
+def test_pages_are_alike_whatever_their_size(spark, monkeypatch, top, kind):
+    monkeypatch.setattr(get_ops, "MAX_TOP_ROWS", top)
+    monkeypatch.setattr(get_ops, "POSITION_RANGES", 5)
+    pos = {"unique": F.col("id") * 7, "equal": F.lit(4).cast("bigint"), "missing": F.when(F.col("id") % 2 == 0, F.col("id"))}[kind]
+    df = spark.range(60).select(F.col("id").cast("string").alias("id"), F.lit(0).cast("bigint").alias("_batch"), pos.alias("_pos")).repartition(3)
+    whole = [r["id"] for r in df.orderBy("_batch", "_pos", "id").collect()]
+    for limit, offset in [(50, 0), (7, 20), (60, 55), (0, 31), (5, 60)]:
+        got = [r["id"] for r in get_ops.page(df, limit, offset).collect()]
+        assert got == whole[offset : offset + limit if limit else None]
+
+
 def test_pages_cover_the_whole(spark):
     df = paged(spark, 25)
     pages = [get_ops.page(df, limit=10, offset=o) for o in (0, 10, 20)]

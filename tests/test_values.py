@@ -105,3 +105,30 @@ def test_columns_of_every_type(spark):
     assert values.unpack_all(m) == {
         "s": "x", "i": 3, "d": 1.5, "b": True, "t": "2023-01-01T12:00:00.1234560Z", "a": "[1,2]",
     }
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/New_York"])
+def test_moments_are_written_in_utc(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        micros = [0, -1, 1679794200123456, 1698539400000001, 1672574400000000]  # also hours that clocks skip or repeat
+        df = spark.createDataFrame([(m,) for m in micros], "m long").select("m", values.iso_column(F.timestamp_micros("m")).alias("t"))
+        for r in df.collect():
+            at = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=r["m"])
+            assert r["t"] == values.iso_text(at)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_python_values():
+    import numpy as np
+
+    assert values.primitive(np.int64(3)) == ("i", 3) and values.primitive(np.bool_(True)) == ("b", True)
+    assert values.primitive(np.float32(0.5)) == ("d", 0.5) and values.primitive(np.str_("x")) == ("s", "x")
+    assert values.primitive(dt.date(2024, 2, 3)) == ("s", "2024-02-03T00:00:00.0000000")
+
+
+def test_single_precision_is_the_same_number(spark):
+    df = spark.sql("SELECT 3.14F AS f")
+    assert df.select(values.metadata_column(df.schema, ["f"])["f"]["d"]).first()[0] == 3.14
