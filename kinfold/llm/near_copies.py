@@ -9,8 +9,8 @@ equal to their weighted Jaccard similarity.
 Registers are banded. Texts that meet in a band are compared by their whole multisets: all pairs of
 small buckets; in a large bucket each text with the most central one (that which meets most others),
 then what is not connected again with the most central of the rest, and what still stands apart with
-every text that it meets in two bands. With 25 bands of 5 a pair at the threshold is missed with a
-chance below 0.0001 (0.001 where two bands are asked for). Links make classes, transitively.
+every text of the bucket, block by block. With 25 bands of 5 a pair at the threshold is missed with a
+chance below 0.0001. Links make classes, transitively.
 
 Copies of a text are one text throughout; they share its class. Texts without words are copies of each
 other only. Null text counts as empty, null ids never name a class unless it has no other. Repeated rows
@@ -33,6 +33,8 @@ SHINGLE = 5
 BANDS, ROWS = 25, 5
 #: Texts of a bucket among which all pairs are compared.
 SMALL_BUCKET = 12
+#: Texts of a block, about, where large buckets are compared in blocks.
+BLOCK_TEXTS = 128
 
 
 def shingles_of(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,6 +177,70 @@ def _star(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.col("node").alias("a")).join(leaders, "key")
 
 
+def overlaps(a: list[str], b: list[str]) -> np.ndarray:
+    """Weighted Jaccard similarity of each text of `a` with each of `b`.
+
+    The second occurrence of a shingle is an element of its own, and so on: then shared elements can be
+    counted by products of matrices, some thousand elements at a time.
+    """
+    sides, totals = [], []
+    for texts in (a, b):
+        shingle, row = shingles_of(*flat_bytes(pa.array(texts, pa.large_string())))
+        order = np.lexsort((shingle, row))
+        shingle, row = shingle[order], row[order]
+        fresh = np.append(True, (shingle[1:] != shingle[:-1]) | (row[1:] != row[:-1]))[: len(row)]
+        at = np.arange(len(row))
+        nth = at - np.maximum.accumulate(np.where(fresh, at, 0)) if len(row) else at
+        sides.append((mixed(shingle + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), row))
+        totals.append(np.bincount(row, minlength=len(texts)))
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    both = np.zeros((len(a), len(b)))
+    for begin in range(0, len(shared), 4096):
+        part, tables = shared[begin : begin + 4096], []
+        for (key, row), texts in zip(sides, (a, b)):
+            place = np.minimum(np.searchsorted(part, key), len(part) - 1)
+            hit = part[place] == key
+            table = np.zeros((len(texts), len(part)), np.float32)
+            table[row[hit], place[hit]] = 1
+            tables.append(table)
+        both += tables[0] @ tables[1].T
+    return both / np.maximum(totals[0][:, None] + totals[1][None, :] - both, 1)
+
+
+def _in_blocks(marked: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links of the texts that stand apart in a large bucket with any text in it.
+
+    Both sides are dealt into blocks, and a task compares two blocks by whole multisets. What leaves it is
+    a link for each two labels that have one, never a pair that is not similar.
+    """
+    keys = marked.filter("apart").select("key").distinct()
+    rows = marked.join(F.broadcast(keys) if fits(keys) else keys, "key", "left_semi")
+    nodes = rows.select("node").distinct()
+    nodes = F.broadcast(nodes) if fits(nodes) else nodes
+    bodies = stored(texts.select("node", "text").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "block-bodies")
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK_TEXTS))
+    whole = rows.join(bodies, "node").withColumn("block", block)
+    packed = F.collect_list(F.struct("node", "label", "text"))
+    members = whole.groupBy("key", "block").agg(packed.alias("members"))
+    apart = whole.filter("apart").groupBy("key", "block").agg(packed.alias("apart")).drop("block")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                a, b = batch.column("apart")[k].as_py(), batch.column("members")[k].as_py()
+                near = overlaps([x["text"] for x in a], [x["text"] for x in b]) >= threshold
+                found = {}
+                for i, j in np.argwhere(near):
+                    if a[i]["label"] != b[j]["label"]:
+                        found.setdefault((a[i]["label"], b[j]["label"]), (a[i]["node"], b[j]["node"]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for x, _ in found.values()], pa.binary()), pa.array([y for _, y in found.values()], pa.binary())], ["a", "b"]
+                )
+
+    pairs = apart.join(members, "key").select("apart", "members")
+    return stored(pairs.mapInArrow(compare, "a binary, b binary"), "block-links")
+
+
 def near_links(signed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Labels of the nodes that are similar to others."""
     kinds = signed.filter("bands is not null").dropDuplicates(["node"])
@@ -191,19 +257,17 @@ def near_links(signed: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     for last in (False, True):
         labelled = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         main = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
-        rest = stored(labelled.join(main, "key").filter("label <> main").drop("main", "label"), "apart")
+        marked = stored(labelled.join(main, "key").withColumn("apart", F.col("label") != F.col("main")).drop("main"), "marked")
+        rest = marked.filter("apart")
         if not rest.limit(1).count():
             break
         if last:
-            # With all that they meet in two bands; sums per pair are made before the shuffle.
-            meet = rest.select("key", F.col("node").alias("a")).join(large.select("key", F.col("node").alias("b")), "key").filter("a <> b")
-            more = meet.groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands")).filter("bands > 1").select("a", "b")
+            found = _in_blocks(marked, texts, threshold)
         else:
-            more = _star(rest).select("a", "b")
-        known = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        more = more.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(known, "b", "left")
-        more = more.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-        found = _verified(more, texts, threshold)
+            more = _star(rest.select("key", "node", "size")).select("a", "b")
+            known = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+            more = more.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(known, "b", "left")
+            found = _verified(more.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"), texts, threshold)
         links = links.union(found)
         labels = components(links)
     return labels

@@ -4,10 +4,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kinfold.llm.near_copies import near_copies, signatures, similarity, without_near_copies
+from kinfold.llm.near_copies import near_copies, overlaps, signatures, similarity, without_near_copies
 from kinfold.llm.repeats import multikey_sort, removal_report, repeated_spans, without_repeats
 from tests.llm.conftest import awkward, document, prose, table
 
@@ -53,8 +54,17 @@ def group_of_near_copies():
     return rows + [document(2000, base), document(2001, base), document(2002, edited(base, 77, 60))]
 
 
-def test_classes_equal_brute_force(spark):
-    rows = awkward() + group_of_near_copies()
+@pytest.mark.parametrize("small", [12, 2])
+def test_classes_equal_brute_force(spark, monkeypatch, small):
+    from kinfold.llm import near_copies as module
+
+    monkeypatch.setattr(module, "SMALL_BUCKET", small)
+    monkeypatch.setattr(module, "BLOCK_TEXTS", 5)
+    # A chain too: each text is near to the next only.
+    chain = [prose(98, 300)]
+    for k in range(8):
+        chain.append(edited(chain[-1], 300 + k, 6))
+    rows = awkward() + group_of_near_copies() + [document(3000 + k, x) for k, x in enumerate(chain)]
     got = near_copies(table(spark, rows, extra=True)).collect()
     assert sorted((str(r["doc_id"]), str(r["class_id"]), r["class_size"]) for r in got) == classes(rows)
 
@@ -77,6 +87,12 @@ def test_similarity_is_exact():
     assert np.allclose(similarity(pa.array(a), pa.array(b)), [jaccard(x, y) for x, y in zip(a, b)])
 
 
+def test_overlaps_equal_pairwise_similarity():
+    texts = ["a b c d e f g", "x y", "", "r r r r r r r r", "p q r s t", "a b c d e f g a b c d e f g", "r r r r r r"]
+    got = overlaps(texts, texts[::-1])
+    assert np.allclose(got, [[jaccard(a, b) for b in texts[::-1]] for a in texts])
+
+
 def test_signatures_estimate_weighted_similarity():
     # 30 shingles with counts 1 to 8 against other counts.
     draw = np.random.default_rng(4)
