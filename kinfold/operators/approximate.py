@@ -44,17 +44,27 @@ class Cells:
 
     def nearest(self, vectors: np.ndarray, probes: int) -> np.ndarray:
         """For each vector the numbers of its `probes` nearest centroids."""
-        c = self.centroids
+        c, n = self.centroids, max(1, min(probes, self.count))
         gaps = np.einsum("ij,ij->i", c, c)[None, :] - 2.0 * (vectors @ c.T)
-        return np.argsort(gaps, axis=1, kind="stable")[:, : max(1, min(probes, self.count))]
+        if n == 1:
+            return gaps.argmin(axis=1)[:, None]
+        if n == self.count:
+            return np.argsort(gaps, axis=1, kind="stable")
+        near = np.argpartition(gaps, n - 1, axis=1)[:, :n]
+        order = np.lexsort((near, np.take_along_axis(gaps, near, axis=1)), axis=1)
+        return np.take_along_axis(near, order, axis=1)
 
     def reachable(self, vectors: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Which cells can hold a row within the (squared) bound of each query; all, if it has none."""
         mask = np.empty((len(vectors), self.count), bool)
-        for i, (v, bound) in enumerate(zip(vectors, bounds)):
-            lowest = np.sqrt(np.square(self.centroids - v).sum(axis=1)) - self.radii
+        own = np.einsum("ij,ij->i", self.centroids, self.centroids)
+        for a in range(0, len(vectors), 256):
+            v, bound = vectors[a : a + 256], bounds[a : a + 256, None]
+            reach = own[None, :] + np.einsum("ij,ij->i", v, v)[:, None]
             # A little slack for rounding: visiting a cell too many is harmless.
-            mask[i] = ~(np.maximum(lowest, 0.0) ** 2 > bound * (1 + 1e-9) + 1e-12)
+            gap = np.maximum(reach - 2.0 * (v @ self.centroids.T) - 1e-12 * reach, 0.0)
+            lowest = np.maximum(np.sqrt(gap) - self.radii, 0.0)
+            mask[a : a + 256] = ~(lowest**2 > bound * (1 + 1e-9) + 1e-12)
         return mask
 
     def visits(self, vectors: np.ndarray, probes: int) -> np.ndarray:

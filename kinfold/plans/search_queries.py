@@ -240,6 +240,16 @@ def approximate_all_cells(t: Tables) -> DataFrame:
     return found.select("qid", "id", "label", "rank", rounded("distance"))
 
 
+@query("d9_stored_cells", f"WITH {VECS}, {MEANS} {_joined('means', 'l2', 10)}")
+def stored_cells(t: Tables) -> DataFrame:
+    """Cells trained once and stored; the search reads them back and, visiting all of them, is exact."""
+    path = f"{stored_workspace(t).root}/cells"
+    approximate.write_cells(t.vecs, approximate.train_cells(t.vecs, cells=8, iterations=3), path)
+    records, cells = approximate.read_cells(t.spark, path)
+    found = approximate.approximate_knn_join(records, cells, t.label_means(), k=10, probes=8)
+    return found.select("qid", "id", "label", "rank", rounded("distance"))
+
+
 @query("d9_pruned_exact", f"WITH {VECS}, {MEANS} {_joined('means', 'l2', 10)}")
 def pruned_exact(t: Tables) -> DataFrame:
     cells = approximate.train_cells(t.vecs, cells=16, iterations=3)
