@@ -237,10 +237,11 @@ def judge(
     sound = rows.filter(~F.col("base_failed")).select("grp", *FEATURES)
     doubled = sound.withColumn("grp", F.explode(F.array("grp", F.lit("all"))))
     found = robust_fits(doubled, steps=steps)
-    everything = found.filter("grp = 'all'").select(*[F.col(c).alias(f"all_{c}") for c in found.columns if c != "grp"])
-    names = rows.select("grp").distinct().join(found, "grp", "left").join(F.broadcast(everything), how="left")
+    everything = found.filter("grp = 'all'").select("center", "precision", "scale").first()
+    names = rows.select("grp").distinct().join(found, "grp", "left")
     few = F.coalesce(F.col("n"), F.lit(0)) < least_rows
-    names = names.select("grp", *[F.when(few, F.col(f"all_{c}")).otherwise(F.col(c)).alias(c) for c in ("center", "precision", "scale")])
+    fit = {c: F.lit(everything[c]) if everything else F.lit(None) for c in ("center", "precision", "scale")}
+    names = names.select("grp", *[F.when(few, v.cast(found.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c, v in fit.items()])
     judged = _with(rows, cut(names)).withColumn("distance", _distance() / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(F.col("doc_id").alias(id), *COUNTS, "base_failed", "distance", kept.alias("kept"))
