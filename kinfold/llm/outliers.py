@@ -1,8 +1,9 @@
 """Quality rules: word statistics of whole texts and robust multivariate outliers among them.
 
 Every language and source gets a minimum-covariance-determinant estimate of its transformed statistics:
-starting from medians, concentration steps fit mean and covariance to the three quarters of its rows
-that lie nearest, and rows whose Mahalanobis distance to the final fit is too large are rejected.
+starting from medians, concentration steps fit mean and covariance to the half of its rows that lies
+nearest, and rows whose Mahalanobis distance to the final fit is too large are rejected. So the fit holds
+while junk is less than half of a group, copies of one text included.
 All rows count in every step. A step is two aggregations with partial sums in every task; quantiles come
 from counts of fine classes of the distance, so nothing is sampled and a rerun gives the same fit.
 
@@ -13,7 +14,7 @@ gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -42,8 +43,6 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("x0", "x1", "x2", "x3", "x4")
 #: Features are kept as whole multiples of 1/1024, so that sums do not depend on their order.
 UNIT = 1024
-#: Share of rows that an estimate is concentrated on.
-CORE = 0.75
 #: Added to every variance: spread that is normal in any group, also where most values are equal.
 LEAST_VARIANCE = 0.06
 #: Median of the chi-square distribution with five degrees of freedom (fixed value).
@@ -153,14 +152,23 @@ def _class(distance: Column) -> Column:
     return F.floor(64 * F.log2(F.greatest(distance, F.lit(1e-6)))).cast("bigint")
 
 
-def _quantile(rows: DataFrame, value: str, share: float) -> DataFrame:
-    """Per group, the smallest value with at least `share` of the rows at or below it."""
+def _half(total: Column) -> Column:
+    return 0.5 * total
+
+
+def _core(total: Column) -> Column:
+    """Rows that an estimate is concentrated on: as few as leave it sound, so that the most junk may lie outside."""
+    return F.least(F.floor((total + len(FEATURES) + 1) / 2), total)
+
+
+def _quantile(rows: DataFrame, value: str, needed: Callable[[Column], Column]) -> DataFrame:
+    """Per group, the smallest value with at least `needed` of all its rows at or below it."""
     counts = rows.groupBy("grp", value).agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("grp").orderBy(value)
     below = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("n").over(Window.partitionBy("grp"))
     counts = counts.withColumn("below", below).withColumn("total", total)
-    return counts.filter(F.col("below") >= share * F.col("total")).groupBy("grp").agg(F.min(value).alias("q"))
+    return counts.filter(F.col("below") >= needed(F.col("total"))).groupBy("grp").agg(F.min(value).alias("q"))
 
 
 def _with(rows: DataFrame, groups: DataFrame, columns: str = "grp") -> DataFrame:
@@ -194,7 +202,7 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 def robust_fits(rows: DataFrame, *, steps: int = 3) -> DataFrame:
     """Estimates of the groups `grp` of `rows`: grp, n, center, precision, scale."""
-    medians = [_quantile(rows, n, 0.5).withColumnRenamed("q", n) for n in FEATURES]
+    medians = [_quantile(rows, n, _half).withColumnRenamed("q", n) for n in FEATURES]
     center = reduce(lambda a, b: a.join(b, "grp"), medians)
     p = len(FEATURES)
     start = [float(i == j) for i in range(p) for j in range(p)]
@@ -206,9 +214,9 @@ def robust_fits(rows: DataFrame, *, steps: int = 3) -> DataFrame:
     estimate = cut(estimate)
     for _ in range(steps):
         measured = _with(rows, estimate).withColumn("class", _class(_distance()))
-        core = cut(_quantile(measured, "class", CORE))
+        core = cut(_quantile(measured, "class", _core))
         estimate = cut(_moments(_with(measured, core).filter(F.col("class") <= F.col("q"))))
-    middle = _quantile(_with(rows, estimate).withColumn("class", _class(_distance())), "class", 0.5)
+    middle = _quantile(_with(rows, estimate).withColumn("class", _class(_distance())), "class", _half)
     # The core is too narrow; the median distance says by how much.
     scale = F.greatest(F.pow(F.lit(2.0), (F.col("q") + 0.5) / 64) / MEDIAN_CHI2, F.lit(1.0))
     return cut(estimate.join(middle.select("grp", scale.alias("scale")), "grp"))

@@ -121,5 +121,15 @@ def test_fits_ignore_a_quarter_of_bad_rows(spark):
     assert np.abs(shape - np.cov(clean.T)).max() < 0.25
 
 
+@pytest.mark.parametrize("copied", [130, 190])  # 30 and 39 of a hundred rows
+def test_copied_junk_in_one_group(spark, copied):
+    rows = [document(k, prose(k, 60 + k % 50)) for k in range(300)]
+    rows += [document(1000 + k, prose(5, 60).replace(" ", "*** ")) for k in range(copied)]
+    rows += [document(2000 + k, prose(k, 60 + k % 50), "en", "b") for k in range(100)]
+    kept = {r["doc_id"]: r["kept"] for r in judge(table(spark, rows)).collect()}
+    assert not any(kept[1000 + k] for k in range(copied))
+    assert all(kept[k] for k in [*range(300), *range(2000, 2100)])
+
+
 def test_outliers_of_nothing(empty):
     assert judge(empty).count() == 0
