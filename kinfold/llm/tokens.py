@@ -50,7 +50,8 @@ def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
     Every id comes from the tokenizers library. A distinct word is encoded once as long as the process
     remembers it: the vocabulary splits a text before a lone space and around a lone line feed whatever
     follows, and between letters and the signs after them, so the ids of a text are those of its parts
-    in turn. Texts with any other white space are encoded whole.
+    in turn. Texts with any other white space are encoded whole, and so are those that hold an added token
+    such as the end of a text, which the library takes as one id before it looks for words.
     """
     import os
 
@@ -58,8 +59,9 @@ def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(vocabulary)
-    library.encode_special_tokens = True
     model, letters = library.model, _byte_letters()
+    added = [re.escape(t.content) for t in library.get_added_tokens_decoder().values() if t.content]
+    odd = re.compile("|".join([_OTHER_SPACE.pattern, *added]))
 
     def whole(texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -87,12 +89,12 @@ def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
             known.clear()
             parts.clear()
             parts[""] = b""
-        other = _OTHER_SPACE.search("".join(texts)) is not None
+        other = odd.search("".join(texts)) is not None
         words: list[list[str] | None] = []
         for text in texts:
             if not text:
                 words.append([])
-            elif (other and _OTHER_SPACE.search(text)) or not _regular(text):
+            elif (other and odd.search(text)) or not _regular(text):
                 words.append(None)
             else:
                 words.append(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))

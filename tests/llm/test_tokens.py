@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kinfold.llm.orc_tokens import read_tokens, round_trip, write_tokens
 from kinfold.llm.packing import pack, pack_histogram, slots
 from kinfold.llm.tokens import default_vocabulary, encoder
-from tests.llm.conftest import awkward
+from tests.llm.conftest import awkward, document, prose, table
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +109,41 @@ def test_pack(docs, library):
 
 def test_pack_nothing(empty):
     assert pack(empty).count() == 0
+
+
+END = "<|endoftext|>"
+ENCODE = encoder(default_vocabulary())
+
+
+def holding_added_tokens():
+    texts = [f"a {END} b", f"a{END}b", END, f" {END}", f"{END}\n{END} x", f"x\t{END}\n", f"{prose(3, 60)} {END} {prose(4, 60)}", "<|endoftext |>", prose(5, 40)]
+    return [document(100 + k, t) for k, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def plain_library():
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(default_vocabulary())
+    return lambda text: found.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([END, "<|", "|>", "endoftext", "a", " ", "\n", ".", "é", "\t"]), max_size=12).map("".join), max_size=5))
+def test_added_tokens_equal_the_library(plain_library, texts):
+    assert [np.frombuffer(x, "<u4").tolist() for x in ENCODE(texts)] == [plain_library(t) for t in texts]
+
+
+def test_added_tokens_in_documents(spark, plain_library):
+    assert plain_library(f"a {END} b") == [64, 220, 50256, 275]
+    rows, start = [], 0
+    for doc, text, *_ in holding_added_tokens():
+        ids = plain_library(text) + [2]
+        rows.append((doc, start, len(ids), crc(ids)))
+        start += len(ids)
+    docs = table(spark, holding_added_tokens())
+    got = [tuple(r) for r in round_trip(docs).select("doc_id", "start", "n_tokens", "ids_crc32").collect()]
+    assert sorted(got) == rows
+    whole = {d: plain_library(t) + [0] for d, t, *_ in holding_added_tokens()}
+    packed = pack(docs, size=1024).collect()
+    assert {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in packed} == {d: (len(x), crc(x)) for d, x in whole.items()}
