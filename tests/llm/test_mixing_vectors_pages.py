@@ -153,3 +153,25 @@ def test_repeats_of_a_host_are_boilerplate(spark):
     assert got[9]["text"] == got[None]["text"] == "" and got[10]["text"].endswith("x\n\ny")
     assert all(r["n_chars"] == len(r["text"]) for r in got.values()) and main_text(df).count() == len(rows)
     assert main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="site has-sidebar"><article>{}</article></div>',
+        '<div id="page" class="menu-closed"><main>{}</main></div>',
+        '<div class="sidebar"><article>{}</article></div><div class="sidebar">x</div>',
+        '<div class="widget"><div class="menu"><main><article>{}</article></main></div></div><p>x</p>',
+        '<article><section class="side-effects">{}</section><div class="related">x</div></article>',
+        '<article><div class="article-header">{}</div></article><div class="related"><article>x</article></div>',
+        '<article><div class="header">{}</div><div class="comments"><article>x</article></div></article>',
+        '<article><div class="related-work" data-id="ad" data-grid=menu title="x id=ad">{}</div><p id=ad>y</p><div id=ad>x</div></article>',
+    ],
+)
+def test_names_around_and_inside_articles(page):
+    got = read_page(page.format("<h1>The title</h1><p>and text"))
+    assert got.has_article and got.article[:2] == ["The title", "and text"] and "x" not in got.article
+
+
+def test_noise_by_tag_still_holds_no_article():
+    assert not read_page('<aside><article>x</article></aside><nav class="a"><main>y</main></nav>').has_article
