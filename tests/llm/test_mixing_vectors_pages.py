@@ -175,3 +175,18 @@ def test_names_around_and_inside_articles(page):
 
 def test_noise_by_tag_still_holds_no_article():
     assert not read_page('<aside><article>x</article></aside><nav class="a"><main>y</main></nav>').has_article
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article><p>One <svg class="icon"/> two</p><p>three</p></article>', ["One two", "three"]),
+        ('<article><p>One <math display="block"/> two</p><svg><path d="M0"/></svg><p>three</p></article>', ["One two", "three"]),
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p><p>so</p></article>", ["Let x=1 be", "so"]),
+        ("<article><svg><svg><text>A</text><text>B</text></svg><text>C</text></svg><p>so</p></article>", ["A B C", "so"]),
+        ("<article><svg><title/><style/><script/><style>p{}</style><title>icon</title></svg><p>so</p></article>", ["so"]),
+        ("<article><svg><path><p>so</p><script>no()</script><p>on</p></article>", ["so", "on"]),
+    ],
+)
+def test_formulas_and_drawings(page, text):
+    assert read_page(page).article == text
