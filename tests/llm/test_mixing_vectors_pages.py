@@ -190,3 +190,21 @@ def test_noise_by_tag_still_holds_no_article():
 )
 def test_formulas_and_drawings(page, text):
     assert read_page(page).article == text
+
+
+def test_few_repeats_of_a_host_are_text(spark):
+    footer, passage = "all rights of this fine site are kept by us", prose(90, 30) + " endword"
+    page = "<body><div>{}</div><p>{}</p></body>"
+    texts = [prose(k, 40) for k in range(20)]
+    texts[1] = texts[0]  # one article at two addresses, with a line of its own
+    texts[2:5] = [f"{t} {passage}" for t in texts[2:5]]  # a passage quoted by three of twenty
+    rows = [(k, f"https://h.example/{k}", page.format(t + (" print" if k == 1 else ""), footer)) for k, t in enumerate(texts)]
+    rows += [(100 + k, "https://few.example/" + "ab"[k], page.format(prose(50, 40), f"{footer} {k}")) for k in range(2)]
+    rows += [(200 + k, f"https://same.example/{k}", page.format(prose(60, 40), footer)) for k in range(5)]  # one page, five addresses
+    rows += [(300 + k, f"https://mix.example/{k}", f"<article>{prose(k, 9)}</article><p>{footer}</p>") for k in range(4)]
+    rows += [(310, "https://mix.example/p", page.format(prose(70, 40), footer))]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(20)] == [t + (" print" if k == 1 else "") for k, t in enumerate(texts)]
+    assert [got[100 + k] for k in range(2)] == [f"{prose(50, 40)}\n\n{footer} {k}" for k in range(2)]
+    assert {got[200 + k] for k in range(5)} == {f"{prose(60, 40)}\n\n{footer}"}
+    assert got[310] == prose(70, 40)  # outer blocks of pages with an article are evidence
