@@ -7,8 +7,9 @@ while junk is less than half of a group, copies of one text included.
 All rows count in every step. A step is two aggregations with partial sums in every task; quantiles come
 from counts of fine classes of the distance, so nothing is sampled and a rerun gives the same fit.
 
-Null text has no words and fails the base rules. Null language or source is a value of its own. Groups
-with few rows use the estimate of all rows. Repeated rows count and are judged each. An empty table
+Null text has no words and fails the base rules. Null language or source is a value of its own. A group
+with few rows is judged by a mix, in proportion to its rows, of its own estimate and its language's; a
+language with few rows keeps nearly its own center and takes spread from all rows. Repeated rows count and are judged each. An empty table
 gives no rows. Other columns are not read.
 """
 
@@ -222,6 +223,37 @@ def robust_fits(rows: DataFrame, *, steps: int = 3) -> DataFrame:
     return cut(estimate.join(middle.select("grp", scale.alias("scale")), "grp"))
 
 
+def mixed_fits(names: DataFrame, everything, least_rows: int) -> DataFrame:
+    """Estimate of each of `names` (grp, own and tongue: fits or null), mixed with those of wider groups: grp, center, precision."""
+    size = len(FEATURES)
+
+    def parts(fit) -> tuple[int, np.ndarray, np.ndarray]:
+        return fit["n"], np.array(fit["center"]), np.linalg.inv(np.array(fit["precision"]).reshape(size, size)) * fit["scale"]
+
+    _, all_center, all_spread = parts(everything)
+
+    def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centers, precisions = [], []
+            for own, tongue in zip(batch.column("own").to_pylist(), batch.column("tongue").to_pylist()):
+                center, spread = all_center, all_spread
+                if tongue:
+                    n, c, s = parts(tongue)
+                    # A center is known from few rows, the spread in every direction is not.
+                    share = min(n / max(least_rows, 1), 1.0)
+                    center, spread = (n * c + size * center) / (n + size), share * s + (1 - share) * spread
+                if own:
+                    n, c, s = parts(own)
+                    share = min(n / max(least_rows, 1), 1.0)
+                    center, spread = share * c + (1 - share) * center, share * s + (1 - share) * spread
+                centers.append(center.tolist())
+                precisions.append(np.linalg.inv(spread).ravel().tolist())
+            kind = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("grp"), pa.array(centers, kind), pa.array(precisions, kind)], ["grp", "center", "precision"])
+
+    return names.mapInArrow(mix, "grp string, center array<double>, precision array<double>")
+
+
 def judge(
     docs: DataFrame,
     *,
@@ -235,21 +267,26 @@ def judge(
 ) -> DataFrame:
     """A row per document: id, counts, base_failed, distance (squared) and kept.
 
-    `cutoff` bounds the squared distance (chance under a normal law: about two in a million); groups under `least_rows` rows use the fit of all rows.
+    `cutoff` bounds the squared distance (chance under a normal law: about two in a million); groups under `least_rows` rows are mixed with wider ones.
     """
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     own = F.to_json(F.struct(F.lit("of").alias("t"), "lang", "source"))
     rows = statistics(docs, id=id, text=text, lang=lang, source=source)
-    rows = rows.withColumns({"base_failed": base, "grp": own, **features()})
+    tongue = F.to_json(F.struct(F.lit("in").alias("t"), "lang"))
+    rows = rows.withColumns({"base_failed": base, "grp": own, "tongue": tongue, **features()})
     rows = stored(rows.drop("lang", "source"), "text-statistics")
-    sound = rows.filter(~F.col("base_failed")).select("grp", *FEATURES)
-    doubled = sound.withColumn("grp", F.explode(F.array("grp", F.lit("all"))))
-    found = robust_fits(doubled, steps=steps)
-    everything = found.filter("grp = 'all'").select("center", "precision", "scale").first()
-    names = rows.select("grp").distinct().join(found, "grp", "left")
-    few = F.coalesce(F.col("n"), F.lit(0)) < least_rows
-    fit = {c: F.lit(everything[c]) if everything else F.lit(None) for c in ("center", "precision", "scale")}
-    names = names.select("grp", *[F.when(few, v.cast(found.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c, v in fit.items()])
-    judged = _with(rows, cut(names)).withColumn("distance", _distance() / F.col("scale"))
+    sound = rows.filter(~F.col("base_failed")).select("grp", "tongue", *FEATURES)
+    tripled = sound.withColumn("grp", F.explode(F.array("grp", "tongue", F.lit("all")))).drop("tongue")
+    found = robust_fits(tripled, steps=steps)
+    everything = found.filter("grp = 'all'").first()
+    names = rows.select("grp", F.col("tongue").alias("of_tongue")).distinct()
+    if everything:
+        fit = F.struct("n", "center", "precision", "scale")
+        names = names.join(found.select("grp", fit.alias("own")), "grp", "left")
+        names = names.join(found.select(F.col("grp").alias("of_tongue"), fit.alias("tongue")), "of_tongue", "left")
+        names = mixed_fits(names.select("grp", "own", "tongue"), everything, least_rows)
+    else:
+        names = names.select("grp", *[F.lit(None).cast("array<double>").alias(c) for c in ("center", "precision")])
+    judged = _with(rows, cut(names)).withColumn("distance", _distance())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(F.col("doc_id").alias(id), *COUNTS, "base_failed", "distance", kept.alias("kept"))

@@ -131,5 +131,18 @@ def test_copied_junk_in_one_group(spark, copied):
     assert all(kept[k] for k in [*range(300), *range(2000, 2100)])
 
 
+def test_small_group_of_another_language(spark):
+    def long_words(k):
+        words = prose(k, 240).split()
+        return " ".join("".join(w.strip(",.") for w in words[i : i + 4]) for i in range(0, 240, 4))
+
+    rows = [document(k, prose(k, 60 + k % 50)) for k in range(300)]
+    rows += [document(1000 + k, long_words(k), "fi", "ab"[k % 2]) for k in range(60)]
+    rows += [document(2000 + k, long_words(100 + k).replace(" ", "*** "), "fi", "a") for k in range(5)]
+    kept = {r["doc_id"]: r["kept"] for r in judge(table(spark, rows)).collect()}
+    assert all(kept[k] for k in [*range(300), *range(1000, 1060)])
+    assert not any(kept[2000 + k] for k in range(5))
+
+
 def test_outliers_of_nothing(empty):
     assert judge(empty).count() == 0
