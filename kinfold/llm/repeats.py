@@ -186,6 +186,12 @@ def _cut_out(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return texts.join(per_text, ["h", "g"]).select("text", "wanted").mapInArrow(cut, schema)
 
 
+def _dealt(cuts: DataFrame) -> DataFrame:
+    """One row of each different suffix, however many copies its text has, in sorted buckets."""
+    once = cuts.dropDuplicates(["token", "strings"])
+    return once.repartitionByRange("leading", "token").sortWithinPartitions("leading", "token")
+
+
 def _in_buckets(cuts: DataFrame, length: int) -> DataFrame:
     """token, strings, low, high of the suffixes with a string that another suffix has too."""
 
@@ -218,8 +224,7 @@ def _in_buckets(cuts: DataFrame, length: int) -> DataFrame:
         if rows:
             yield settle(pa.Table.from_batches(held).combine_chunks())
 
-    dealt = cuts.repartitionByRange("leading", "token").sortWithinPartitions("leading", "token")
-    return dealt.mapInArrow(compare, "token bigint, strings bigint, low bigint, high bigint")
+    return _dealt(cuts).mapInArrow(compare, "token bigint, strings bigint, low bigint, high bigint")
 
 
 def _by_digests(cuts: DataFrame, length: int) -> DataFrame:

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.classic.dataframe import DataFrame
 
 from kinfold.llm.near_copies import near_copies, overlaps, signatures, similarity, without_near_copies
 from kinfold.llm.repeats import multikey_sort, removal_report, repeated_spans, without_repeats
@@ -179,3 +180,23 @@ def test_multikey_sort(rows):
     for k, (one, two) in enumerate(zip(keys, keys[1:]), 1):
         same = next((i for i in range(16) if one[1][i] != two[1][i]), 16) if one[0] == two[0] else -1
         assert common[k] == same
+
+
+def test_copies_reach_a_bucket_once(spark, monkeypatch):
+    from kinfold.llm import repeats
+
+    seen = []
+    monkeypatch.setattr(repeats, "STEP", 50)
+    real = DataFrame.sortWithinPartitions
+
+    def sort(self, *columns):
+        seen.append(real(self, *columns))
+        return seen[-1]
+
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", sort)
+    text = prose(1, 200)
+    rows = [document(k, text) for k in range(300)] + [document(999, text[:600] + " other " + text[600:])]
+    removed = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in repeats.removal_report(table(spark, rows)).collect()}
+    assert all(removed[k] == (len(text), len(text)) for k in range(300)) and removed[999][0] > removed[999][1] > 1000
+    dealt = [tuple(r) for r in seen[0].select("token", "strings").collect()]
+    assert dealt and len(dealt) == len(set(dealt))
