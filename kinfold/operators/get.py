@@ -116,7 +116,7 @@ def _key_at(df: DataFrame, number: int) -> tuple | None:
     are sorted, so at most MAX_TOP_ROWS keys are ever brought together.
     """
     rows, skip = df.select(*KEY), number
-    if rows.limit(number + 1).count() <= number:
+    if rows.count() <= number:
         return None
 
     def settled() -> tuple | None:

@@ -10,6 +10,8 @@ from kinfold.plans.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: Queries that SQL can't express, each with the reason.
+WITHOUT_SQL: dict[str, str] = {}
 
 # Common table expressions for the SQL side.
 DOCS = """docs AS (
@@ -66,8 +68,10 @@ def cosine(a: str, b: str) -> str:
     return f"(CASE WHEN {norms} = 0 THEN 1.0 ELSE 1.0 - {dot(a, b)} / {norms} END)"
 
 
-def query(name: str, sql: str | None = None) -> Callable:
-    """Register a function of :class:`Tables` under `name`."""
+def query(name: str, sql: str | None = None, reason: str = "") -> Callable:
+    """Register a function of :class:`Tables` under `name`, with its SQL or the reason why there is none."""
+    if (sql is None) != bool(reason):
+        raise ValueError(f"{name} needs either SQL or a reason")
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
@@ -75,6 +79,8 @@ def query(name: str, sql: str | None = None) -> Callable:
         QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
             SQL[name] = sql
+        else:
+            WITHOUT_SQL[name] = reason
         return build
 
     return register

@@ -35,30 +35,56 @@ def test_life_cycle(workspace):
         workspace.create_collection("e", space="l7")
 
 
-@pytest.mark.parametrize("promote", [{}, {"category": "string", "updated": "boolean"}])
-def test_workflow(workspace, ids, promote):
-    c = workspace.create_collection("flow", HashedWords(10), {"description": "field notes"}, promote=promote)
-    c.add(
-        [
-            Record.of_text("doc1", "Grey herons stand still at the weir", {"category": "bird", "tags": ["water", "grey"]}),
-            Record.of_text("doc2", "Swifts sleep on the wing above the town", {"category": "bird", "tags": ["air"]}),
-            Record.of_text("doc3", "How to mend a bicycle chain", {"category": "manual", "tags": ["tools"]}),
-        ]
-    )
-    assert c.count() == 3
-    assert sorted(ids(c.where_equals("category", "bird"))) == ["doc1", "doc2"]
-    c.update(Record("doc1", None, "Grey herons stand still at the weir all winter", {"category": "bird", "tags": ["water", "winter"], "updated": True}))
-    one = c.get_by_id("doc1")
-    assert one.text.endswith("winter") and one.metadata["updated"] is True and one.metadata["tags"] == '["water","winter"]'
-    c.upsert([Record("doc2", None, "Swifts sleep on the wing above the harbour", {"updated": True}), Record("doc4", None, "Notes on a late frost in the orchard", {"category": "diary"})])
-    assert c.count() == 4
-    c.delete(["doc3"])
-    assert c.count() == 3 and c.get_by_id("doc3") is None
-    found = c.search("winter", filter=Where().equals("category", "bird"))
-    assert sorted(ids(found)) == ["doc1", "doc2"]
-    assert sorted(ids(c.where(Where().equals("updated", True)))) == ["doc1", "doc2"]
-    assert ids(c.search_equals("late frost", "category", "diary")) == ["doc4"]
-    assert [r["id"] for r in c.df.orderBy("_batch", "_pos").collect()] == ["doc1", "doc2", "doc4"]
+class Model:
+    """What a collection should hold, kept as a plain dictionary."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def put(self, records, known, unknown):
+        """`known` and `unknown`: whether records with a known or a new id are taken."""
+        for r in records:
+            text, values = self.rows.get(r.id, (None, {}))
+            if known if r.id in self.rows else unknown:
+                merged = {**values, **(r.metadata or {})}
+                self.rows[r.id] = (r.text or text, {k: v for k, v in merged.items() if v is not None})
+
+    def ids(self, test):
+        return sorted(i for i, (text, values) in self.rows.items() if test(text, values))
+
+
+@pytest.mark.parametrize("promote", [{}, {"bay": "string", "checked": "boolean"}])
+def test_changes_follow_the_model(workspace, ids, promote):
+    """Batches of adds, updates, upserts and deletes against a dictionary."""
+    c, model = workspace.create_collection("stock", HashedWords(10), promote=promote), Model()
+
+    def crate(n, word, **values):
+        return Record(f"crate-{n}", None, f"{word} {n} {'heavy' if n % 4 == 0 else 'light'}", {"bay": "NESW"[n % 4], **values})
+
+    steps = [
+        (c.add, [crate(n, "plums", weight=n) for n in range(12)], False, True),
+        (c.add, [crate(n, "pears", weight=0) for n in range(10, 15)], False, True),
+        (c.update, [crate(n, "grapes", checked=True, weight=None) for n in range(0, 20, 3)], True, False),
+        (c.upsert, [Record(f"crate-{n}", None, f"quinces {n}", {"checked": n % 2 == 0}) for n in range(13, 17)], True, True),
+    ]
+    for change, batch, known, unknown in steps:
+        change(batch)
+        model.put(batch, known, unknown)
+        assert sorted(ids(c.get())) == sorted(model.rows)
+    gone = [f"crate-{n}" for n in (1, 6, 14, 99)]
+    c.delete(gone)
+    c.delete(where={"bay": "S"}, where_document={"$contains": "plums"})
+    for i in [*gone, *model.ids(lambda text, values: values.get("bay") == "S" and "plums" in text)]:
+        model.rows.pop(i, None)
+    assert {r["id"]: r["document"] for r in c.get().collect()} == {i: text for i, (text, _) in model.rows.items()}
+    for i in ("crate-0", "crate-9", "crate-13", "crate-15"):
+        assert dict(c.get_by_id(i).metadata) == model.rows[i][1]
+    assert c.count() == len(model.rows) and c.get_by_id("crate-1") is None
+    assert sorted(ids(c.where_equals("checked", True))) == model.ids(lambda _, values: values.get("checked") is True)
+    few = c.search("grapes", limit=50, filter=Where().equals("bay", "N"))
+    assert sorted(ids(few)) == model.ids(lambda _, values: values.get("bay") == "N")
+    order = [r["id"] for r in c.df.orderBy("_batch", "_pos").collect()]
+    assert order == list(model.rows)
 
 
 def test_pages_of_a_batch(workspace, ids):
@@ -80,22 +106,22 @@ def test_distances_do_not_decrease(workspace):
     assert c.query([1.0] * 8, include_documents=False, include_metadatas=False, include_distances=False).columns == ["id"]
 
 
-def test_filtered_and_text_queries(workspace, ids):
-    c = workspace.create_collection("text", WORDS)
-    c.add(
-        [
-            Record("doc1", None, "An otter slept under the old bridge", {"source": "diary"}),
-            Record("doc2", None, "Rain is expected in the northern valleys", {"source": "diary"}),
-            Record("doc3", None, "The otter crossed the road", {"source": "letter"}),
-        ]
-    )
-    assert sorted(ids(c.query(text="otter", where_document='{"$contains": "otter"}'))) == ["doc1", "doc3"]
-    assert ids(c.query(text="otter", where_document={"$contains": "otter"}, where={"source": "letter"})) == ["doc3"]
-    assert ids(c.query(text="the otter crossed the road", n_results=1)) == ["doc3"]
-    texts = c.spark.createDataFrame([(1, "otter slept bridge"), (2, "rain valleys")], "qid int, text string")
+def test_text_queries_under_filters(workspace, ids):
+    c = workspace.create_collection("parts", HashedWords(64))
+    names = ["bolt", "nut", "washer", "rivet", "hinge", "latch"]
+    held = {f"p{n}": (f"{names[n % 6]} of {'steel' if n % 2 else 'brass'} size {n}", n) for n in range(18)}
+    c.add([Record(i, None, text, {"n": n}) for i, (text, n) in held.items()])
+    for word in ("steel", "hinge", "size 1"):
+        inside = [i for i, (text, _) in held.items() if word in text]
+        assert sorted(ids(c.query(text=word, n_results=50, where_document={"$contains": word}))) == sorted(inside)
+        low = [i for i in inside if held[i][1] < 9]
+        assert sorted(ids(c.query(text=word, n_results=50, where_document={"$contains": word}, where={"n": {"$lt": 9}}))) == sorted(low)
+    # Every text is its own nearest neighbour, asked alone or all at once.
+    assert ids(c.query(text=held["p7"][0], n_results=1)) == ["p7"]
+    texts = c.spark.createDataFrame([(n, text) for text, n in held.values()], "qid int, text string")
     hits = c.query_many(texts=texts, n_results=1).collect()
-    assert {r["qid"]: r["id"] for r in hits} == {1: "doc1", 2: "doc2"}
-    plain = workspace.get_collection("text")
+    assert {r["qid"]: r["id"] for r in hits} == {n: i for i, (_, n) in held.items()}
+    plain = workspace.get_collection("parts")
     for call in (lambda: plain.search("x"), lambda: plain.query_many(texts=texts), lambda: plain.query(), lambda: plain.query([1.0], text="x")):
         with pytest.raises(ValidationError):
             call()
