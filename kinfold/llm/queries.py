@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinfold.llm.chat import CHAT_SQL
+from kinfold.llm.importance import IMPORTANCE_SQL
 from kinfold.llm.mixing import MIX_SQL
 from kinfold.llm.vantage import NEAREST_SQL
 
@@ -93,3 +95,30 @@ def op7(pages: DataFrame) -> DataFrame:
     from kinfold.llm.pages import main_text
 
     return main_text(pages)
+
+
+def register_many(name: str, tables: list[str], sql: str | None = None) -> Callable:
+    """As :func:`register`, for a function of several whole tables."""
+
+    def keep(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        QUERIES[name] = lambda spark, folder: build(*[spark.read.parquet(f"{folder}/{t}.parquet") for t in tables])
+        if sql is not None:
+            SQL[name] = sql
+        return build
+
+    return keep
+
+
+@register_many("op11_bit_sliced_importance", ["documents", "benchmark"], IMPORTANCE_SQL)
+def op11(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    from kinfold.llm.importance import resample
+
+    return resample(documents, benchmark, buckets=10_000, most_words=1, seed=2024, least_words=20, share=(10, 100))
+
+
+@register("op13_prefix_target", "conversations", CHAT_SQL)
+def op13(conversations: DataFrame) -> DataFrame:
+    from kinfold.llm.chat import PROBE, round_trip
+
+    rows = conversations.select("conv_id", "turn", "role", "text")
+    return round_trip(rows.unionByName(rows.sparkSession.createDataFrame(PROBE, "conv_id bigint, turn bigint, role string, text string")))
