@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinfold.llm.chat import CHAT_SQL
 from kinfold.llm.importance import IMPORTANCE_SQL
@@ -122,3 +123,11 @@ def op13(conversations: DataFrame) -> DataFrame:
 
     rows = conversations.select("conv_id", "turn", "role", "text")
     return round_trip(rows.unionByName(rows.sparkSession.createDataFrame(PROBE, "conv_id bigint, turn bigint, role string, text string")))
+
+
+@register("op12_block_convolution_runs", "documents")
+def op12(documents: DataFrame) -> DataFrame:
+    from kinfold.llm.periodic import digests, planted, report
+
+    rows = documents.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return digests(report(rows))
