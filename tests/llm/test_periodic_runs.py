@@ -11,21 +11,17 @@ from kinfold.llm.periodic import PRIME, digests, find_runs, inverse_transform, p
 from tests.llm.conftest import awkward, prose, table
 
 
-def naive_runs(w, least=12):
-    out = []
+def naive_runs(words, least=12):
+    """For every period, all stretches of words that equal those a period later."""
+    number = {}
+    w, out = np.array([number.setdefault(x, len(number)) for x in words], np.int64), []
     for q in range(1, len(w) // 2 + 1):
-        i = 0
-        while i + q < len(w):
-            if w[i] != w[i + q]:
-                i += 1
-                continue
-            s = i
-            while i + q < len(w) and w[i] == w[i + q]:
-                i += 1
-            part = w[s : i + q]
-            smaller = any(part[r:] == part[:-r] for r in range(1, q))
-            if len(part) >= max(least, 2 * q) and not smaller:
-                out.append((s, len(part), q))
+        same = np.concatenate([[False], w[:-q] == w[q:], [False]])
+        for s, e in zip(np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(same[:-1] & ~same[1:])):
+            if e + q - s >= max(least, 2 * q):
+                part = w[s : e + q]
+                if not any((part[r:] == part[:-r]).all() for r in range(1, q)):
+                    out.append((int(s), int(e + q - s), q))
     return sorted(out)
 
 
