@@ -93,7 +93,9 @@ class HashedWords:
 
     def embed(self, text: Column) -> Column:
         words = F.when(is_blank(text), F.array().cast("array<string>")).otherwise(tokens(text))
-        return self._count(words)
+        # The default never shows: it tells the optimiser that there is always a vector, so that a test
+        # for null is not pushed below as a second run of the function.
+        return F.coalesce(self._count(words), F.lit([0.0] * self.dim).cast(EMBEDDING))
 
 
 class Constant:

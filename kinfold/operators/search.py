@@ -12,7 +12,6 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -20,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinfold.errors import ValidationError
 from kinfold.functions.distance import SPACES
@@ -46,6 +46,13 @@ HIT_BYTES = 256
 MERGED_TASKS = 256
 # Vector components recomputed at once when distances of kept pairs are made exact.
 RECOMPUTE_CELLS = 8_000_000
+# What a hit holds besides its query.
+HIT_FIELDS = [
+    T.StructField("id", T.StringType()),
+    T.StructField("distance", T.DoubleType()),
+    T.StructField("_batch", T.LongType()),
+    T.StructField("_pos", T.LongType()),
+]
 
 
 @dataclass(frozen=True)
@@ -199,43 +206,47 @@ def _compare(best: _Best, block: QueryBlock, queries: np.ndarray, x, batch, pos,
             best.add(chosen[mine], exact, batch[rows], pos[rows], names)
 
 
+def _offer(best: _Best, block: QueryBlock, x, batch, pos, ids: pa.Array, cells) -> None:
+    """Offer rows to all queries, or where cells matter to those that visit the row's cell."""
+    if block.visits is None:
+        _compare(best, block, np.arange(len(block.vectors)), x, batch, pos, ids)
+        return
+    for cell in np.unique(cells):
+        queries, here = np.flatnonzero(block.visits[:, cell]), np.flatnonzero(cells == cell)
+        if len(queries):
+            _compare(best, block, queries, x[here], batch[here], pos[here], ids.take(pa.array(here)))
+
+
+def _shown(best: _Best, block: QueryBlock) -> Iterator[pa.RecordBatch]:
+    """The rows held, as result batches."""
+    q, place = np.nonzero(best.used)
+    for at in range(0, len(q), OUTPUT_ROWS):
+        line = (q[at : at + OUTPUT_ROWS], place[at : at + OUTPUT_ROWS])
+        yield pa.RecordBatch.from_arrays(
+            [
+                block.qids.take(pa.array(line[0])),
+                pa.array(best.ids[line], pa.string()),
+                pa.array(best.distance[line]),
+                pa.array(best.batch[line], mask=best.batch[line] == NO_PLACE),
+                pa.array(best.pos[line], mask=best.pos[line] == NO_PLACE),
+            ],
+            names=["qid", "id", "distance", "_batch", "_pos"],
+        )
+
+
 def _kernel(block: QueryBlock) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     dim = block.vectors.shape[1]
-    everyone = np.arange(len(block.vectors))
     step = max(1, VECTOR_CELLS // dim)
 
-    def offer(best: _Best, rows: pa.RecordBatch) -> None:
-        x = _matrix(rows.column("embedding"), dim)
-        batch = rows.column("_batch").fill_null(NO_PLACE).to_numpy(zero_copy_only=False)
-        pos = rows.column("_pos").fill_null(NO_PLACE).to_numpy(zero_copy_only=False)
-        ids = rows.column("id")
-        if block.visits is None:
-            _compare(best, block, everyone, x, batch, pos, ids)
-            return
-        cells = rows.column("_cell").to_numpy(zero_copy_only=False)
-        for cell in np.unique(cells):
-            queries, here = np.flatnonzero(block.visits[:, cell]), np.flatnonzero(cells == cell)
-            if len(queries):
-                _compare(best, block, queries, x[here], batch[here], pos[here], ids.take(pa.array(here)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(len(block.vectors), block.k)
         for batch in batches:
             for at in range(0, batch.num_rows, step):
-                offer(best, batch.slice(at, step))
-        q, place = np.nonzero(best.used)
-        for at in range(0, len(q), OUTPUT_ROWS):
-            line = (q[at : at + OUTPUT_ROWS], place[at : at + OUTPUT_ROWS])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.qids.take(pa.array(line[0])),
-                    pa.array(best.ids[line], pa.string()),
-                    pa.array(best.distance[line]),
-                    pa.array(best.batch[line], mask=best.batch[line] == NO_PLACE),
-                    pa.array(best.pos[line], mask=best.pos[line] == NO_PLACE),
-                ],
-                names=["qid", "id", "distance", "_batch", "_pos"],
-            )
+                rows = batch.slice(at, step)
+                batch_no, pos = (rows.column(c).fill_null(NO_PLACE).to_numpy(zero_copy_only=False) for c in ORDER)
+                cells = None if block.visits is None else rows.column("_cell").to_numpy(zero_copy_only=False)
+                _offer(best, block, _matrix(rows.column("embedding"), dim), batch_no, pos, rows.column("id"), cells)
+        yield from _shown(best, block)
 
     return run
 
@@ -272,15 +283,7 @@ def dimension(df: DataFrame) -> int | None:
 def partial_hits(corpus: DataFrame, block: QueryBlock, qid_type: T.DataType) -> DataFrame:
     """The k best rows per query and task."""
     names = ["id", "embedding", *ORDER, *(["_cell"] if block.visits is not None else [])]
-    schema = T.StructType(
-        [
-            T.StructField("qid", qid_type),
-            T.StructField("id", T.StringType()),
-            T.StructField("distance", T.DoubleType()),
-            T.StructField("_batch", T.LongType()),
-            T.StructField("_pos", T.LongType()),
-        ]
-    )
+    schema = T.StructType([T.StructField("qid", qid_type), *HIT_FIELDS])
     rows = corpus.filter(F.col("embedding").isNotNull()).select(*names)
     return rows.mapInArrow(_kernel(block), schema)
 
@@ -432,9 +435,8 @@ def knn_join(
 ) -> DataFrame:
     """The k nearest records of every query vector: columns qid, rank, distance and the record.
 
-    The query side is measured. Up to the broadcast bound it is one block; beyond it, it is cut into
-    blocks within the bound, each compared with the whole corpus and its hits checkpointed. Query ids
-    must be unique. If there can be no more than `lookup` hits, they are found first and their records
+    The query side is measured. Up to the broadcast bound it is one block that travels with the tasks; beyond
+    it, blocks of queries are dealt to shards of the corpus by a shuffle. Query ids must be unique. If there can be no more than `lookup` hits, they are found first and their records
     then read by position, as in :func:`knn_lookup`.
     """
     check_k(k)
@@ -469,23 +471,125 @@ def hits_of_queries(
     qid_type = queries.schema["qid"].dataType
     total, columns, blocks = _query_blocks(queries, "qid", "v", dim)
 
-    def search(part: DataFrame) -> DataFrame:
-        table = part.toArrow().combine_chunks()
-        vectors = _matrix(table.column("v").combine_chunks(), columns)
-        mask = visits(vectors, table) if visits else None
-        block = QueryBlock(table.column("qid").combine_chunks(), vectors, space, k, mask)
-        visited = rows if mask is None else rows.filter(F.col("_cell").isin(np.flatnonzero(mask.any(axis=0)).tolist()))
-        return rank_hits(partial_hits(visited, block, qid_type), k)
-
     if blocks == 0:
         nothing = QueryBlock(pa.array([], pa.int64()), np.empty((0, 1)), space, k)
         return rank_hits(partial_hits(rows.filter(F.lit(False)), nothing, qid_type), k), 0
-    if blocks == 1:
-        return search(queries), total * k
-    ensure_checkpoint_dir(rows)
-    number = F.pmod(F.xxhash64("qid"), F.lit(blocks))
-    parts = [search(queries.filter(number == b)).checkpoint() for b in range(blocks)]
-    return reduce(DataFrame.unionByName, parts), total * k
+    if blocks > 1:
+        return rank_hits(_hits_by_shards(rows, queries, k, space, columns, visits, extra), k), total * k
+    table = queries.toArrow().combine_chunks()
+    vectors = _matrix(table.column("v").combine_chunks(), columns)
+    mask = visits(vectors, table) if visits else None
+    block = QueryBlock(table.column("qid").combine_chunks(), vectors, space, k, mask)
+    visited = rows if mask is None else rows.filter(F.col("_cell").isin(np.flatnonzero(mask.any(axis=0)).tolist()))
+    return rank_hits(partial_hits(visited, block, qid_type), k), total * k
+
+
+def _hits_by_shards(
+    rows: DataFrame,
+    queries: DataFrame,
+    k: int,
+    space: str,
+    dim: int,
+    visits: Callable[[np.ndarray, pa.Table], np.ndarray] | None,
+    extra: Sequence[str],
+) -> DataFrame:
+    """The k best rows of every query in every shard of the corpus, for a query side of any size.
+
+    Corpus and queries are packed into blocks of rows. A shard is as much of the corpus as a task holds; it
+    is dealt one copy of every query block and compares them one after another. One job, and
+    nothing passes through the driver. The shuffle carries the corpus once and the queries once per shard,
+    little beside the products that each copy stands for.
+    """
+    spark = rows.sparkSession
+    held = rows.filter(F.col("embedding").isNotNull())
+    limit = broadcast_limit(spark)
+    shards = max(1, -(-held.count() * (8 * dim + 64) // limit))
+    per_block = max(1, min(VECTOR_CELLS // dim, limit // (8 * dim + 64)))
+    with_cell = visits is not None
+    qid_type = queries.schema["qid"].dataType
+    packed = T.StructType(
+        [
+            T.StructField("shard", T.IntegerType()),
+            T.StructField("is_query", T.BooleanType()),
+            T.StructField("vectors", T.ArrayType(T.FloatType())),
+            T.StructField("ids", T.ArrayType(T.StringType())),
+            T.StructField("batches", T.ArrayType(T.LongType())),
+            T.StructField("places", T.ArrayType(T.LongType())),
+            T.StructField("cells", T.ArrayType(T.IntegerType())),
+            T.StructField("qids", T.ArrayType(qid_type)),
+            *[T.StructField(f"x_{n}", T.ArrayType(queries.schema[n].dataType)) for n in extra],
+        ]
+    )
+
+    def one_list(values: pa.Array, kind: pa.DataType | None = None) -> pa.Array:
+        values = values if kind is None else values.cast(kind)
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    def pack(is_query: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            schema = to_arrow_schema(packed)
+            for batch in batches:
+                for at in range(0, batch.num_rows, per_block):
+                    part = batch.slice(at, per_block)
+                    numbers = part.column("shard").to_numpy(zero_copy_only=False)
+                    for shard in np.unique(numbers):
+                        own = part.filter(pa.array(numbers == shard))
+                        _matrix(own.column("v"), dim)  # all of one length
+                        lists = {"vectors": one_list(own.column("v").flatten(), pa.float32())}
+                        if is_query:
+                            lists["qids"] = one_list(own.column("qid"))
+                            lists.update({f"x_{n}": one_list(own.column(n)) for n in extra})
+                        else:
+                            lists |= {"ids": one_list(own.column("id")), "batches": one_list(own.column("_batch")), "places": one_list(own.column("_pos"))}
+                            if with_cell:
+                                lists["cells"] = one_list(own.column("_cell"), pa.int32())
+                        lists |= {"shard": pa.array([shard], pa.int32()), "is_query": pa.array([is_query])}
+                        columns = [lists[f.name].cast(f.type) if f.name in lists else pa.nulls(1, f.type) for f in schema]
+                        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+        return run
+
+    corpus = held.select(
+        F.pmod(F.xxhash64("id", *ORDER), F.lit(shards)).cast("int").alias("shard"),
+        F.col("embedding").cast("array<float>").alias("v"),
+        "id",
+        *ORDER,
+        *(["_cell"] if with_cell else []),
+    ).mapInArrow(pack(False), packed)
+    # Query blocks are packed once and then copied, a row per shard.
+    asked = queries.select(F.lit(0).alias("shard"), "v", "qid", *extra).mapInArrow(pack(True), packed)
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<int>")))
+    dealt = corpus.unionByName(asked).repartition(F.col("shard")).sortWithinPartitions("shard", "is_query")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, parts, step = None, [], max(1, VECTOR_CELLS // dim)
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                if shard is None or row.column("shard")[0].as_py() != shard:
+                    shard, parts = row.column("shard")[0].as_py(), []
+                flat = row.column("vectors").flatten()
+                x = _matrix(pa.FixedSizeListArray.from_arrays(flat, dim), dim)
+                if not row.column("is_query")[0].as_py():
+                    batch_no, pos = (row.column(c).flatten().fill_null(NO_PLACE).to_numpy(zero_copy_only=False) for c in ("batches", "places"))
+                    cells = row.column("cells").flatten().to_numpy(zero_copy_only=False) if with_cell else None
+                    parts.append((x.astype(np.float32), batch_no, pos, row.column("ids").flatten(), cells))
+                    continue
+                if len(parts) > 1:  # blocks arrive cut small where there are many shards
+                    x32, *numbers = (np.concatenate(c) if c[0] is not None else None for c in zip(*((p[0], p[1], p[2], p[4]) for p in parts)))
+                    parts = [(x32, numbers[0], numbers[1], pa.concat_arrays([p[3] for p in parts]), numbers[2])]
+                table = pa.table({name: row.column(f"x_{name}").flatten() for name in extra})
+                block = QueryBlock(row.column("qids").flatten(), x, space, k, visits(x, table) if with_cell else None)
+                best = _Best(len(x), k)
+                for vectors, batch_no, pos, ids, cells in parts:
+                    for at in range(0, len(vectors), step):
+                        some = slice(at, at + step)
+                        own = None if cells is None else cells[some]
+                        _offer(best, block, vectors[some].astype(np.float64), batch_no[some], pos[some], ids[some], own)
+                yield from _shown(best, block)
+
+    schema = T.StructType([T.StructField("qid", qid_type), *HIT_FIELDS])
+    return dealt.mapInArrow(compare, schema)
 
 
 def ensure_checkpoint_dir(df: DataFrame, fallback: str | None = None) -> None:
