@@ -5,7 +5,7 @@ filter on the document id. Readers split a file by stripes, and a filter on ids
 and row groups by their metadata.
 
 Null text counts as empty: such a document has the end id alone. Null document ids come first. Rows
-that repeat a document id stand next to each other, in order of their texts. An empty table gives no
+that repeat a document id stand next to each other, in order of a hash of their texts. An empty table gives no
 rows. Columns other than id and text are not read.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.shared import plain, shared_folder, slices, text_or_empty
-from kinfold.llm.tokens import default_vocabulary, encoder
+from kinfold.llm.tokens import STEP_BYTES, default_vocabulary, encoder
 
 FILE_SCHEMA = "doc_id bigint, start_in_file bigint, n_tokens bigint, ids array<int>"
 
@@ -44,22 +44,20 @@ def write_tokens(
     vocabulary = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end, start = encoder(vocabulary), np.array([end_id], "<i4").tobytes(), 0
-        for batch in slices(batches, "text"):
-            parts = [x + end for x in tokens(batch.column("text").to_pylist())]
-            sizes = np.array([len(x) // 4 for x in parts], np.int64)
-            ends = np.cumsum(sizes)
-            ids = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(parts), "<i4"))
-            )
+        tokens, start = encoder(vocabulary, end_id), 0
+        for batch in slices(batches, "text", STEP_BYTES):
+            ids, at = tokens(batch.column("text"))
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(start + ends - sizes), pa.array(sizes), ids],
+                [batch.column("doc_id"), pa.array(start + at[:-1]), pa.array(np.diff(at)), lists],
                 ["doc_id", "start_in_file", "n_tokens", "ids"],
             )
-            start += int(ends[-1])
+            start += int(at[-1])
 
     rows = plain(docs, doc_id=id, text=text).select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that repeat an id are dealt over ranges by their texts, and equal rows anyhow.
+    keyed = rows.withColumns({"tie": F.xxhash64("text"), "salt": F.rand(2)})
+    rows = keyed.repartitionByRange("doc_id", "tie", "salt").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
     (
         rows.mapInArrow(encode, FILE_SCHEMA)
         .write.option("compression", "zstd")

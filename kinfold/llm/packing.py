@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.shared import plain, slices, spread_text, stored, text_or_empty
-from kinfold.llm.tokens import default_vocabulary, encoder
+from kinfold.llm.tokens import STEP_BYTES, default_vocabulary, encoder
 
 PIECES = "doc_id bigint, start bigint, length int, ids_crc32 bigint, doc_tokens bigint, part int, local_rank bigint"
 SLOTS = "length int, first_rank bigint, last_rank bigint, copies int, first_sequence bigint, slot_offset bigint"
@@ -94,19 +94,19 @@ def pieces(
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, tokens, end, seen = TaskContext.get().partitionId(), encoder(vocabulary), end_id.to_bytes(4, "little"), {}
+        part, tokens, seen = TaskContext.get().partitionId(), encoder(vocabulary, end_id), {}
         schema = pa.schema(
             [(n, pa.int32() if n in ("length", "part") else pa.int64()) for n in (x.split()[0] for x in PIECES.split(", "))]
         )
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP_BYTES):
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), tokens(batch.column("text").to_pylist())):
-                ids += end
-                for at in range(0, len(ids), 4 * size):
-                    piece = ids[at : at + 4 * size]
-                    length = len(piece) // 4
+            ids, ends = tokens(batch.column("text"))
+            for doc, begin, end in zip(batch.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+                for at in range(begin, end, size):
+                    piece = ids[at : min(at + size, end)]
+                    length = len(piece)
                     rank = seen[length] = seen.get(length, -1) + 1
-                    rows.append((doc, at // 4, length, zlib.crc32(piece), len(ids) // 4, part, rank))
+                    rows.append((doc, at - begin, length, zlib.crc32(piece), end - begin, part, rank))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     rows = plain(docs, doc_id=id, text=text).select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 SPACES = bytes([32, 9, 10, 11, 12, 13])
 #: Text bytes that one step of a numpy kernel takes, so its arrays stay within some tens of MB.
 CHUNK_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and Python, and the setting that says so.
+BATCH_BYTES, BATCH_SETTING = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -32,17 +35,33 @@ def shared_folder(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bound the bytes of Arrow batches for what runs inside, as texts of thousands of rows are large."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written once as Parquet on shared storage and read back: lost executors cost no lineage."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """A small intermediate result, computed once and kept on shared storage."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with small_batches(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def spread_text(df: DataFrame) -> DataFrame:

@@ -6,14 +6,25 @@ import re
 import sys
 import types
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-#: White space other than space and line feed, and the character that marks cuts below.
-_OTHER_SPACE = re.compile("[\0\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+import numpy as np
+import pyarrow as pa
+
+from kinfold.llm.shared import flat_bytes
+
+#: White space other than space and line feed, in UTF-8 (fixed values), and the null character.
+_OTHER_SPACE = (
+    b"[\x00\t\v\f\r\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+)
 #: Signs that often end a word. The vocabulary's word pattern parts letters from them.
 _SIGNS = ".,;:!?*#$%&|"
 #: Words and parts of words whose ids a Python worker remembers, before it begins anew.
 REMEMBERED = 800_000
+#: Bytes of a word above which it is not remembered.
+LONG_WORD = 256
+#: Text bytes that are encoded in one step: a word is looked up once in each.
+STEP_BYTES = 4 << 20
 
 
 def default_vocabulary() -> str:
@@ -32,26 +43,77 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-def _regular(text: str) -> bool:
-    """Whether all white space is a lone space or line feed between two other characters."""
-    doubled = "  " in text or " \n" in text or "\n " in text or "\n\n" in text
-    return not (doubled or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"))
+class _Memory:
+    """Ids of the words that this process has met, one after another, also in earlier tasks."""
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}  # word -> place in `begin`
+        self.parts: dict[str, bytes] = {"": b""}
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.begin = np.zeros(1 << 14, np.int64)  # and the end of the last
+        self.words = 0
+
+    def add(self, ids: list[bytes]) -> int:
+        """Append the ids of some words; the place of the first."""
+        flat, first = np.frombuffer(b"".join(ids), np.uint32), self.words
+        used = int(self.begin[first])
+        while used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while first + len(ids) + 1 > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        self.ids[used : used + len(flat)] = flat
+        self.begin[first + 1 : first + len(ids) + 1] = used + np.cumsum([len(x) // 4 for x in ids])
+        self.words += len(ids)
+        return first
 
+    def drop(self, first: int) -> None:
+        self.words = first
 
-def _memory(vocabulary: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
-    """Ids of words and of their parts that this process has met, also in earlier tasks."""
+
+def _memory(vocabulary: str) -> _Memory:
     held = sys.modules.setdefault("kinfold_task_memory", types.ModuleType("kinfold_task_memory")).__dict__
-    return held.setdefault(f"words {vocabulary}", {}), held.setdefault(f"parts {vocabulary}", {"": b""})
+    return held.setdefault(f"words {vocabulary}", _Memory())
 
 
-def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
-    """A function from texts to their ids as little-endian unsigned 32-bit values.
+def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarray, np.ndarray]:
+    """Where each piece of the texts begins, and the first piece of each text (and the end).
 
-    Every id comes from the tokenizers library. A distinct word is encoded once as long as the process
-    remembers it: the vocabulary splits a text before a lone space and around a lone line feed whatever
-    follows, and between letters and the signs after them, so the ids of a text are those of its parts
-    in turn. Texts with any other white space are encoded whole, and so are those that hold an added token
-    such as the end of a text, which the library takes as one id before it looks for words.
+    A piece is a word with at most one space before it, or a line feed. A text that has any other white space, or
+    an added token, is one piece.
+    """
+    n = len(raw)
+    space, line = raw == 32, raw == 10
+    blank = np.zeros(n + 1, bool)
+    np.logical_or(space, line, out=blank[:-1])
+    row_start = np.zeros(n + 1, bool)
+    row_start[at] = True
+    row_start[n] = True
+    start = row_start[:-1] | blank[:-1]
+    start[1:] |= line[:-1]
+    # Blanks next to each other or at an end of a text.
+    bad = np.flatnonzero(blank[:-1] & (row_start[:-1] | row_start[1:] | blank[1:]))
+    found = [m.start() for m in odd.finditer(raw)] if n else []
+    whole = np.unique(np.searchsorted(at, np.concatenate([bad, np.array(found, np.int64)]), "right") - 1)
+    for row in whole:
+        start[at[row] + 1 : at[row + 1]] = False
+    begin = np.flatnonzero(start)
+    return begin, np.searchsorted(begin, at)
+
+
+def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """A function from texts to all their ids one after another, and where each text's begin and the last end.
+
+    Every id comes from the tokenizers library; `end_id` follows each text. A distinct word is encoded once
+    as long as the process remembers it: the vocabulary splits a text before a lone space and around a lone
+    line feed whatever follows, and between letters and the signs after them, so the ids of a text are
+    those of its parts in turn. Texts with any other white space are encoded whole, and so are those that
+    hold an added token such as the end of a text, which the library takes as one id before it looks for words.
+
+    Words are handled in bulk: Arrow numbers the different ones of a step, each is looked up once, and
+    the ids of all words are gathered by place.
     """
     import os
 
@@ -60,46 +122,70 @@ def encoder(vocabulary: str) -> Callable[[list[str]], Iterator[bytes]]:
 
     library = Tokenizer.from_file(vocabulary)
     model, letters = library.model, _byte_letters()
-    added = [re.escape(t.content) for t in library.get_added_tokens_decoder().values() if t.content]
-    odd = re.compile("|".join([_OTHER_SPACE.pattern, *added]))
+    added = [re.escape(t.content.encode()) for t in library.get_added_tokens_decoder().values() if t.content]
+    odd = re.compile(b"|".join([_OTHER_SPACE, *added]))
+    known = _memory(vocabulary)
 
     def whole(texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    known, parts = _memory(vocabulary)
-
     def add_parts(new: set[str]) -> None:
         # Letters after at most one space are one word of the pattern: the model alone is enough.
         plain = [w for w in new if w.isalpha() or (w[:1] == " " and w[1:].isalpha())]
         shown = "\n".join(plain).encode().decode("latin-1").translate(letters).split(letters[10]) if plain else []
         found = [[t.id for t in tokens] for tokens in map(model.tokenize, shown)]
-        parts.update(zip(plain, [array("I", ids).tobytes() for ids in found]))
+        known.parts.update(zip(plain, [array("I", ids).tobytes() for ids in found]))
         rest = list(new.difference(plain))
-        parts.update(zip(rest, whole(rest)))
+        known.parts.update(zip(rest, whole(rest)))
 
-    def add_words(new: list[str]) -> None:
+    def ids_of_words(new: list[str]) -> list[bytes]:
         heads = [w.rstrip(_SIGNS) for w in new]
         heads = [h if h[-1:].isalpha() else w for w, h in zip(new, heads)]
         tails = [w[len(h) :] for w, h in zip(new, heads)]
-        add_parts(set(heads).union(tails).difference(parts))
-        known.update(zip(new, [parts[h] + parts[t] for h, t in zip(heads, tails)]))
-
-    def encode(texts: list[str]) -> Iterator[bytes]:
-        if len(known) + len(parts) > REMEMBERED:
-            known.clear()
-            parts.clear()
-            parts[""] = b""
-        other = odd.search("".join(texts)) is not None
-        words: list[list[str] | None] = []
-        for text in texts:
-            if not text:
-                words.append([])
-            elif (other and odd.search(text)) or not _regular(text):
-                words.append(None)
-            else:
-                words.append(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
-        add_words(list(set().union(*filter(None, words)).difference(known)))
-        for text, some in zip(texts, words):
-            yield whole([text])[0] if some is None else b"".join(map(known.__getitem__, some))
+        add_parts(set(heads).union(tails).difference(known.parts))
+        return [known.parts[h] + known.parts[t] for h, t in zip(heads, tails)]
+
+    def places(words: list[bytes]) -> np.ndarray:
+        """The place of each word in memory; long ones and whole texts are forgotten after the step."""
+        place = np.fromiter((known.number.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(place < 0).tolist()
+        # A piece with a blank beyond its first byte is a whole text.
+        long = [k for k in missing if len(words[k]) > LONG_WORD or b" " in words[k][1:] or b"\n" in words[k][1:] or odd.search(words[k])]
+        short = sorted(set(missing).difference(long))
+        if short:
+            first = known.add(ids_of_words([words[k].decode() for k in short]))
+            place[short] = np.arange(first, first + len(short))
+            known.number.update(zip([words[k] for k in short], place[short].tolist()))
+        if long:
+            first = known.add(whole([words[k].decode() for k in long]))
+            place[long] = np.arange(first, first + len(long))
+            known.drop(first)
+        return place
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(known.number) + len(known.parts) > REMEMBERED:
+            known.forget()
+        raw, at = flat_bytes(texts)
+        begin, first = _pieces(raw, at, odd)
+        offsets = np.append(begin, len(raw))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        numbered = words.dictionary_encode()
+        place = places(numbered.dictionary.to_pylist())[numbered.indices.to_numpy(zero_copy_only=False)]
+        size = known.begin[place + 1] - known.begin[place]
+        # A text without pieces, and every other, still has its end.
+        upto = np.concatenate([[0], np.cumsum(size)])
+        total = upto[first] + np.arange(len(at))
+        out = np.empty(int(total[-1]), np.uint32)
+        out[total[1:] - 1] = end_id
+        row = np.repeat(np.arange(len(at) - 1), np.diff(first))
+        inside = _within(size)
+        out[np.repeat(upto[:-1] + row, size) + inside] = known.ids[np.repeat(known.begin[place], size) + inside]
+        return out, total
 
     return encode
+
+
+def _within(size: np.ndarray) -> np.ndarray:
+    """0, 1, ... size - 1 for each size in turn."""
+    upto = np.cumsum(size)
+    return np.arange(int(upto[-1]) if len(upto) else 0) - np.repeat(upto - size, size)

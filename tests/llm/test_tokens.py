@@ -2,11 +2,13 @@ import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from kinfold.llm import tokens
 from kinfold.llm.orc_tokens import read_tokens, round_trip, write_tokens
 from kinfold.llm.packing import pack, pack_histogram, slots
 from kinfold.llm.tokens import default_vocabulary, encoder
@@ -18,7 +20,6 @@ def library():
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(default_vocabulary())
-    found.encode_special_tokens = True
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
@@ -26,10 +27,24 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("ab é's .,!*|\n\t \x00\x85日1½²́ªǅ\U0001f600<>"), max_size=30), max_size=5))
+ENCODE = encoder(default_vocabulary(), 0)
+PIECES = [*"ab é's .,!*|\n\t \x00\x85日1½²́ªǅ\U0001f600<>", "<|endoftext|>", " the", "word", "x" * 300, "\u2003", "\u3000", "été,", "don't "]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=30).map("".join), max_size=5))
 def test_encoder_equals_the_library(library, texts):
-    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(default_vocabulary())(texts)] == [library(t) for t in texts]
+    ids, at = ENCODE(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [library(t) + [0] for t in texts]
+
+
+def test_memory_begins_anew(library, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    encode = encoder(default_vocabulary(), 0)
+    for seed in range(6):
+        texts = [prose(seed, 60), "", "y" * 1000, "two  spaces", None, prose(seed + 1, 30)]
+        ids, at = encode(pa.array(texts, pa.string()).slice(1))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [library(t) + [0] for t in texts[1:]]
 
 
 def expected_rows(library):
@@ -112,7 +127,6 @@ def test_pack_nothing(empty):
 
 
 END = "<|endoftext|>"
-ENCODE = encoder(default_vocabulary())
 
 
 def holding_added_tokens():
@@ -131,7 +145,8 @@ def plain_library():
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.sampled_from([END, "<|", "|>", "endoftext", "a", " ", "\n", ".", "é", "\t"]), max_size=12).map("".join), max_size=5))
 def test_added_tokens_equal_the_library(plain_library, texts):
-    assert [np.frombuffer(x, "<u4").tolist() for x in ENCODE(texts)] == [plain_library(t) for t in texts]
+    ids, at = ENCODE(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [plain_library(t) + [0] for t in texts]
 
 
 def test_added_tokens_in_documents(spark, plain_library):
