@@ -8,8 +8,9 @@ u ** (1 / quality), u uniform from the document id (the exponential keys -ln(u)
 Keys fall into narrow ranges, some thousands of documents each. Sums per range locate the one range in
 which a source's rest runs out, and only there documents are ordered, so no task holds a source.
 
-Null text has size 0: such a document comes with the whole epochs of its source. Null sources are one source, the last. Rows that repeat id, size and text
-share one fate. An empty table, or one without words, takes nothing. Further columns are kept.
+Null text has size 0: such a document comes with the whole epochs of its source. Null sources are one source, the last.
+Rows that repeat id, size and text are one group; where the rest runs out inside it, so many of its
+rows are taken as come nearest to it. An empty table, or one without words, takes nothing. Further columns are kept.
 """
 
 from __future__ import annotations
@@ -109,25 +110,62 @@ def cuts(thin: DataFrame, *, weights: Sequence[float], factor: float, most: floa
     last = sums.filter((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_in") > F.col("_rest")))
     last = stored(last.select("_source", F.col("_range").alias("_last"), "_before"), "mix-ranges")
     inside = _joined(ranged, last).filter(F.col("_range") == F.col("_last"))
+    # Equal documents are one row with a count; of the group that the rest runs out in, some are taken.
+    groups = inside.filter("_size > 0").groupBy("_source", "_key", "_size", "_tie", "_rest", "_before")
+    groups = groups.agg(F.count(F.lit(1)).alias("_equal"))
     order = Window.partitionBy("_source").orderBy(F.desc("_key"), "_size", "_tie")
-    running = F.col("_before") + F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    inside = inside.withColumn("_running", running)
-    nearer = F.col("_running") - F.col("_rest") < F.col("_rest") - (F.col("_running") - F.col("_size"))
-    chosen = inside.filter((F.col("_running") <= F.col("_rest")) | nearer)
-    cut = chosen.groupBy("_source").agg(F.max(F.struct(-F.col("_key"), "_size", "_tie")).alias("_cut"))
+    passed = F.sum(F.col("_size") * F.col("_equal")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    left = (F.col("_rest") - F.col("_before") - F.coalesce(passed, F.lit(0))) / F.col("_size")
+    # The last one is taken if that ends nearer to the rest.
+    some = F.least(F.greatest(F.ceil(left + 0.5) - 1, F.lit(0)), F.col("_equal")).cast("bigint")
+    chosen = groups.withColumn("_some", some).filter("_some > 0")
+    last_group = F.max(F.struct(F.struct(-F.col("_key"), F.col("_size"), F.col("_tie")).alias("cut"), "_some", "_equal"))
+    cut = chosen.groupBy("_source").agg(last_group.alias("g")).select("_source", F.col("g.cut").alias("_cut"), "g._some", "g._equal")
     return _joined(_joined(goals, last), stored(cut, "mix-cuts"))
 
 
+def _place() -> Column:
+    return F.struct(-F.col("_key"), F.col("_size"), F.col("_tie"))
+
+
+def _parted() -> Column:
+    """Whether a document belongs to a group of equal ones of which only some are taken."""
+    here = (_range() == F.col("_last")) & (F.col("_some") < F.col("_equal")) & (F.col("_size") > 0)
+    return F.coalesce(here & (_place() == F.col("_cut")), F.lit(False))
+
+
 def times_taken() -> Column:
-    """How often a document is taken, given the columns of :func:`drawn` and :func:`cuts`."""
-    place = F.struct(-F.col("_key"), F.col("_size"), F.col("_tie"))
-    inside = F.coalesce(place <= F.col("_cut"), F.lit(False))
+    """How often a document is taken, given the columns of :func:`drawn` and :func:`cuts`, and _chosen for those of a parted group."""
+    inside = F.coalesce(_place() <= F.col("_cut"), F.lit(False))
     some = F.when(F.col("_last").isNull(), F.col("_rest") > 0).otherwise(
-        (_range() < F.col("_last")) | ((_range() == F.col("_last")) & inside)
+        (_range() < F.col("_last")) | ((_range() == F.col("_last")) & inside & F.col("_chosen"))
     )
     return F.col("_epochs") + F.when(F.col("_size") > 0, some.cast("bigint")).otherwise(0)
 
 
+def _with_choice(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    """`rows` with _chosen: true but for the rows of a parted group beyond those it gives.
+
+    Equal rows are told apart by where they are stored. They are numbered file by file, so no task holds the
+    group, and counts per file say where each file's numbers begin.
+    """
+    rows = _joined(rows, per_source)
+    if not per_source.filter("_some < _equal").limit(1).count():
+        return rows.withColumn("_chosen", F.lit(True))
+    parted = stored(rows.filter(_parted()), "mix-equal")
+    parted = parted.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = parted.groupBy("_source", "_file").agg(F.count(F.lit(1)).alias("_in_file"))
+    files = Window.partitionBy("_source").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_first", F.coalesce(F.sum("_in_file").over(files), F.lit(0)))
+    counts = counts.select(F.col("_source").alias("_of"), F.col("_file").alias("_from"), "_first")
+    counts = F.broadcast(counts) if fits(counts) else counts
+    own = parted.withColumn("_number", F.row_number().over(Window.partitionBy("_source", "_file").orderBy("_row")))
+    own = own.join(counts, F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_file") == F.col("_from")))
+    own = own.withColumn("_chosen", F.col("_first") + F.col("_number") <= F.col("_some"))
+    others = rows.filter(~_parted()).withColumn("_chosen", F.lit(True))
+    return others.unionByName(own.select(*others.columns))
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -151,14 +189,14 @@ def mix(
     columns = drawn(id=at[id], text=at[text], source=at[source], quality=quality and at[quality], seed=seed)
     thin = stored(numbered.select(F.col(at[id]).alias("_id"), *[c.alias(n) for n, c in columns.items()]), "mix")
     per_source = stored(cuts(thin, weights=weights, factor=factor, most=most), "mix-sources")
-    decided = _joined(thin, per_source).select(
+    decided = _with_choice(thin, per_source).select(
         F.col("_id").alias(id),
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),
         (F.col("_size") * times_taken()).alias("taken"),
     )
-    mixed = _joined(numbered.withColumns(columns), per_source).withColumn("_times", times_taken()).filter("_times > 0")
+    mixed = _with_choice(numbered.withColumns(columns), per_source).withColumn("_times", times_taken()).filter("_times > 0")
     mixed = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
     return mixed.select(*[F.col(at[n]).alias(n) for n in names]), decided
 
