@@ -5,7 +5,8 @@ another. Suffixes are taken only where a text's own bytes say so: in each string
 the leading token (a run of `TOKEN` bytes) with the smallest hash. Equal strings choose the same place, so
 every match contains suffixes that both sides took, and every start of a string belongs to one suffix.
 
-1. Leading tokens are counted; suffixes whose token occurs once drop out.
+1. Exact copies of a text go whole, and one of them stays to compare others with. Leading tokens are
+   counted; suffixes whose token occurs once drop out.
 2. Suffixes equal over all the strings that belong to them settle those strings at once.
 3. The others, which lie at the edges of matches, are dealt to buckets by ranges of their leading bytes
    (Spark samples the splitters); equal tokens meet in one bucket, so nothing is equal across a
@@ -32,6 +33,8 @@ from kinfold.llm.shared import RangeHash, flat_bytes, mixed, slices, spread_text
 from kinfold.plans.sizing import fits
 
 TOKEN = 40
+#: Text bytes whose suffixes are chosen in one step; it takes about a hundred bytes of arrays for each.
+SUFFIX_BYTES = 1 << 19
 #: Different suffixes of one leading token that a task compares in memory.
 MOST_SUFFIXES = 200_000
 #: Suffixes that one step of a bucket takes, if tokens are not split.
@@ -152,7 +155,7 @@ def _taken(texts: DataFrame, length: int) -> DataFrame:
     """All suffixes of all texts: token, strings, h, g, place (start, count and lead packed)."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SUFFIX_BYTES):
             row, start, count, lead, token, whole = suffixes(*flat_bytes(batch.column("text")), length)
             own = batch.select(["h", "g"]).take(pa.array(row))
             place = (start << 24) | (count << 12) | lead
@@ -181,6 +184,7 @@ def _cut_out(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             )
 
     per_text = wanted.groupBy("h", "g").agg(F.flatten(F.collect_list(F.array("token", "strings", "place"))).alias("wanted"))
+    per_text = stored(per_text, "wanted-of-texts")
     per_text = F.broadcast(per_text) if fits(per_text) else per_text
     schema = "leading bigint, token bigint, strings bigint, count bigint, lead bigint, bytes binary"
     return texts.join(per_text, ["h", "g"]).select("text", "wanted").mapInArrow(cut, schema)
@@ -253,9 +257,19 @@ def _by_digests(cuts: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 200, most: int = MOST_SUFFIXES) -> DataFrame:
     """Per different text (h, g) with any, its removed stretches: begin, end, begin, end ... in order."""
     texts = _texts(docs, text)
-    taken = _taken(texts, length)
-    counts = taken.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
-    again = stored(taken.join(counts, "token"), "suffixes")
+    # A text that occurs twice goes whole; one copy of it stays to be compared with the others.
+    size = F.octet_length("text").cast("bigint")
+    copies = texts.filter(size >= length).groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("size"))
+    copies = stored(copies.filter("n > 1").select("h", "g", "size"), "copies")
+    keys = copies.select("h", "g")
+    keys = F.broadcast(keys) if fits(keys) else keys
+    # The aggregate keeps one text per key in each task, so copies do not gather.
+    once = texts.join(keys, ["h", "g"], "left_semi").groupBy("h", "g").agg(F.first("text").alias("text"))
+    texts = texts.join(keys, ["h", "g"], "left_anti").unionByName(stored(once, "one-copy"))
+    taken = stored(_taken(texts, length), "taken")
+    # Stored, so that a token with a large share of the rows can be split in the join.
+    counts = stored(taken.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"), "tokens")
+    again = stored(taken.join(F.broadcast(counts) if fits(counts) else counts, "token"), "suffixes")
     kinds = again.groupBy("token", "strings").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("h", "g", "place")).alias("one"), F.min((F.shiftright("place", 12)).bitwiseAND(0xFFF)).alias("count")
     )
@@ -281,8 +295,9 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 200, mo
             merged = [_merged(x) for x in batch.column("spans").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("g"), pa.array(merged, pa.list_(pa.int64()))], ["h", "g", "spans"])
 
-    per_text = spans.groupBy("h", "g").agg(F.collect_set("span").alias("spans"))
-    return per_text.mapInArrow(merge, "h bigint, g bigint, spans array<bigint>")
+    per_text = spans.join(keys, ["h", "g"], "left_anti").groupBy("h", "g").agg(F.collect_set("span").alias("spans"))
+    merged = per_text.mapInArrow(merge, "h bigint, g bigint, spans array<bigint>")
+    return merged.unionByName(copies.select("h", "g", F.array(F.lit(0).cast("bigint"), F.col("size")).alias("spans")))
 
 
 def _merged(spans: list[dict]) -> list[int]:
