@@ -222,7 +222,10 @@ def _in_blocks(marked: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     whole = rows.join(bodies, "node").withColumn("block", block)
     packed = F.collect_list(F.struct("node", "label", "text"))
     members = whole.groupBy("key", "block").agg(packed.alias("members"))
-    apart = whole.filter("apart").groupBy("key", "block").agg(packed.alias("apart")).drop("block")
+    apart = whole.filter("apart").groupBy("key", "block").agg(packed.alias("apart"), F.max("size").alias("size"))
+    # A copy for each block of the bucket, so that the blocks of a large bucket go to tasks of their own.
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("size") / BLOCK_TEXTS) - 1)
+    apart = apart.select("key", "apart", F.explode(blocks).alias("block"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,7 +240,7 @@ def _in_blocks(marked: DataFrame, texts: DataFrame, threshold: float) -> DataFra
                     [pa.array([x for x, _ in found.values()], pa.binary()), pa.array([y for _, y in found.values()], pa.binary())], ["a", "b"]
                 )
 
-    pairs = apart.join(members, "key").select("apart", "members")
+    pairs = apart.join(members, ["key", "block"]).select("apart", "members")
     return stored(pairs.mapInArrow(compare, "a binary, b binary"), "block-links")
 
 
