@@ -143,7 +143,9 @@ def learn(rows: DataFrame, *, sample: int, per_text: int = 4) -> Network | None:
     if not counts:
         return None
     rate = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, sample / n))])
-    uniform = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    # By id and text, each different pair once: a repeated row is not drawn in bulk.
+    keyed = known.withColumn("key", F.xxhash64("doc_id", "text"))
+    uniform = F.pmod("key", F.lit(1 << 30)) / float(1 << 30)
 
     def some_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         draw = np.random.default_rng(11)
@@ -157,7 +159,7 @@ def learn(rows: DataFrame, *, sample: int, per_text: int = 4) -> Network | None:
             langs = batch.column("lang").take(pa.array(row[pick]))
             yield pa.RecordBatch.from_arrays([langs, pa.array([x.tobytes() for x in w[pick]], pa.binary())], ["lang", "w"])
 
-    chosen = known.filter(uniform < F.element_at(rate, F.col("lang"))).select("lang", "text")
+    chosen = keyed.filter(uniform < F.element_at(rate, F.col("lang"))).dropDuplicates(["lang", "key"]).select("lang", "text")
     table = chosen.mapInArrow(some_windows, "lang string, w binary").toArrow()
     if table.num_rows == 0:
         return None
@@ -181,9 +183,6 @@ def identify(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: s
     net = learn(rows, sample=sample)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
-
-        letter = re.compile(r"[^\W\d_]")
         for batch in slices(batches, "text"):
             raw, at = flat_bytes(batch.column("text"))
             n = batch.num_rows
@@ -200,7 +199,8 @@ def identify(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: s
             p = np.exp(mean - mean.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             best = p.argmax(1)
-            has = np.array([bool(t and letter.search(t)) for t in batch.column("text").to_pylist()], bool) & (net is not None)
+            # Letters only: a fraction or a raised digit is none.
+            has = np.array([any(map(str.isalpha, t)) for t in batch.column("text").to_pylist()], bool) & (net is not None)
             names = [net.languages[b] if h else "und" for b, h in zip(best, has)]
             score = np.round(np.where(has, p[np.arange(n), best], 0.0), 6)  # alike wherever a text lies in its batch
             yield pa.RecordBatch.from_arrays(

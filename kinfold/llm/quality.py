@@ -196,8 +196,10 @@ def classify(docs: DataFrame, *, id: str = "doc_id", text: str = "text", sample:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["codes", "parts", "label"])
 
-    uniform = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = spread_text(thin.withColumn("u", F.coalesce(uniform, F.lit(1.0))).filter(F.col("u") < max(rates)))
+    # By id and text, each different pair once: neither null ids nor a repeated row are drawn in bulk.
+    key = F.xxhash64("doc_id", "text")
+    keyed = thin.withColumn("key", key).withColumn("u", F.pmod("key", F.lit(1 << 30)) / float(1 << 30))
+    drawn = spread_text(keyed.filter(F.col("u") < max(rates)).dropDuplicates(["key"]))
     taught = drawn.mapInArrow(examples, "codes binary, parts binary, label double").toArrow().to_pylist()
     taught.sort(key=lambda r: (r["codes"], r["parts"]))
     rows = [(np.frombuffer(r["codes"], "<i4"), np.frombuffer(r["parts"], "<f4").astype(float), r["label"]) for r in taught]
