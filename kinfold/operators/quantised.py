@@ -142,7 +142,7 @@ def _candidates(index: DataFrame, quantiser: Quantiser, table: pa.Table, qid_typ
     dim = quantiser.cells.centroids.shape[1]
     qids, q = table.column("qid").combine_chunks(), _vectors(table.column("v"), dim)
     gaps = quantiser.gaps(q)
-    visits = gaps <= effort.factor * gaps.min(axis=1, keepdims=True) + 1e-12
+    visits = gaps <= (np.inf if np.isinf(effort.factor) else effort.factor * gaps.min(axis=1, keepdims=True) + 1e-12)
     parts, depth = quantiser.parts, effort.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
