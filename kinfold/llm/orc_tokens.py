@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import plain, shared_folder, slices, text_or_empty
+from kinfold.llm.shared import plain, shared_folder, slices, small_batches, text_or_empty
 from kinfold.llm.tokens import STEP_BYTES, default_vocabulary, encoder
 
 FILE_SCHEMA = "doc_id bigint, start_in_file bigint, n_tokens bigint, ids array<int>"
@@ -58,16 +58,10 @@ def write_tokens(
     # Rows that repeat an id are dealt over ranges by their texts, and equal rows anyhow.
     keyed = rows.withColumns({"tie": F.xxhash64("text"), "salt": F.rand(2)})
     rows = keyed.repartitionByRange("doc_id", "tie", "salt").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    (
-        rows.mapInArrow(encode, FILE_SCHEMA)
-        .write.option("compression", "zstd")
-        .option("orc.create.index", "true")
-        .option("orc.row.index.stride", str(stride))
-        .option("orc.stripe.size", str(stripe_bytes))
-        .option("orc.bloom.filter.columns", "doc_id")
-        .option("orc.bloom.filter.fpp", "0.01")
-        .orc(path)
-    )
+    writer = rows.mapInArrow(encode, FILE_SCHEMA).write.option("compression", "zstd")
+    writer = writer.option("orc.create.index", "true").option("orc.row.index.stride", str(stride)).option("orc.stripe.size", str(stripe_bytes))
+    with small_batches(docs.sparkSession):
+        writer.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path)
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:

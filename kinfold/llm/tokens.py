@@ -7,6 +7,7 @@ import sys
 import types
 from array import array
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,12 @@ _OTHER_SPACE = (
 )
 #: Signs that often end a word. The vocabulary's word pattern parts letters from them.
 _SIGNS = ".,;:!?*#$%&|"
-#: Words and parts of words whose ids a Python worker remembers, before it begins anew.
-REMEMBERED = 800_000
+#: Words whose ids a Python worker remembers, before it begins anew: some 80 MB.
+REMEMBERED = 500_000
 #: Bytes of a word above which it is not remembered.
 LONG_WORD = 256
 #: Text bytes that are encoded in one step: a word is looked up once in each.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def default_vocabulary() -> str:
@@ -51,7 +52,6 @@ class _Memory:
 
     def forget(self) -> None:
         self.number: dict[bytes, int] = {}  # word -> place in `begin`
-        self.parts: dict[str, bytes] = {"": b""}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 14, np.int64)  # and the end of the last
         self.words = 0
@@ -78,11 +78,16 @@ def _memory(vocabulary: str) -> _Memory:
     return held.setdefault(f"words {vocabulary}", _Memory())
 
 
-def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarray, np.ndarray]:
-    """Where each piece of the texts begins, and the first piece of each text (and the end).
+_IS_LETTER, _IS_SIGN = np.zeros(256, bool), np.zeros(256, bool)
+_IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_IS_SIGN[list(_SIGNS.encode())] = True
 
-    A piece is a word with at most one space before it, or a line feed. A text that has any other white space, or
-    an added token, is one piece.
+
+def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each piece of the texts begins, the first piece of each text (and the end), and the texts that are one piece.
+
+    A piece is a word with at most one space before it, cut before a sign that follows an ASCII letter, or a line
+    feed. A text that has any other white space, or an added token, is one piece.
     """
     n = len(raw)
     space, line = raw == 32, raw == 10
@@ -92,7 +97,7 @@ def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarra
     row_start[at] = True
     row_start[n] = True
     start = row_start[:-1] | blank[:-1]
-    start[1:] |= line[:-1]
+    start[1:] |= line[:-1] | (_IS_LETTER[raw[:-1]] & _IS_SIGN[raw[1:]])
     # Blanks next to each other or at an end of a text.
     bad = np.flatnonzero(blank[:-1] & (row_start[:-1] | row_start[1:] | blank[1:]))
     found = [m.start() for m in odd.finditer(raw)] if n else []
@@ -100,7 +105,7 @@ def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarra
     for row in whole:
         start[at[row] + 1 : at[row + 1]] = False
     begin = np.flatnonzero(start)
-    return begin, np.searchsorted(begin, at)
+    return begin, np.searchsorted(begin, at), whole
 
 
 def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
@@ -129,29 +134,29 @@ def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarr
     def whole(texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def add_parts(new: set[str]) -> None:
+    def ids_of_parts(new: set[str]) -> dict[str, bytes]:
         # Letters after at most one space are one word of the pattern: the model alone is enough.
         plain = [w for w in new if w.isalpha() or (w[:1] == " " and w[1:].isalpha())]
         shown = "\n".join(plain).encode().decode("latin-1").translate(letters).split(letters[10]) if plain else []
         found = [[t.id for t in tokens] for tokens in map(model.tokenize, shown)]
-        known.parts.update(zip(plain, [array("I", ids).tobytes() for ids in found]))
-        rest = list(new.difference(plain))
-        known.parts.update(zip(rest, whole(rest)))
+        ids = dict(zip(plain, [array("I", ids).tobytes() for ids in found]))
+        rest = list(new.difference(plain, [""]))
+        return {"": b""} | ids | dict(zip(rest, whole(rest)))
 
     def ids_of_words(new: list[str]) -> list[bytes]:
         heads = [w.rstrip(_SIGNS) for w in new]
         heads = [h if h[-1:].isalpha() else w for w, h in zip(new, heads)]
         tails = [w[len(h) :] for w, h in zip(new, heads)]
-        add_parts(set(heads).union(tails).difference(known.parts))
-        return [known.parts[h] + known.parts[t] for h, t in zip(heads, tails)]
+        parts = ids_of_parts(set(heads).union(tails))
+        return [parts[h] + parts[t] for h, t in zip(heads, tails)]
 
-    def places(words: list[bytes]) -> np.ndarray:
+    def places(words: list[bytes], is_text: np.ndarray) -> np.ndarray:
         """The place of each word in memory; long ones and whole texts are forgotten after the step."""
-        place = np.fromiter((known.number.get(w, -1) for w in words), np.int64, len(words))
-        missing = np.flatnonzero(place < 0).tolist()
-        # A piece with a blank beyond its first byte is a whole text.
-        long = [k for k in missing if len(words[k]) > LONG_WORD or b" " in words[k][1:] or b"\n" in words[k][1:] or odd.search(words[k])]
-        short = sorted(set(missing).difference(long))
+        place = np.array(list(map(known.number.get, words, repeat(-1))), np.int64)
+        place[is_text] = -1
+        missing = np.flatnonzero(place < 0)
+        apart = is_text[missing] | (np.fromiter(map(len, words), np.int64, len(words))[missing] > LONG_WORD)
+        long, short = missing[apart].tolist(), missing[~apart].tolist()
         if short:
             first = known.add(ids_of_words([words[k].decode() for k in short]))
             place[short] = np.arange(first, first + len(short))
@@ -163,14 +168,17 @@ def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarr
         return place
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(known.number) + len(known.parts) > REMEMBERED:
+        if len(known.number) > REMEMBERED:
             known.forget()
         raw, at = flat_bytes(texts)
-        begin, first = _pieces(raw, at, odd)
+        begin, first, whole_texts = _pieces(raw, at, odd)
         offsets = np.append(begin, len(raw))
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
         numbered = words.dictionary_encode()
-        place = places(numbered.dictionary.to_pylist())[numbered.indices.to_numpy(zero_copy_only=False)]
+        code = numbered.indices.to_numpy(zero_copy_only=False)
+        is_text = np.zeros(len(numbered.dictionary), bool)
+        is_text[code[first[:-1][whole_texts]]] = True
+        place = places(numbered.dictionary.to_pylist(), is_text)[code]
         size = known.begin[place + 1] - known.begin[place]
         # A text without pieces, and every other, still has its end.
         upto = np.concatenate([[0], np.cumsum(size)])
