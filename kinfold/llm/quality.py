@@ -187,20 +187,20 @@ def classify(docs: DataFrame, *, id: str = "doc_id", text: str = "text", sample:
             label = posterior[pattern_of(found.votes())]
             take = (batch.column("u").to_numpy() < np.where(label < 0.5, *rates)) & (found.words > 0)
             edges = np.searchsorted(found.row, np.arange(batch.num_rows + 1))
-            out = []
+            keys, out = batch.column("key").to_numpy(), []
             for k in np.flatnonzero(take):
                 own = slice(edges[k], edges[k + 1])
                 codes = np.concatenate([c[own].astype(np.int64) + kind * BUCKETS for kind, c in enumerate(found.codes)])
                 codes, n = np.unique(codes, return_counts=True)
-                out.append((codes.astype("<i4").tobytes(), (n / found.many[k]).astype("<f4").tobytes(), float(label[k])))
+                out.append((int(keys[k]), codes.astype("<i4").tobytes(), (n / found.many[k]).astype("<f4").tobytes(), float(label[k])))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["codes", "parts", "label"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["key", "codes", "parts", "label"])
 
     # By id and text, each different pair once: neither null ids nor a repeated row are drawn in bulk.
     key = F.xxhash64("doc_id", "text")
     keyed = thin.withColumn("key", key).withColumn("u", F.pmod("key", F.lit(1 << 30)) / float(1 << 30))
-    drawn = spread_text(keyed.filter(F.col("u") < max(rates)).dropDuplicates(["key"]))
-    taught = drawn.mapInArrow(examples, "codes binary, parts binary, label double").toArrow().to_pylist()
+    drawn = spread_text(keyed.filter(F.col("u") < max(rates)))
+    taught = drawn.mapInArrow(examples, "key bigint, codes binary, parts binary, label double").dropDuplicates(["key"]).toArrow().to_pylist()
     taught.sort(key=lambda r: (r["codes"], r["parts"]))
     rows = [(np.frombuffer(r["codes"], "<i4"), np.frombuffer(r["parts"], "<f4").astype(float), r["label"]) for r in taught]
     both = any(r[2] < 0.5 for r in rows) and any(r[2] >= 0.5 for r in rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 #: White space between words, as bytes: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = bytes([32, 9, 10, 11, 12, 13])
 #: Text bytes that one step of a numpy kernel takes, so its arrays stay within some tens of MB.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Bytes of an Arrow batch between Spark and Python, and the setting that says so.
-BATCH_BYTES, BATCH_SETTING = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, BATCH_SETTING = 2 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -103,8 +104,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES
             end = max(begin + 1, int(np.searchsorted(at, at[begin] + most, "right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
-    # Python workers live on between tasks and should not keep what Arrow no longer needs.
+    # Python workers live on between tasks and should not keep what Arrow and numpy no longer need.
     pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
