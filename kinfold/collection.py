@@ -14,6 +14,7 @@ from kinfold.functions.embedding import Embedder, fill_embedding
 from kinfold.functions.filters import Filter, Where
 from kinfold.operators import get as get_ops
 from kinfold.operators import mutate, search
+from kinfold.operators.facets import facets
 from kinfold.operators.get import Ids
 from kinfold.sources.records import Record, records_frame
 from kinfold.sources.store import Store, Version, check_name, json_ready
@@ -129,9 +130,10 @@ class Collection:
         return rows.checkpoint()
 
     def _publish(self, version: Version, gone: Iterable[str], new: Iterable[str], **changes: Any) -> None:
-        dropped = set(gone)
-        files = tuple(f for f in version.files if f not in dropped) + tuple(new)
-        self._store.commit(replace(version, files=files, **changes))
+        dropped, new = set(gone), tuple(new)
+        kept = tuple(f for f in version.files if f not in dropped)
+        ranges = {f: r for f, r in version.ranges.items() if f not in dropped} | self._store.ranges(version, new)
+        self._store.commit(replace(version, files=kept + new, ranges=ranges, **changes))
 
     def add(self, batch: Batch) -> None:
         """Add records; a record with a known id is left out."""
@@ -144,9 +146,9 @@ class Collection:
         fresh = mutate.unknown_rows(self._store.read(version), rows, small)
         self._append(version, mutate.new_records(fresh, version.schema, version.next_batch), facts)
 
-    def _append(self, version: Version, rows: DataFrame, facts: mutate.BatchFacts) -> None:
+    def _append(self, version: Version, rows: DataFrame, facts: mutate.BatchFacts, **changes: Any) -> None:
         new = self._store.write(rows, facts.bytes)
-        self._publish(version, (), new, dim=version.dim or facts.dim, next_batch=version.next_batch + 1)
+        self._publish(version, (), new, dim=version.dim or facts.dim, next_batch=version.next_batch + 1, **changes)
 
     def _files_of(self, version: Version, batch: DataFrame, small: bool) -> tuple[str, ...]:
         if not version.files:
@@ -169,21 +171,31 @@ class Collection:
             changed = mutate.update(self._store.read(version, held), rows, small)
             self._publish(version, held, self._store.write(changed), dim=version.dim or facts.dim)
 
-    def upsert(self, batch: Batch) -> None:
-        """Change known records and add the others."""
+    def upsert(self, batch: Batch, stream: tuple[str, int] | None = None) -> bool:
+        """Change known records and add the others.
+
+        `stream` names a stream and the number of its micro-batch. The number is recorded in the version that the
+        batch makes, in one step with its rows, and a batch whose number is recorded already is skipped (False).
+        """
         version = self.version
+        done = {}
+        if stream is not None:
+            if version.streams.get(stream[0], -1) >= stream[1]:
+                return False
+            done = {"streams": {**version.streams, stream[0]: stream[1]}}
         rows = self._batch(batch)
         facts = mutate.validate_batch(rows, version.dim)
         if not facts.rows:
-            return
+            return True
         small = mutate.is_small(rows, facts)
         held = self._files_of(version, rows, small)
         if not held:
-            self._append(version, mutate.new_records(rows, version.schema, version.next_batch), facts)
-            return
+            self._append(version, mutate.new_records(rows, version.schema, version.next_batch), facts, **done)
+            return True
         merged = mutate.upsert(self._store.read(version, held), rows, version.next_batch, small)
         new = self._store.write(merged)
-        self._publish(version, held, new, dim=version.dim or facts.dim, next_batch=version.next_batch + 1)
+        self._publish(version, held, new, dim=version.dim or facts.dim, next_batch=version.next_batch + 1, **done)
+        return True
 
     def delete(self, ids: Ids | str = None, where: Filter = None, where_document: Filter = None) -> None:
         """Delete the records that match all given arguments."""
@@ -194,8 +206,9 @@ class Collection:
         version = self.version
         if not version.files:
             return
+        near = None if ids is None or isinstance(ids, DataFrame) else self._store.files_for(version, ids)
         doomed = get_ops.apply_filters(
-            get_ops.restrict_ids(self._store.with_file(version), ids), where, where_document
+            get_ops.restrict_ids(self._store.with_file(version, near), ids), where, where_document
         )
         held = self._store.touched(version, doomed)
         if held:
@@ -205,10 +218,21 @@ class Collection:
     # ------------------------------------------------------------------ reads
 
     def get(self, ids: Ids = None, where: Filter = None, where_document: Filter = None, **options: Any) -> DataFrame:
-        return get_ops.get(self.df, ids, where, where_document, **options)
+        return get_ops.get(self._near(ids), ids, where, where_document, **options)
+
+    def _near(self, ids: Ids) -> DataFrame:
+        """The records of the files that may hold listed ids; all, if they are not listed."""
+        version = self.version
+        if ids is None or isinstance(ids, DataFrame):
+            return self._store.read(version)
+        return self._store.read(version, self._store.files_for(version, ids))
+
+    def facets(self, keys: Iterable[str] | None = None, top: int = 10, where: Filter = None, where_document: Filter = None) -> DataFrame:
+        """The most frequent values of metadata keys among the records that match."""
+        return facets(get_ops.apply_filters(self.df, where, where_document), keys, top)
 
     def get_by_id(self, id: str, include_embedding: bool = False) -> Record | None:
-        rows = get_ops.get_by_id(self.df, id, include_embedding).collect()
+        rows = get_ops.get_by_id(self._near([id]), id, include_embedding).collect()
         return Record.of_row(rows[0]) if rows else None
 
     def where(self, filter: Filter, limit: int = 0, offset: int = 0, include_embeddings: bool = False) -> DataFrame:

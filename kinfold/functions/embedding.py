@@ -12,7 +12,7 @@ from typing import Any, Protocol
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,3 +138,31 @@ def fill_embedding(embedding: Column, document: Column, embedder: Embedder | Non
     # The text is blanked out first because a vectorised UDF sees every row, guarded or not.
     made = embedder.embed(F.when(missing, document))
     return F.when(missing, made).otherwise(embedding).cast(T.ArrayType(T.FloatType()))
+
+
+#: Texts that occur in more than this share of the rows are joined back by broadcast; there are fewer than its inverse.
+HOT_SHARE = 0.001
+
+
+def embed_distinct(rows: DataFrame, text: str, embedder: Embedder, into: str = "embedding") -> DataFrame:
+    """`rows` with the vector of their text, from one call of the embedder per different text.
+
+    Texts are reduced by digest, in every task first. The vectors of texts that many rows share are few and
+    come back by broadcast, the others by a join on the digest, so no task gets all rows of one text. A null text
+    is a text of its own. For embedding functions that cost more than a shuffle of the texts.
+    """
+    from kinfold.operators.search import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(rows)
+    digest = F.when(F.col(text).isNotNull(), F.sha2(F.col(text).cast("binary"), 256)).otherwise(F.lit(""))
+    keyed = rows.withColumn("_digest", digest)
+    different = keyed.groupBy("_digest").agg(F.first(text).alias("_text"), F.count(F.lit(1)).alias("_n")).checkpoint()
+    total = different.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    made = different.select("_digest", "_n", embedder.embed(F.col("_text")).alias(into)).checkpoint()
+    hot = made.filter(F.col("_n") > total * HOT_SHARE).select("_digest", F.col(into).alias("_hot"), F.lit(True).alias("_is_hot"))
+    rest = made.filter(F.col("_n") <= total * HOT_SHARE).select("_digest", into)
+    marked = keyed.drop(into).join(F.broadcast(hot), "_digest", "left")
+    many = marked.filter("_is_hot").withColumn(into, F.col("_hot"))
+    few = marked.filter("_is_hot IS NULL").join(rest, "_digest", "left")
+    names = [*[c for c in rows.columns if c != into], into]
+    return many.select(*names).unionByName(few.select(*names))

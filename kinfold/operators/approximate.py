@@ -24,8 +24,19 @@ from pyspark.sql import functions as F
 from kinfold.errors import ValidationError
 from kinfold.functions.filters import Filter, apply_filters
 from kinfold.operators.get import included_columns
-from kinfold.operators.search import HIT_BYTES, attach, check_k, check_space, ensure_checkpoint_dir, hits_of_queries
+from kinfold.operators.search import (
+    HIT_BYTES,
+    attach,
+    check_k,
+    check_space,
+    check_vector,
+    collected_hits,
+    ensure_checkpoint_dir,
+    hits_of_queries,
+    nearest_of,
+)
 from kinfold.plans.sizing import broadcast_limit
+from kinfold.schema import ORDER
 
 # Centroids travel with every task, so their number is bounded.
 MAX_CELLS = 16_384
@@ -231,6 +242,55 @@ def approximate_knn(
     return approximate_knn_join(assigned, cells, one, k, probes, **options).drop("qid").orderBy("rank")
 
 
+def widening_knn(
+    records: DataFrame,
+    cells: Cells,
+    vector: Sequence[float],
+    k: int = 10,
+    where: Filter = None,
+    where_document: Filter = None,
+    first: int = 2,
+    include_metadatas: bool = True,
+    include_documents: bool = True,
+) -> DataFrame:
+    """The exact k nearest records (squared L2) of one vector under filters, cell by cell.
+
+    Cells come in order of the least distance that a member can have: that of the centroid less the radius.
+    After each round the k-th match found so far bounds the true one, and the search ends when no cell left
+    can hold a nearer one. A round takes twice the cells of the round before, so a filter that hardly
+    anything passes costs few rounds. Over stored cells a round reads only their partitions. `cells` needs radii; the
+    k hits pass through the driver.
+    """
+    check_k(k)
+    if cells.radii is None:
+        raise ValidationError("the radii of the cells are not known: see with_radii")
+    q = check_vector(vector, cells.centroids.shape[1])
+    gaps = np.sqrt(np.square(cells.centroids - q).sum(axis=1))
+    # A little slack for rounding: visiting a cell too many is harmless.
+    lowest = np.maximum(gaps * (1 - 1e-9) - cells.radii * (1 + 1e-9) - 1e-9, 0.0) ** 2
+    order = np.argsort(lowest, kind="stable")
+    rows = apply_filters(records, where, where_document)
+    hits: list = []
+    bound, at, step, schema = np.inf, 0, max(1, first), None
+    while at < len(order):
+        taken = [int(c) for c in order[at : at + step] if lowest[c] <= bound]
+        if not taken:
+            break
+        found = nearest_of(rows.filter(F.col("_cell").isin(taken)), vector, k)
+        schema = found.schema
+        hits += found.collect()
+        hits.sort(key=lambda r: (r["distance"], *((r[c] is not None, r[c] or 0) for c in ORDER)))
+        hits = hits[:k]
+        if len(hits) == k:
+            bound = hits[-1]["distance"] * (1 + 1e-12)
+        at, step = at + step, 2 * step
+    spark = records.sparkSession
+    place, few = collected_hits(spark.createDataFrame(hits, schema))
+    shown = [c for c in included_columns(records, False, include_metadatas, include_documents) if c != "_cell"]
+    visited = rows.filter(F.col("_cell").isin([int(c) for c in order[:at]]) & place)
+    return attach(visited, few, shown, small=True).orderBy("distance", *ORDER).limit(k).select(*shown, "distance")
+
+
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
     """Share of the exact hits that were found, over all queries (one row)."""
     want = exact.select("qid", "id")

@@ -309,7 +309,7 @@ def attach(corpus: DataFrame, hits: DataFrame, columns: Sequence[str], small: bo
     return corpus.select("id", *wanted).join(F.broadcast(hits) if small else hits, "id")
 
 
-def _nearest(
+def nearest_of(
     rows: DataFrame, vector: Sequence[float], k: int, space: str = "l2", dim: int | None = None
 ) -> DataFrame:
     """Id, distance and position of the k nearest records of one vector."""
@@ -338,7 +338,7 @@ def knn(
     Filters apply before the search, so k rows come back whenever k rows match.
     """
     rows = apply_filters(corpus, where, where_document)
-    hits = _nearest(rows, vector, k, space, dim)
+    hits = nearest_of(rows, vector, k, space, dim)
     shown = included_columns(corpus, include_embeddings, include_metadatas, include_documents)
     result = attach(rows, hits, shown, small=k * HIT_BYTES <= broadcast_limit(corpus.sparkSession))
     if result is not hits:
@@ -383,7 +383,7 @@ def knn_lookup(
     The first finds the k hits from vectors alone. The second reads just these records, by a filter
     on their position that lets Parquet skip row groups without a hit.
     """
-    found = _nearest(apply_filters(corpus, where, where_document), vector, k, space, dim)
+    found = nearest_of(apply_filters(corpus, where, where_document), vector, k, space, dim)
     shown = included_columns(corpus, include_embeddings, include_metadatas, include_documents)
     place, hits = collected_hits(found)
     result = attach(corpus.filter(place), hits, shown, small=True)

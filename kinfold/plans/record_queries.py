@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from kinfold.collection import Workspace
 from kinfold.functions import values
 from kinfold.functions.distance import l2_normalise
-from kinfold.functions.embedding import BatchEmbedder, Constant, HashedWords, SeededRandom, fill_embedding
+from kinfold.functions.embedding import BatchEmbedder, Constant, HashedWords, SeededRandom, embed_distinct, fill_embedding
 from kinfold.functions.filters import Where, where_column
 from kinfold.functions.text import contains, tokens
 from kinfold.operators import get as get_ops
@@ -22,6 +22,7 @@ from kinfold.plans.registry import DOCS, FULL, VECS, hashed_words, query
 from kinfold.plans.sizing import spread
 from kinfold.plans.tables import Tables, rounded
 from kinfold.schema import METADATA, as_collection
+from kinfold.streaming.ingest import upsert_stream
 
 DIM = 64
 
@@ -519,6 +520,69 @@ def fill_missing(t: Tables) -> DataFrame:
     return _components(rows.select("doc_id", filled.alias("embedding")), "doc_id")
 
 
+@query(
+    "j2_distinct_texts",
+    f"""WITH {hashed_words(DIM)}, copied AS (
+  SELECT doc_id, doc_id AS from_id FROM documents UNION ALL
+  SELECT -1 - doc_id, (SELECT min(doc_id) FROM documents) FROM documents WHERE doc_id % 2 = 0)
+SELECT c.doc_id, generate_subscripts(embedding, 1) AS place, round(CAST(unnest(embedding) AS DOUBLE), 6) AS x
+FROM copied c JOIN embedded e ON c.from_id = e.doc_id""",
+)
+def distinct_texts(t: Tables) -> DataFrame:
+    """All documents, and one text once more for every second of them: a text in a third of the rows."""
+    rows = t["documents"].select("doc_id", "text")
+    first = rows.agg(F.min_by("text", "doc_id").alias("text"))
+    copies = rows.filter("doc_id % 2 = 0").select((F.lit(-1) - F.col("doc_id")).alias("doc_id")).withColumn("text", F.lit(first.first()["text"]))
+    return _components(embed_distinct(rows.unionByName(copies), "text", HashedWords(DIM)).select("doc_id", "embedding"), "doc_id")
+
+
+@query(
+    "c1_stored_ids",
+    f"WITH {DOCS} SELECT id, lang, n_chars FROM docs WHERE id IN ('0', '7', '41', '117', 'no such id')",
+)
+def stored_ids(t: Tables) -> DataFrame:
+    """A list of ids looked up in a stored collection of several files; ranges of ids tell which to read."""
+    made = stored_workspace(t).create_collection("docs", promote={"lang": "string", "n_chars": "bigint"})
+    rows = t["documents"].select(F.col("doc_id").cast("string").alias("id"), "lang", "n_chars", F.array(F.lit(1.0)).cast("array<float>").alias("embedding"), "doc_id")
+    middle = rows.approxQuantile("doc_id", [0.5], 0.01)[0]
+    for part in (F.col("doc_id") <= middle, F.col("doc_id") > middle):
+        made.add(rows.filter(part).drop("doc_id"))
+    return made.get(ids=["0", "7", "41", "117", "no such id"]).select("id", "lang", "n_chars")
+
+
+@query(
+    "x1_stream_upsert",
+    """SELECT CAST(user_id AS VARCHAR) AS id, arg_max(event_type, event_id) AS document,
+round(arg_max(value, event_id), 6) AS value, max(event_id) AS event_id FROM events GROUP BY user_id""",
+)
+def stream_upsert(t: Tables) -> DataFrame:
+    """`events` as a stream of three files, the last of them sent twice, into a collection with a record per user.
+
+    Then the last micro-batch is replayed with other content, which the recorded number keeps out.
+    """
+    space = stored_workspace(t)
+    made = space.create_collection("users", promote={"value": "double", "event_id": "bigint"})
+    rows = t["events"].select(
+        F.col("user_id").cast("string").alias("id"),
+        F.col("event_type").alias("document"),
+        F.array(F.col("value").cast("float")).alias("embedding"),
+        "value",
+        "event_id",
+        F.col("event_id").alias("_pos"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    for number in (0, 1, 2, 2):
+        part = F.floor((F.col("event_id") - low) * 3 / (high - low + 1)) == number
+        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{space.root}/incoming")
+    source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{space.root}/incoming")
+    writer = upsert_stream(source, made, f"{space.root}/progress", event_time="ts", delay="1 day")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    ((name, last),) = made.version.streams.items()
+    made.upsert(rows.limit(50).dropDuplicates(["id"]).drop("ts").withColumn("value", F.lit(-1.0)), stream=(name, last))
+    return made.df.select("id", "document", rounded("value"), "event_id")
+
+
 @query(
     "j4_hashed_words",
     f"""WITH {hashed_words(DIM)} SELECT doc_id, generate_subscripts(embedding, 1) AS place,

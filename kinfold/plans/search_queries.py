@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinfold.functions.distance import SPACES, distance, vector_literal
 from kinfold.functions.embedding import HashedWords
 from kinfold.functions.filters import Where
-from kinfold.operators import approximate, pairs, results, search
+from kinfold.operators import approximate, facets, pairs, results, search
 from kinfold.operators import quantised as quantising
 from kinfold.plans.record_queries import stored_workspace
 from kinfold.plans.registry import DOCS, FULL, VECS, cosine, hashed_words, ip, l2, query
@@ -286,6 +286,59 @@ def pruned_exact(t: Tables) -> DataFrame:
     return found.select("qid", "id", "label", "rank", rounded("distance"))
 
 
+# ------------------------------------------------------------------------- filters over cells
+
+
+def _in_cells(t: Tables, corpus: DataFrame):
+    path = f"{stored_workspace(t).root}/filtered-cells"
+    approximate.write_cells(corpus, approximate.train_cells(corpus, cells=16, iterations=3), path)
+    return approximate.read_cells(t.spark, path)
+
+
+@query("d3_knn_where_cells", f"WITH {VECS} {_nearest('vecs', columns='id, label', condition='label = 3')}")
+def knn_where_cells(t: Tables) -> DataFrame:
+    records, cells = _in_cells(t, t.vecs)
+    return approximate.widening_knn(records, cells, t.vector(0), where={"label": 3}).select("id", "label", rounded("distance"))
+
+
+@query("d4_knn_where_document_cells", f"WITH {DOCS}, {FULL} {_nearest('full_docs', columns='id, document', condition=HAS_THE)}")
+def knn_where_document_cells(t: Tables) -> DataFrame:
+    records, cells = _in_cells(t, t.full)
+    found = approximate.widening_knn(records, cells, t.vector(0), where_document={"$contains": "the"})
+    return found.select("id", "document", rounded("distance"))
+
+
+# ------------------------------------------------------------------------- facets
+
+
+def _facets(source: str, keys: dict[str, str], top: int) -> str:
+    """SQL for the most frequent values of the given keys (with their type tags) in `source`."""
+    counts = " UNION ALL ".join(
+        f"SELECT '{k}' AS key, '{tag}' AS type, CAST({k} AS VARCHAR) AS value, count(*) AS n FROM {source} WHERE {k} IS NOT NULL GROUP BY {k}"
+        for k, tag in keys.items()
+    )
+    return f"""SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY key ORDER BY n DESC, type, value) AS INTEGER) AS rank FROM ({counts})) WHERE rank <= {top}"""
+
+
+@query(
+    "x2_facets",
+    f"WITH {DOCS}, matching AS (SELECT * FROM docs WHERE n_chars > 500) "
+    + _facets("matching", {"lang": "s", "source": "s", "n_chars": "i", "quality": "i", "toxic": "i"}, 5),
+)
+def facets_of_filtered(t: Tables) -> DataFrame:
+    rows = search.apply_filters(t.docs_in_map(), {"n_chars": {"$gt": 500}})
+    return facets.facets(rows, top=5)
+
+
+@query(
+    "x2_facets_knn",
+    f"WITH {VECS}, hits AS ({_nearest('vecs', k=100, columns='id, label')}) " + _facets("hits", {"label": "i"}, 10),
+)
+def facets_of_hits(t: Tables) -> DataFrame:
+    return facets.facets(search.knn(t.vecs, t.vector(0), k=100, include_distances=False), ["label"])
+
+
 # ------------------------------------------------------------------------- pairs under a threshold
 
 

@@ -9,10 +9,11 @@ what readers see.
 
 from __future__ import annotations
 
+import bisect
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
@@ -78,6 +79,10 @@ class Version:
     embedder: dict[str, Any] | None = None
     promoted: dict[str, str] = field(default_factory=dict)
     files: tuple[str, ...] = ()
+    #: Smallest and largest id of a file, where known.
+    ranges: dict[str, list[str]] = field(default_factory=dict)
+    #: The last micro-batch of each stream that this version holds.
+    streams: dict[str, int] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
@@ -142,16 +147,39 @@ class Store:
         if size_hint is not None:
             rows = rows.coalesce(max(1, -(-size_hint // FILE_BYTES)))
         # Files in insertion order let a lookup by position skip row groups.
-        rows.sortWithinPartitions(*ORDER).write.parquet(target)
+        writer = rows.sortWithinPartitions(*ORDER).write
+        # A Bloom filter tells a lookup by id which row groups it may skip.
+        writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.adaptive.enabled", "true").parquet(target)
         return tuple(sorted(self.spark.read.schema(rows.schema).parquet(target).inputFiles()))
 
+    def ranges(self, version: Version, files: tuple[str, ...]) -> dict[str, list[str]]:
+        """Smallest and largest id of each file: one pass over the ids, a row per file."""
+        if not files:
+            return {}
+        rows = self.read(version, files).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        held = {r["file"].rsplit("/", 1)[-1]: [r["low"], r["high"]] for r in rows.collect()}
+        # A file without rows holds no id.
+        return {f: held.get(f.rsplit("/", 1)[-1], ["1", "0"]) for f in files}
+
+    def files_for(self, version: Version, ids: Iterable[str]) -> tuple[str, ...]:
+        """The files that may hold one of the ids, by the ranges kept with the version."""
+        wanted = sorted(str(i).encode() for i in ids)
+
+        def may_hold(low: str, high: str) -> bool:
+            at = bisect.bisect_left(wanted, low.encode())
+            return at < len(wanted) and wanted[at] <= high.encode()
+
+        return tuple(f for f in version.files if f not in version.ranges or may_hold(*version.ranges[f]))
+
     def touched(self, version: Version, rows: DataFrame) -> tuple[str, ...]:
         """The files that hold the given rows, a DataFrame with a `_file` column."""
         names = {r["_file"].rsplit("/", 1)[-1] for r in rows.select("_file").distinct().collect()}
         return tuple(f for f in version.files if f.rsplit("/", 1)[-1] in names)
 
-    def with_file(self, version: Version) -> DataFrame:
-        return self.read(version).withColumn("_file", F.col("_metadata.file_path"))
+    def with_file(self, version: Version, files: tuple[str, ...] | None = None) -> DataFrame:
+        if files is not None and not files:
+            return self.read(version, ()).withColumn("_file", F.lit(None).cast("string"))
+        return self.read(version, files).withColumn("_file", F.col("_metadata.file_path"))
 
 
 def check_name(name: str) -> None:
