@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold.llm import chat
 from kinfold.llm.chat import CHAT_SQL, PROBE, escape, expand, format_turn, parse, read_back, round_trip, unescape
 from kinfold.llm.shared import stored
 from tests.llm.conftest import EXTRA
@@ -90,6 +91,46 @@ def test_examples_in_full(spark, segment):
         assert got.get(c, []) == wanted
 
 
+@pytest.mark.parametrize("segment", [1, 200, 16_384])
+def test_examples_are_written_out_in_full(spark, segment, tmp_path):
+    """The files hold each reply's whole context; a long conversation, over several tasks, and a null id too."""
+    rows = conversations(segment) + [(None, t, "assistant" if t % 3 else "user", f"null {t}") for t in range(20)]
+    rows += [(77, t, "assistant" if t % 2 else "user", f"turn {t} " + "words " * 9) for t in range(601)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        examples = stored(expand(spark.createDataFrame(rows, SCHEMA).repartition(3), segment=segment), "parts")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert examples.filter("conv_id = 77").agg(F.countDistinct(F.shiftright("seq", 32))).first()[0] > 1
+    chat.written_out(examples).write.parquet(str(tmp_path / "whole"))
+    whole = spark.read.parquet(str(tmp_path / "whole"))
+    held = {}
+    for r in sorted(whole.collect(), key=lambda r: (r["seq"], r["part"])):
+        held.setdefault(r["conv_id"], {}).setdefault(r["seq"], []).append(r)
+    for c, turns in turns_of(rows).items():
+        wanted = []
+        for k, (who, words) in enumerate(turns):
+            if who == "assistant" or k == len(turns) - 1:
+                wanted.append(("".join(format_turn(*t)[0] for t in turns[: k + 1]), words if who == "assistant" else None))
+        got = []
+        for parts in held[c].values():
+            assert [r["part"] for r in parts] == list(range(len(parts)))
+            assert all(r["loss_begin"] is None for r in parts[:-1])
+            text, begin, end = parts[-1]["text"], parts[-1]["loss_begin"], parts[-1]["loss_end"]
+            got.append(("".join(r["text"] for r in parts), None if begin is None else unescape(text[begin:end])))
+        assert got == wanted
+    assert found(read_back(whole)) == naive(rows)
+
+
+def test_query_writes_whole_examples(spark, monkeypatch):
+    """What the query reports as formatted is what lies in its files."""
+    kept = {}
+    monkeypatch.setattr(chat, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    rows = [(1, t, "assistant" if t % 2 else "user", "word " * 50) for t in range(200)]
+    [row] = found(round_trip(spark.createDataFrame(rows, SCHEMA), segment=1000))
+    assert kept["chat-examples"].agg(F.sum(F.length("text"))).first()[0] == row[-1] == naive(rows)[0][-1]
+
+
 @pytest.mark.parametrize("segment", [1, 300, 16_384])
 def test_read_back(spark, segment):
     rows = conversations(9) + PROBE + [(None, None, None, None), (None, 1, "assistant", "x"), (3, None, "user", "first")]
