@@ -36,6 +36,11 @@ VECTOR_CELLS = 4_000_000
 # Values of one list in a filter that reaches Parquet, the default of
 # spark.sql.parquet.pushdown.inFilterThreshold.
 PUSHED_VALUES = 10
+# Pairs that one task compares where many queries meet many records, and the records among them.
+TASK_PAIRS = 1 << 31
+SHARD_CELLS = 1 << 22
+# Records that a query meets first in a task; each step after it takes four times as many.
+FIRST_ROWS = 2048
 # Rows of one result batch.
 OUTPUT_ROWS = 50_000
 # Stands for a missing batch number or position inside a task; sorts first, as null does.
@@ -82,6 +87,11 @@ def _rough(x: np.ndarray, q: np.ndarray, space: str) -> tuple[np.ndarray, np.nda
     xx, qq = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", q, q)
     slack = 1e-15 * (x.shape[1] + 8)
     reach = xx.max(initial=0.0)
+    if space == "l2" and len(x) >= FIRST_ROWS and reach < 1e30 and qq.max(initial=0.0) < 1e30:
+        # Single precision halves the time; its bound is wider, and pairs within it are measured exactly.
+        left = np.column_stack([q * -2.0, np.ones(len(q)), qq]).astype(np.float32)
+        right = np.column_stack([x, xx, np.ones(len(x))]).astype(np.float32)
+        return left @ right.T, 4 * (1e-7 * (x.shape[1] + 8)) * (reach + qq) + 1e-35
     if space == "l2" and len(q) < 8:
         return xx[None, :] + qq[:, None] - 2.0 * (q @ x.T), 4 * slack * (reach + qq)
     if space == "l2":
@@ -121,7 +131,9 @@ def _exact_in_slices(x, q, rows, queries, space) -> np.ndarray:
 
 def _first_copies(x: np.ndarray, batch: np.ndarray, pos: np.ndarray, k: int) -> np.ndarray:
     """Rows of `x` without those that have k equal vectors before them: they can never be hits."""
-    _, group = np.unique(x, axis=0, return_inverse=True)
+    # Rows as strings of bytes; adding zero makes -0.0 and 0.0 one.
+    whole = np.ascontiguousarray(x + 0.0)
+    _, group = np.unique(whole.view(f"V{whole.itemsize * whole.shape[1]}").ravel(), return_inverse=True)
     order = np.lexsort((pos, batch, group.ravel()))
     return np.sort(order[_rank_within(group.ravel()[order]) < k])
 
@@ -170,6 +182,8 @@ class _Best:
 
 def _within(rough: np.ndarray, bound: np.ndarray) -> np.ndarray:
     """Flat places of the distances within the bound of their query."""
+    if rough.dtype == np.float32:
+        bound = np.nextafter(bound.astype(np.float32), np.float32(np.inf))
     with np.errstate(invalid="ignore"):
         # Written as a negation so that undefined distances stay in and rank last.
         return np.flatnonzero(~(rough > bound[:, None]))
@@ -217,6 +231,14 @@ def _offer(best: _Best, block: QueryBlock, x, batch, pos, ids: pa.Array, cells)
             _compare(best, block, queries, x[here], batch[here], pos[here], ids.take(pa.array(here)))
 
 
+def _widening(rows: int, step: int) -> Iterator[slice]:
+    """Slices of growing size: a few rows bound what a query still has to look at in the many."""
+    at, size = 0, min(FIRST_ROWS, step)
+    while at < rows:
+        yield slice(at, at + size)
+        at, size = at + size, min(4 * size, step)
+
+
 def _shown(best: _Best, block: QueryBlock) -> Iterator[pa.RecordBatch]:
     """The rows held, as result batches."""
     q, place = np.nonzero(best.used)
@@ -470,6 +492,9 @@ def hits_of_queries(
     queries = queries.select(F.col(qid).alias("qid"), F.col(embedding).cast("array<float>").alias("v"), *extra)
     qid_type = queries.schema["qid"].dataType
     total, columns, blocks = _query_blocks(queries, "qid", "v", dim)
+    if blocks == 1 and total > TASK_PAIRS // (SHARD_CELLS // columns or 1):
+        # Few splits of the corpus may hold many records: then the pairs are dealt out.
+        blocks = 1 + (total * rows.filter(F.col("embedding").isNotNull()).count() > TASK_PAIRS)
 
     if blocks == 0:
         nothing = QueryBlock(pa.array([], pa.int64()), np.empty((0, 1)), space, k)
@@ -495,15 +520,17 @@ def _hits_by_shards(
 ) -> DataFrame:
     """The k best rows of every query in every shard of the corpus, for a query side of any size.
 
-    Corpus and queries are packed into blocks of rows. A shard is as much of the corpus as a task holds; it
-    is dealt one copy of every query block and compares them one after another. One job, and
-    nothing passes through the driver. The shuffle carries the corpus once and the queries once per shard,
-    little beside the products that each copy stands for.
+    The corpus is cut into shards and the queries into blocks, so that a shard and a block make at most about
+    `TASK_PAIRS` pairs; each shard meets each block in a task of its own. More rows make more tasks, not longer ones.
+    One job, and nothing passes through the driver. Rows travel packed; the shuffle carries the corpus once per
+    block and the queries once per shard, little beside the products that each copy stands for.
     """
     spark = rows.sparkSession
     held = rows.filter(F.col("embedding").isNotNull())
     limit = broadcast_limit(spark)
-    shards = max(1, -(-held.count() * (8 * dim + 64) // limit))
+    most = max(1, min(SHARD_CELLS // dim, limit // (8 * dim + 64)))
+    shards = max(1, -(-held.count() // most))
+    blocks = max(1, -(-queries.count() // max(1, min(TASK_PAIRS // most, limit // (8 * dim + 64)))))
     per_block = max(1, min(VECTOR_CELLS // dim, limit // (8 * dim + 64)))
     with_cell = visits is not None
     qid_type = queries.schema["qid"].dataType
@@ -556,18 +583,19 @@ def _hits_by_shards(
         *ORDER,
         *(["_cell"] if with_cell else []),
     ).mapInArrow(pack(False), packed)
-    # Query blocks are packed once and then copied, a row per shard.
-    asked = queries.select(F.lit(0).alias("shard"), "v", "qid", *extra).mapInArrow(pack(True), packed)
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<int>")))
-    dealt = corpus.unionByName(asked).repartition(F.col("shard")).sortWithinPartitions("shard", "is_query")
+    asked = queries.select(F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int").alias("shard"), "v", "qid", *extra).mapInArrow(pack(True), packed)
+    # Rows are packed once and then copied: a shard's for every block, a block's for every shard.
+    corpus = corpus.withColumn("shard", F.explode(F.sequence(F.col("shard") * blocks, F.col("shard") * blocks + blocks - 1)))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.col("shard"), F.col("shard") + (shards - 1) * blocks, F.lit(blocks))))
+    dealt = corpus.unionByName(asked).repartitionById(shards * blocks, "shard").sortWithinPartitions("shard", "is_query")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, parts, step = None, [], max(1, VECTOR_CELLS // dim)
+        shard, parts, whole, step = None, [], False, max(1, VECTOR_CELLS // dim)
         for batch in batches:
             for n in range(batch.num_rows):
                 row = batch.slice(n, 1)
                 if shard is None or row.column("shard")[0].as_py() != shard:
-                    shard, parts = row.column("shard")[0].as_py(), []
+                    shard, parts, whole = row.column("shard")[0].as_py(), [], False
                 flat = row.column("vectors").flatten()
                 x = _matrix(pa.FixedSizeListArray.from_arrays(flat, dim), dim)
                 if not row.column("is_query")[0].as_py():
@@ -575,15 +603,17 @@ def _hits_by_shards(
                     cells = row.column("cells").flatten().to_numpy(zero_copy_only=False) if with_cell else None
                     parts.append((x.astype(np.float32), batch_no, pos, row.column("ids").flatten(), cells))
                     continue
-                if len(parts) > 1:  # blocks arrive cut small where there are many shards
+                if not whole and parts:  # blocks arrive cut small where there are many shards
                     x32, *numbers = (np.concatenate(c) if c[0] is not None else None for c in zip(*((p[0], p[1], p[2], p[4]) for p in parts)))
-                    parts = [(x32, numbers[0], numbers[1], pa.concat_arrays([p[3] for p in parts]), numbers[2])]
+                    once = _first_copies(x32, numbers[0], numbers[1], k)
+                    own = None if numbers[2] is None else numbers[2][once]
+                    parts = [(x32[once], numbers[0][once], numbers[1][once], pa.concat_arrays([p[3] for p in parts]).take(pa.array(once)), own)]
+                    whole = True
                 table = pa.table({name: row.column(f"x_{name}").flatten() for name in extra})
                 block = QueryBlock(row.column("qids").flatten(), x, space, k, visits(x, table) if with_cell else None)
                 best = _Best(len(x), k)
                 for vectors, batch_no, pos, ids, cells in parts:
-                    for at in range(0, len(vectors), step):
-                        some = slice(at, at + step)
+                    for some in _widening(len(vectors), step):
                         own = None if cells is None else cells[some]
                         _offer(best, block, vectors[some].astype(np.float64), batch_no[some], pos[some], ids[some], own)
                 yield from _shown(best, block)

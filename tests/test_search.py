@@ -101,6 +101,34 @@ def test_copies_without_the_shortcut_agree(spark, monkeypatch):
         assert mine == sorted(np.lexsort((n, d))[:3].tolist())
 
 
+@pytest.mark.parametrize("space", ["l2", "cosine", "ip"])
+def test_many_pairs_are_dealt_to_many_tasks(spark, monkeypatch, space):
+    """One split of the corpus and all its rows as queries: the pairs still go to many tasks, with copies in each."""
+    v = np.concatenate([vectors(60, 8), np.repeat(vectors(3, 8, 4), 25, axis=0)])
+    queries = spark.createDataFrame([(i, [float(x) for x in w]) for i, w in enumerate(v)], "qid int, embedding array<float>")
+    df = corpus(spark, v, parts=1)
+    whole = search.knn_join(df, queries, k=3, space=space).select("qid", "rank", "id", "distance").collect()
+    monkeypatch.setattr(search, "TASK_PAIRS", 1500, raising=False)
+    monkeypatch.setattr(search, "SHARD_CELLS", 40 * 8, raising=False)
+    dealt, _ = search.hits_of_queries(df, queries, 3, space, "qid", "embedding")
+    cut = search.knn_join(df, queries, k=3, space=space).select("qid", "rank", "id", "distance").collect()
+    assert sorted(whole) == sorted(cut) and len(cut) == 3 * len(v)
+    assert "shard" in dealt._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("shift", [0.0, 300.0])
+def test_single_precision_loses_nothing(spark, shift):
+    """Many rows are first told apart in single precision; rows that it cannot tell apart are measured exactly."""
+    v = (vectors(9000, 6) + shift).astype(np.float32).astype(float)
+    v[4000:4040] = v[7]
+    q = np.concatenate([v[5:9], (vectors(3, 6, 8) + shift).astype(np.float32)])
+    queries = spark.createDataFrame([(i, [float(x) for x in w]) for i, w in enumerate(q)], "qid int, embedding array<float>")
+    rows = search.knn_join(corpus(spark, v, parts=1), queries, k=5).collect()
+    for i, w in enumerate(q):
+        mine = sorted((r["rank"], r["id"], round(r["distance"], 9)) for r in rows if r["qid"] == i)
+        assert [(b, c) for _, b, c in mine] == brute(v, w.astype(float), 5)
+
+
 def test_large_query_side_is_cut_into_blocks(spark):
     v, q = vectors(60, 8), vectors(40, 8, 5)
     queries = spark.createDataFrame([(i, [float(x) for x in w]) for i, w in enumerate(q)], "qid int, embedding array<float>")
