@@ -7,7 +7,7 @@ import sys
 import types
 from array import array
 from collections.abc import Callable
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -139,16 +139,23 @@ def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarr
         plain = [w for w in new if w.isalpha() or (w[:1] == " " and w[1:].isalpha())]
         shown = "\n".join(plain).encode().decode("latin-1").translate(letters).split(letters[10]) if plain else []
         found = [[t.id for t in tokens] for tokens in map(model.tokenize, shown)]
-        ids = dict(zip(plain, [array("I", ids).tobytes() for ids in found]))
-        rest = list(new.difference(plain, [""]))
-        return {"": b""} | ids | dict(zip(rest, whole(rest)))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32).tobytes()
+        ends = (4 * np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))).tolist()
+        ids = {w: flat[a:b] for w, a, b in zip(plain, [0, *ends], ends)}
+        rest = list(new.difference(plain))
+        ids.update(zip(rest, whole(rest)))
+        return ids
 
     def ids_of_words(new: list[str]) -> list[bytes]:
-        heads = [w.rstrip(_SIGNS) for w in new]
-        heads = [h if h[-1:].isalpha() else w for w, h in zip(new, heads)]
-        tails = [w[len(h) :] for w, h in zip(new, heads)]
-        parts = ids_of_parts(set(heads).union(tails))
-        return [parts[h] + parts[t] for h, t in zip(heads, tails)]
+        # Most words end in a letter: only the others can have signs to part.
+        heads = {w: w.rstrip(_SIGNS) for w in new if w[-1] in _SIGNS}
+        heads = {w: h for w, h in heads.items() if h[-1:].isalpha()}
+        if not heads:
+            parts = ids_of_parts(set(new))
+            return list(map(parts.__getitem__, new))
+        tails = {w: w[len(h) :] for w, h in heads.items()}
+        parts = ids_of_parts({w for w in new if w not in heads}.union(heads.values(), tails.values()))
+        return [parts[heads[w]] + parts[tails[w]] if w in heads else parts[w] for w in new]
 
     def places(words: list[bytes], is_text: np.ndarray) -> np.ndarray:
         """The place of each word in memory; long ones and whole texts are forgotten after the step."""
@@ -158,9 +165,10 @@ def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarr
         apart = is_text[missing] | (np.fromiter(map(len, words), np.int64, len(words))[missing] > LONG_WORD)
         long, short = missing[apart].tolist(), missing[~apart].tolist()
         if short:
-            first = known.add(ids_of_words([words[k].decode() for k in short]))
+            new = [words[k] for k in short]
+            first = known.add(ids_of_words([w.decode() for w in new]))
             place[short] = np.arange(first, first + len(short))
-            known.number.update(zip([words[k] for k in short], place[short].tolist()))
+            known.number.update(zip(new, range(first, first + len(short))))
         if long:
             first = known.add(whole([words[k].decode() for k in long]))
             place[long] = np.arange(first, first + len(long))
@@ -184,16 +192,12 @@ def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarr
         upto = np.concatenate([[0], np.cumsum(size)])
         total = upto[first] + np.arange(len(at))
         out = np.empty(int(total[-1]), np.uint32)
-        out[total[1:] - 1] = end_id
-        row = np.repeat(np.arange(len(at) - 1), np.diff(first))
-        inside = _within(size)
-        out[np.repeat(upto[:-1] + row, size) + inside] = known.ids[np.repeat(known.begin[place], size) + inside]
+        is_end = np.zeros(len(out), bool)
+        is_end[total[1:] - 1] = True
+        out[is_end] = end_id
+        source = np.repeat(known.begin[place] - upto[:-1], size)
+        source += np.arange(len(source))
+        out[~is_end] = known.ids[source]
         return out, total
 
     return encode
-
-
-def _within(size: np.ndarray) -> np.ndarray:
-    """0, 1, ... size - 1 for each size in turn."""
-    upto = np.cumsum(size)
-    return np.arange(int(upto[-1]) if len(upto) else 0) - np.repeat(upto - size, size)
