@@ -26,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import RangeHash, cut, flat_bytes, mixed, runs_of, slices, spread_text, stored, text_or_empty, word_bounds
+from kinfold.llm.shared import RangeHash, cut, flat_bytes, forget_words, mixed, runs_of, slices, spread_text, stored, text_or_empty, word_bounds
 from kinfold.plans.sizing import fits
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
 #: Texts of a bucket among which all pairs are compared.
 SMALL_BUCKET = 12
+#: Text bytes signed in one step.
+SIGNED_BYTES = 1 << 18
 #: Texts of a block, about, where large buckets are compared in blocks.
 BLOCK_TEXTS = 128
 
@@ -121,7 +123,8 @@ def similarity(a: pa.Array, b: pa.Array) -> np.ndarray:
 
 def _signed(texts: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        forget_words()
+        for batch in slices(batches, "text", SIGNED_BYTES):
             shingle, row = shingles_of(*flat_bytes(batch.column("text")))
             keys = bands_of(signatures(shingle, row, batch.num_rows))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
@@ -146,7 +149,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     whole = whole.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_b", 1 << 20):
+        forget_words()
+        for batch in slices(batches, "text_b", 1 << 19):
             near = similarity(batch.column("text_a"), batch.column("text_b")) >= threshold
             yield batch.select(["a", "b"]).filter(pa.array(near))
 

@@ -29,16 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import RangeHash, flat_bytes, mixed, slices, spread_text, stored, text_or_empty
+from kinfold.llm.shared import RangeHash, flat_bytes, forget_words, mixed, slices, spread_text, stored, text_or_empty
 from kinfold.plans.sizing import fits
 
 TOKEN = 40
 #: Text bytes whose suffixes are chosen in one step; it takes about a hundred bytes of arrays for each.
-SUFFIX_BYTES = 1 << 19
+SUFFIX_BYTES = 1 << 18
 #: Different suffixes of one leading token that a task compares in memory.
 MOST_SUFFIXES = 200_000
 #: Suffixes that one step of a bucket takes, if tokens are not split.
-STEP = 20_000
+STEP = 10_000
 
 
 def suffixes(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -155,6 +155,7 @@ def _taken(texts: DataFrame, length: int) -> DataFrame:
     """All suffixes of all texts: token, strings, h, g, place (start, count and lead packed)."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         for batch in slices(batches, "text", SUFFIX_BYTES):
             row, start, count, lead, token, whole = suffixes(*flat_bytes(batch.column("text")), length)
             own = batch.select(["h", "g"]).take(pa.array(row))

@@ -162,3 +162,16 @@ def test_added_tokens_in_documents(spark, plain_library):
     whole = {d: plain_library(t) + [0] for d, t, *_ in holding_added_tokens()}
     packed = pack(docs, size=1024).collect()
     assert {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in packed} == {d: (len(x), crc(x)) for d, x in whole.items()}
+
+
+def test_other_stages_free_the_words(spark):
+    """Words remembered by a worker do not stay when it signs or cuts texts for another operator."""
+    import sys
+
+    from kinfold.llm import near_copies, shared, tokens
+
+    tokens._memory("some vocabulary").number[b"word"] = 0
+    shared.forget_words()
+    assert "kinfold_task_memory" not in sys.modules and not tokens._memory("some vocabulary").number
+    shared.forget_words()
+    assert near_copies.SIGNED_BYTES <= shared.CHUNK_BYTES
