@@ -25,6 +25,8 @@ from kinfold.llm.tokens import STEP_BYTES, default_vocabulary, encoder
 PIECES = "doc_id bigint, start bigint, length int, ids_crc32 bigint, doc_tokens bigint, part int, local_rank bigint"
 SLOTS = "length int, first_rank bigint, last_rank bigint, copies int, first_sequence bigint, slot_offset bigint"
 
+#: Words that a worker remembers while it packs, beside what other stages of a pipeline left in the executor.
+REMEMBERED = 250_000
 #: A pattern: the lengths in a pack with how often each occurs.
 Pattern = tuple[tuple[int, int], ...]
 
@@ -94,7 +96,7 @@ def pieces(
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, tokens, seen = TaskContext.get().partitionId(), encoder(vocabulary, end_id), {}
+        part, tokens, seen = TaskContext.get().partitionId(), encoder(vocabulary, end_id, REMEMBERED), {}
         schema = pa.schema(
             [(n, pa.int32() if n in ("length", "part") else pa.int64()) for n in (x.split()[0] for x in PIECES.split(", "))]
         )

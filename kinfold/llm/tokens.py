@@ -108,7 +108,7 @@ def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarra
     return begin, np.searchsorted(begin, at), whole
 
 
-def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+def encoder(vocabulary: str, end_id: int, remembered: int = REMEMBERED) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to all their ids one after another, and where each text's begin and the last end.
 
     Every id comes from the tokenizers library; `end_id` follows each text. A distinct word is encoded once
@@ -176,7 +176,7 @@ def encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarr
         return place
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(known.number) > REMEMBERED:
+        if len(known.number) > remembered:
             known.forget()
         raw, at = flat_bytes(texts)
         begin, first, whole_texts = _pieces(raw, at, odd)

@@ -175,3 +175,10 @@ def test_other_stages_free_the_words(spark):
     assert "kinfold_task_memory" not in sys.modules and not tokens._memory("some vocabulary").number
     shared.forget_words()
     assert near_copies.SIGNED_BYTES <= shared.CHUNK_BYTES
+
+
+def test_few_remembered_words_change_nothing():
+    texts = pa.array([prose(k, 40) for k in range(6)])
+    few = encoder(default_vocabulary(), 0, 1)
+    for _ in range(2):
+        assert all((a == b).all() for a, b in zip(few(texts), ENCODE(texts)))
