@@ -26,11 +26,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinfold.errors import ValidationError
 from kinfold.functions.distance import squared_l2
 from kinfold.operators.approximate import Cells
-from kinfold.operators.search import HIT_BYTES, ensure_checkpoint_dir, knn_join, rank_hits
+from kinfold.operators.search import (
+    FIRST_ROWS,
+    HIT_BYTES,
+    OUTPUT_ROWS,
+    TASK_PAIRS,
+    _rank_within,
+    _widening,
+    ensure_checkpoint_dir,
+    knn_join,
+    rank_hits,
+)
 from kinfold.plans.sizing import broadcast_limit, fits
 from kinfold.schema import ORDER
 
@@ -39,6 +51,12 @@ TRAINING_ROWS = 20_000
 TUNING_QUERIES = 400
 #: Cells of one table of approximate distances inside a task.
 TABLE_CELLS = 4_000_000
+#: Codes that one task holds, and queries that it takes at once, where many queries meet many codes.
+SHARD_ROWS = 1 << 20
+BLOCK_QUERIES = 1 << 14
+#: Codes decoded at once, and queries that they are compared with in one matrix product.
+DECODED_ROWS = 1 << 14
+PRODUCT_QUERIES = 256
 #: Standard errors by which the tuning sample's recall must pass the target.
 MARGIN = 2.0
 
@@ -83,6 +101,11 @@ class Effort:
     depth: int
 
 
+def _visits(gaps: np.ndarray, effort: Effort) -> np.ndarray:
+    """Which cells (columns) each query (row) visits."""
+    return gaps <= (np.inf if np.isinf(effort.factor) else effort.factor * gaps.min(axis=1, keepdims=True) + 1e-12)
+
+
 def _nearest_words(x: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (np.square(words).sum(axis=1)[None, :] - 2.0 * (x @ words.T)).argmin(axis=1)
 
@@ -142,7 +165,7 @@ def _candidates(index: DataFrame, quantiser: Quantiser, table: pa.Table, qid_typ
     dim = quantiser.cells.centroids.shape[1]
     qids, q = table.column("qid").combine_chunks(), _vectors(table.column("v"), dim)
     gaps = quantiser.gaps(q)
-    visits = gaps <= (np.inf if np.isinf(effort.factor) else effort.factor * gaps.min(axis=1, keepdims=True) + 1e-12)
+    visits = _visits(gaps, effort)
     parts, depth = quantiser.parts, effort.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,12 +220,163 @@ def _candidates(index: DataFrame, quantiser: Quantiser, table: pa.Table, qid_typ
     return visited.mapInArrow(run, f"qid {qid_type.simpleString()}, id string, distance double, _batch bigint, _pos bigint")
 
 
+class _Nearest:
+    """The `depth` rows of one shard of codes with the smallest approximate distances to each query of a block."""
+
+    def __init__(self, quantiser: Quantiser, q: np.ndarray, effort: Effort):
+        self.quantiser, self.q, self.depth = quantiser, q, effort.depth
+        self.gaps = quantiser.gaps(q)
+        self.visits = _visits(self.gaps, effort)
+        self.distance = np.full((len(q), effort.depth), np.inf)
+        self.row = np.full((len(q), effort.depth), -1)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.number = 0
+        reach = max(self.gaps.max(initial=0.0), np.square(quantiser.codewords).sum(axis=2).max(axis=1).sum())
+        self.kind = np.float32 if reach < 1e30 else np.float64
+
+    def offer(self, cell: int, codes: np.ndarray, rows: np.ndarray) -> None:
+        """Compare codes of one cell with the queries that visit it: by products of decoded residuals, which
+        for many queries take less than a table entry for every part and pair. Rows come in ascending order."""
+        asking = np.flatnonzero(self.visits[:, cell])
+        if not len(asking):
+            return
+        residual = np.concatenate([words[codes[:, p]] for p, words in enumerate(self.quantiser.codewords)], axis=1)
+        right = np.column_stack([residual, np.square(residual).sum(axis=1), np.ones(len(rows))]).astype(self.kind).T
+        few = False
+        for at in range(0, len(asking), PRODUCT_QUERIES):
+            who = asking[at : at + PRODUCT_QUERIES]
+            left = np.column_stack([-2.0 * (self.q[who] - self.quantiser.cells.centroids[cell]), np.ones(len(who)), self.gaps[who, cell]])
+            near = left.astype(self.kind) @ right
+            last = self.distance[who, -1]
+            few |= bool(np.isinf(last).any())
+            if len(rows) > self.depth and np.isinf(last).any():
+                # Not enough known yet to tell rows apart: the last of the best of these rows is a bound too.
+                here = np.partition(near, self.depth - 1, axis=1)[:, self.depth - 1]
+                place = np.flatnonzero(np.where(np.isinf(last), near.T <= here, near.T < last.astype(self.kind)).T)
+            else:
+                place = np.flatnonzero(near < last.astype(self.kind)[:, None])
+            if len(place):
+                query, found = np.divmod(place, len(rows))
+                self.waiting.append((who[query], near.ravel()[place].astype(np.float64), rows[found]))
+                self.number += len(place)
+        # Most rows are far, so it pays to sort what is near only now and then.
+        if few or self.number > self.depth * len(self.q):
+            self.settle()
+
+    def settle(self) -> None:
+        """Merge the waiting rows into the lines of their queries; ties stay in order of the rows."""
+        if not self.waiting:
+            return
+        query, distance, row = (np.concatenate(c) for c in zip(*self.waiting))
+        self.waiting, self.number = [], 0
+        lines = np.unique(query)
+        query = np.concatenate([np.repeat(lines, self.depth), query])
+        distance = np.concatenate([self.distance[lines].ravel(), distance])
+        row = np.concatenate([self.row[lines].ravel(), row])
+        order = np.lexsort((distance, query))
+        rank = _rank_within(query[order])
+        keep = order[rank < self.depth]
+        at = (query[keep], rank[rank < self.depth])
+        self.distance[at], self.row[at] = distance[keep], row[keep]
+
+
+def _candidates_by_shards(index: DataFrame, quantiser: Quantiser, asked: DataFrame, number: int, effort: Effort) -> DataFrame:
+    """As :func:`_candidates`, ranked, for a query side of any size: one job, and nothing passes through the driver.
+
+    The codes are cut into shards and the queries into blocks, so that both fit in a task and make at most about
+    `TASK_PAIRS` pairs; each block meets each shard in a task of its own. More rows make more tasks, not longer ones.
+    What the shuffle copies is codes, a few bytes a row, so that a shard holds many rows and few hits leave a task.
+    """
+    spark, dim, parts, depth = index.sparkSession, quantiser.cells.centroids.shape[1], quantiser.parts, effort.depth
+    qid_type, limit = asked.schema["qid"].dataType, broadcast_limit(index.sparkSession)
+    rows = index.count()
+    most = max(1, min(SHARD_ROWS, limit // (parts + 48)))
+    shards = max(1, -(-rows // most))
+    per_task = max(1, min(BLOCK_QUERIES, TASK_PAIRS // max(1, min(most, rows)), limit // (16 * dim + 16 * depth)))
+    # Few pairs are spread over the cores all the same, down to some hundreds of queries in a task.
+    wanted = min(-(-number // PRODUCT_QUERIES), 2 * spark.sparkContext.defaultParallelism)
+    blocks = max(1, -(-number // per_task), -(-wanted // shards))
+    fields = [("vectors", T.FloatType()), ("qids", qid_type), ("codes", T.BinaryType()), ("cells", T.IntegerType())]
+    fields += [("ids", T.StringType()), ("batches", T.LongType()), ("places", T.LongType())]
+    packed = T.StructType([T.StructField("task", T.IntegerType()), T.StructField("is_query", T.BooleanType())])
+    for name, kind in fields:
+        packed = packed.add(name, T.ArrayType(kind))
+
+    def pack(is_query: bool, per_row: int, sources: dict[str, str]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            schema = to_arrow_schema(packed)
+            for batch in batches:
+                for at in range(0, batch.num_rows, per_row):
+                    part = batch.slice(at, per_row)
+                    tasks = part.column("task").to_numpy(zero_copy_only=False)
+                    for task in np.unique(tasks):
+                        own = part.filter(pa.array(tasks == task))
+                        held = {"task": pa.array([task], pa.int32()), "is_query": pa.array([is_query])}
+                        for name, source in sources.items():
+                            values = own.column(source)
+                            values = values.flatten() if name == "vectors" else values
+                            held[name] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+                        columns = [held[f.name].cast(f.type) if f.name in held else pa.nulls(1, f.type) for f in schema]
+                        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+        return run
+
+    of_rows = {"codes": "_codes", "cells": "_cell", "ids": "id", "batches": "_batch", "places": "_pos"}
+    coded = index.withColumn("task", F.pmod(F.xxhash64("id", *ORDER), F.lit(shards)).cast("int"))
+    coded = coded.select("task", *of_rows.values()).mapInArrow(pack(False, DECODED_ROWS, of_rows), packed)
+    some = asked.select(F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int").alias("task"), "qid", "v")
+    some = some.mapInArrow(pack(True, DECODED_ROWS, {"vectors": "v", "qids": "qid"}), packed)
+    # Rows are packed once and then copied: a shard's for every block, a block's for every shard.
+    coded = coded.withColumn("task", F.explode(F.sequence(F.col("task") * blocks, F.col("task") * blocks + blocks - 1)))
+    some = some.withColumn("task", F.explode(F.sequence(F.col("task"), F.col("task") + (shards - 1) * blocks, F.lit(blocks))))
+    dealt = coded.unionByName(some).repartitionById(shards * blocks, "task").sortWithinPartitions("task", "is_query")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(coded: list[pa.RecordBatch], some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if not coded or not some:
+                return
+            cells, batch_no, pos = (pa.concat_arrays([b.column(c).flatten() for b in coded]) for c in ("cells", "batches", "places"))
+            codes = np.frombuffer(b"".join(x for b in coded for x in b.column("codes").flatten().to_pylist()), np.uint8).reshape(-1, parts)
+            ids = pa.concat_arrays([b.column("ids").flatten() for b in coded])
+            numbers = [c.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False) for c in (pos, batch_no)]
+            home = cells.to_numpy(zero_copy_only=False)
+            order = np.lexsort((*numbers, home))  # one cell after another, ties in insertion order
+            qids = pa.concat_arrays([b.column("qids").flatten() for b in some])
+            q = pa.concat_arrays([b.column("vectors").flatten() for b in some]).to_numpy(zero_copy_only=False)
+            near = _Nearest(quantiser, q.astype(np.float64).reshape(-1, dim), effort)
+            edges = np.searchsorted(home[order], np.arange(quantiser.cells.count + 1))
+            for cell in range(quantiser.cells.count):
+                own = np.arange(edges[cell], edges[cell + 1])
+                for step in _widening(len(own), max(FIRST_ROWS, DECODED_ROWS)):
+                    near.offer(cell, codes[order[own[step]]], own[step])
+            near.settle()
+            query, place = np.nonzero(near.row >= 0)
+            for at in range(0, len(query), OUTPUT_ROWS):
+                line = (query[at : at + OUTPUT_ROWS], place[at : at + OUTPUT_ROWS])
+                taken = pa.array(order[near.row[line]])
+                columns = [qids.take(pa.array(line[0])), ids.take(taken), pa.array(near.distance[line]), batch_no.take(taken), pos.take(taken)]
+                yield pa.RecordBatch.from_arrays(columns, ["qid", "id", "distance", "_batch", "_pos"])
+
+        task, coded, some = None, [], []
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                if row.column("task")[0].as_py() != task:
+                    yield from found(coded, some)
+                    task, coded, some = row.column("task")[0].as_py(), [], []
+                (some if row.column("is_query")[0].as_py() else coded).append(row)
+        yield from found(coded, some)
+
+    hits = dealt.mapInArrow(compare, f"qid {qid_type.simpleString()}, id string, distance double, _batch bigint, _pos bigint")
+    return rank_hits(hits, depth) if shards > 1 else hits
+
+
 def search(
     corpus: DataFrame, index: DataFrame, quantiser: Quantiser, effort: Effort, queries: DataFrame, k: int = 10, qid: str = "qid", embedding: str = "embedding"
 ) -> DataFrame:
     """qid, rank, id, distance: the k nearest of every query among its candidates, measured exactly.
 
-    Query ids must be unique. Beyond the broadcast bound the queries are searched in blocks.
+    Query ids must be unique. Beyond the broadcast bound blocks of queries are dealt to shards of the codes by a shuffle.
     """
     ensure_checkpoint_dir(corpus)
     spark, dim = corpus.sparkSession, quantiser.cells.centroids.shape[1]
@@ -211,13 +385,11 @@ def search(
     effort = replace(effort, depth=max(effort.depth, k))
     number = asked.count()
     size = number * (8 * dim + 8 * quantiser.codewords.shape[1] * quantiser.parts + HIT_BYTES * effort.depth)
-    blocks = max(1, -(-size // broadcast_limit(spark)))
-    found = None
-    for b in range(blocks):
-        part = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
-        hits = _candidates(index, quantiser, part.toArrow(), qid_type, effort)
-        hits = rank_hits(hits, effort.depth).select("qid", "id").checkpoint()
-        found = hits if found is None else found.unionByName(hits)
+    if size <= broadcast_limit(spark):
+        hits = rank_hits(_candidates(index, quantiser, asked.toArrow(), qid_type, effort), effort.depth)
+    else:
+        hits = _candidates_by_shards(index, quantiser, asked, number, effort)
+    found = hits.select("qid", "id").checkpoint()
     small = number * effort.depth * HIT_BYTES <= broadcast_limit(spark)
     held = corpus.select("id", *ORDER, F.col("embedding").alias("_x")).join(F.broadcast(found) if small else found, "id")
     held = held.join(F.broadcast(asked) if fits(asked) else asked, "qid")

@@ -116,6 +116,33 @@ def test_tuned_search_reaches_its_recall(spark, limit):
     assert approximate.recall(whole, search.knn_join(df, queries.limit(20), 5)).first()["recall"] == 1.0
 
 
+def test_many_queries_meet_the_codes_in_one_job(spark, monkeypatch):
+    x = np.concatenate([clustered(5, 2500, 16, 30, 0.4), np.ones((300, 16), np.float32)])
+    df = corpus(spark, x)
+    queries = df.select(F.col("id").alias("qid"), "embedding")
+    cells = approximate.train_cells(df, 12, iterations=4)
+    made = quantised.train_quantiser(df, cells, parts=8)
+    index = quantised.encode(df, made).cache()
+
+    def nearest(factor):
+        rows = quantised.search(df, index, made, quantised.Effort(factor, 40), queries, 5).collect()
+        return {(r["qid"], r["rank"]): (r["id"], round(r["distance"], 9)) for r in rows}
+
+    for factor in (1.5, np.inf):
+        whole = nearest(factor)
+        spark.conf.set(BROADCAST_SETTING, "60000")
+        try:
+            with monkeypatch.context() as m:
+                # Neither queries nor codes pass through the driver, block after block.
+                m.setattr(quantised, "_candidates", None)
+                dealt = nearest(factor)
+        finally:
+            spark.conf.unset(BROADCAST_SETTING)
+        # Rounding decides among rows at the depth's edge, seldom among the nearest.
+        assert dealt.keys() == whole.keys()
+        assert sum(dealt[k] == whole[k] for k in whole) >= 0.999 * len(whole)
+
+
 def test_codes_need_fitting_parts(spark):
     df = corpus(spark, clustered(1, 50, 6, 3, 0.1))
     with pytest.raises(ValidationError):
