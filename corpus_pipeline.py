@@ -1,7 +1,8 @@
 """A corpus from `documents`: rejected texts go, one of each group of near copies stays, repeated
 passages are cut, sources are mixed to target weights, and what is left is packed into sequences.
 
-Every stage but the last returns the columns of `documents`. Ties, nulls and repeated rows are handled
+Every stage but the last returns the columns of `documents`, written to shared storage in small batches and reread, so
+that whoever takes the result next doesn't move thousands of texts at once. Ties, nulls and repeated rows are handled
 as the operators say.
 """
 
@@ -21,26 +22,26 @@ from kinfold.llm.shared import stored
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the weak-label classifier keeps."""
     judged = classify(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), id="in_doc_id", text="in_text")
-    return judged.filter("kept").select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
+    return stored(judged.filter("kept").select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns]), "judged")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
-    return without_near_copies(docs)
+    return stored(without_near_copies(docs), "without-near-copies")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without strings of 200 bytes that occur twice; n_chars follows the text."""
     cut = without_repeats(docs, length=200)
-    if "n_chars" not in docs.columns:
-        return cut
-    count = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), count).otherwise(F.col("n_chars")))
+    if "n_chars" in docs.columns:
+        count = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), count).otherwise(F.col("n_chars")))
+    return stored(cut, "without-repeats")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix of sources takes them."""
-    return mix(docs)[0]
+    return stored(mix(docs)[0], "mixed")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +62,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of `documents`; each result is written to shared storage and reread."""
+    """All stages over the whole of `documents`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
+    for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, f"stage-{k}")
     return docs

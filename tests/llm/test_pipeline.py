@@ -40,6 +40,14 @@ def test_stages(spark):
     assert len(packed) >= len(mixed)
 
 
+def test_stages_give_stored_rows_and_texts_travel_once(spark):
+    docs = table(spark, rows()[0])
+    judged = corpus_pipeline.classify(docs)
+    assert "MapInArrow" in judged._jdf.queryExecution().toString() and "_text_" not in judged._jdf.queryExecution().toString()
+    # Whoever writes the first stage's result takes no Arrow batches of thousands of texts.
+    assert "MapInArrow" not in corpus_pipeline.quality(spark, docs, "")._jdf.queryExecution().toString()
+
+
 def test_run_equals_its_stages_and_takes_nothing(spark, tmp_path):
     table(spark, rows()[0]).write.parquet(f"file://{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").columns[0] == "doc_id"
