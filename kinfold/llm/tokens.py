@@ -78,12 +78,30 @@ def _memory(vocabulary: str) -> _Memory:
     return held.setdefault(f"words {vocabulary}", _Memory())
 
 
+def _library(vocabulary: str):
+    """The vocabulary as the tokenizers library holds it, read once as long as the words are remembered."""
+    from tokenizers import Tokenizer
+
+    held = sys.modules.setdefault("kinfold_task_memory", types.ModuleType("kinfold_task_memory")).__dict__
+    if f"library {vocabulary}" not in held:
+        held[f"library {vocabulary}"] = Tokenizer.from_file(vocabulary)
+    return held[f"library {vocabulary}"]
+
+
+def _places_of(odd: re.Pattern, leads: np.ndarray, raw: np.ndarray) -> list[int]:
+    """Where `odd` matches; bytes that no match begins with are skipped in bulk, which is quicker where few others occur."""
+    some = np.flatnonzero(leads[raw])
+    if len(some) > len(raw) >> 6:
+        return [m.start() for m in odd.finditer(raw)]
+    return [k for k in some.tolist() if odd.match(raw, k)]
+
+
 _IS_LETTER, _IS_SIGN = np.zeros(256, bool), np.zeros(256, bool)
 _IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
 _IS_SIGN[list(_SIGNS.encode())] = True
 
 
-def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each piece of the texts begins, the first piece of each text (and the end), and the texts that are one piece.
 
     A piece is a word with at most one space before it, cut before a sign that follows an ASCII letter, or a line
@@ -100,7 +118,7 @@ def _pieces(raw: np.ndarray, at: np.ndarray, odd: re.Pattern) -> tuple[np.ndarra
     start[1:] |= line[:-1] | (_IS_LETTER[raw[:-1]] & _IS_SIGN[raw[1:]])
     # Blanks next to each other or at an end of a text.
     bad = np.flatnonzero(blank[:-1] & (row_start[:-1] | row_start[1:] | blank[1:]))
-    found = [m.start() for m in odd.finditer(raw)] if n else []
+    found = _places_of(odd, leads, raw) if n else []
     whole = np.unique(np.searchsorted(at, np.concatenate([bad, np.array(found, np.int64)]), "right") - 1)
     for row in whole:
         start[at[row] + 1 : at[row + 1]] = False
@@ -123,12 +141,13 @@ def encoder(vocabulary: str, end_id: int, remembered: int = REMEMBERED) -> Calla
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(vocabulary)
+    library = _library(vocabulary)
     model, letters = library.model, _byte_letters()
     added = [re.escape(t.content.encode()) for t in library.get_added_tokens_decoder().values() if t.content]
     odd = re.compile(b"|".join([_OTHER_SPACE, *added]))
+    leads = np.zeros(256, bool)
+    leads[[*range(14), *range(28, 32), 0xC2, 0xE1, 0xE2, 0xE3, *(t.content.encode()[0] for t in library.get_added_tokens_decoder().values() if t.content)]] = True
+    leads[10] = False
     known = _memory(vocabulary)
 
     def whole(texts: list[str]) -> list[bytes]:
@@ -157,12 +176,12 @@ def encoder(vocabulary: str, end_id: int, remembered: int = REMEMBERED) -> Calla
         parts = ids_of_parts({w for w in new if w not in heads}.union(heads.values(), tails.values()))
         return [parts[heads[w]] + parts[tails[w]] if w in heads else parts[w] for w in new]
 
-    def places(words: list[bytes], is_text: np.ndarray) -> np.ndarray:
+    def places(words: list[bytes], length: np.ndarray, is_text: np.ndarray) -> np.ndarray:
         """The place of each word in memory; long ones and whole texts are forgotten after the step."""
         place = np.array(list(map(known.number.get, words, repeat(-1))), np.int64)
         place[is_text] = -1
         missing = np.flatnonzero(place < 0)
-        apart = is_text[missing] | (np.fromiter(map(len, words), np.int64, len(words))[missing] > LONG_WORD)
+        apart = is_text[missing] | (length[missing] > LONG_WORD)
         long, short = missing[apart].tolist(), missing[~apart].tolist()
         if short:
             new = [words[k] for k in short]
@@ -179,14 +198,17 @@ def encoder(vocabulary: str, end_id: int, remembered: int = REMEMBERED) -> Calla
         if len(known.number) > remembered:
             known.forget()
         raw, at = flat_bytes(texts)
-        begin, first, whole_texts = _pieces(raw, at, odd)
+        begin, first, whole_texts = _pieces(raw, at, odd, leads)
         offsets = np.append(begin, len(raw))
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
         numbered = words.dictionary_encode()
         code = numbered.indices.to_numpy(zero_copy_only=False)
         is_text = np.zeros(len(numbered.dictionary), bool)
         is_text[code[first[:-1][whole_texts]]] = True
-        place = places(numbered.dictionary.to_pylist(), is_text)[code]
+        bare, ends = flat_bytes(numbered.dictionary)
+        flat, bounds = bare.tobytes(), ends.tolist()
+        different = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+        place = places(different, np.diff(ends), is_text)[code]
         size = known.begin[place + 1] - known.begin[place]
         # A text without pieces, and every other, still has its end.
         upto = np.concatenate([[0], np.cumsum(size)])

@@ -47,6 +47,16 @@ def test_memory_begins_anew(library, monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [library(t) + [0] for t in texts[1:]]
 
 
+def test_vocabulary_is_read_once_in_a_worker_and_odd_signs_are_found_however_rare(library):
+    first = tokens._library(default_vocabulary())
+    encode = encoder(default_vocabulary(), 0)
+    assert tokens._library(default_vocabulary()) is first
+    rare = [prose(3, 400), prose(4, 200) + "\u2003" + prose(5, 200), "a" * 999 + "<|endoftext|>" + "b" * 999, prose(6, 400) + "\t"]
+    for texts in (rare, [t + "\t\x00 \xa0\u3000<<" * 60 for t in rare]):
+        ids, at = encode(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [library(t) + [0] for t in texts]
+
+
 def expected_rows(library):
     rows, start = [], 0
     for doc, text, *_ in sorted(awkward(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
