@@ -1,9 +1,10 @@
 """A corpus from `documents`: rejected texts go, one of each group of near copies stays, repeated
 passages are cut, sources are mixed to target weights, and what is left is packed into sequences.
 
-Every stage but the last returns the columns of `documents`, written to shared storage in small batches and reread, so
-that whoever takes the result next doesn't move thousands of texts at once. Ties, nulls and repeated rows are handled
-as the operators say.
+Every stage but the last returns the columns of `documents`. The first three write their result to shared storage in small
+batches and reread it, so that whoever takes it next doesn't move thousands of texts at once or run Python again. The mix
+is a scan and a join with its sources, and packing reads it once, so no copy of its texts is kept. Ties, nulls and repeated
+rows are handled as the operators say.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix of sources takes them."""
-    return stored(mix(docs)[0], "mixed")
+    return mix(docs)[0]
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

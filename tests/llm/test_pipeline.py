@@ -1,4 +1,8 @@
+import re
+from collections import Counter
+
 import numpy as np
+import pyarrow.parquet as pq
 import corpus_pipeline
 from kinfold.llm.shared import stored
 from tests.llm.conftest import awkward, document, prose, table
@@ -53,3 +57,30 @@ def test_run_equals_its_stages_and_takes_nothing(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").columns[0] == "doc_id"
     table(spark, []).write.parquet(f"file://{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_stored_tables_are_compressed_well(spark):
+    texts = table(spark, [document(k, prose(k, 400)) for k in range(40)]).coalesce(1)
+    kept = stored(texts, "test-codec")
+    (path,) = (f.removeprefix("file:").replace("///", "/") for f in kept.inputFiles())
+    group = pq.ParquetFile(path).metadata.row_group(0)
+    assert {group.column(i).compression for i in range(group.num_columns)} == {"ZSTD"}
+    assert sorted(kept.collect()) == sorted(texts.collect())
+
+
+def test_mixture_keeps_no_copy_of_the_texts(spark):
+    repeated = [document(5000, prose(950, 40), "en", "d")] * 5
+    docs = stored(table(spark, rows()[0] + repeated), "test-mix")
+    mixed = corpus_pipeline.mixture(spark, docs, "")
+    assert set(docs.inputFiles()) <= set(mixed.inputFiles())
+    assert mixed.columns == docs.columns and mixed.dtypes == docs.dtypes
+    # Read twice, it is the same rows, and as often as the mix decides on each document.
+    times = Counter(r["doc_id"] for r in mixed.collect())
+    assert times == Counter(r["doc_id"] for r in stored(mixed, "test-mixed").collect())
+    words = Counter()
+    for r in corpus_pipeline.mix(docs)[1].collect():
+        words[r["doc_id"]] += r["taken"]
+    sizes = Counter()
+    for r in mixed.collect():
+        sizes[r["doc_id"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+    assert {k: n for k, n in sizes.items() if n} == {k: n for k, n in words.items() if n}
