@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import replace
 from typing import Any, Union
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinfold.errors import CollectionNotFound, ValidationError
 from kinfold.functions.embedding import Embedder, fill_embedding
@@ -16,6 +19,7 @@ from kinfold.operators import get as get_ops
 from kinfold.operators import mutate, search
 from kinfold.operators.facets import facets
 from kinfold.operators.get import Ids
+from kinfold.plans.sizing import fits
 from kinfold.sources.records import Record, records_frame
 from kinfold.sources.store import Store, Version, check_name, json_ready
 
@@ -102,32 +106,45 @@ class Collection:
 
     # ------------------------------------------------------------------ writes
 
-    def _batch(self, batch: Batch) -> DataFrame:
-        """A batch as a stable DataFrame: vectors filled in, insertion order fixed, lineage cut."""
+    @contextmanager
+    def _batch(self, batch: Batch) -> Iterator[DataFrame]:
+        """A batch as a stable DataFrame: vectors filled in, insertion order fixed, lineage cut.
+
+        It lies below the collection while it is used, because it is read several times.
+        """
         if isinstance(batch, Record):
             batch = [batch]
         local = not isinstance(batch, DataFrame)
         rows = records_frame(self.spark, batch) if local else batch
         if "id" not in rows.columns:
             raise ValidationError("a batch needs an id column")
-        rows = mutate.with_all_metadata(rows, self.version.schema).withColumn("id", F.col("id").cast("string"))
+        schema = self.version.schema
+        rows = mutate.with_all_metadata(rows, schema).withColumn("id", F.col("id").cast("string"))
         if "embedding" in rows.columns:
             rows = rows.withColumn("embedding", F.col("embedding").cast("array<float>"))
         else:
             rows = rows.withColumn("embedding", F.lit(None).cast("array<float>"))
+        # A column of nulls without a type can't be stored.
+        types = {f.name: f.dataType for f in schema.fields}
+        rows = rows.withColumns({f.name: F.col(f"`{f.name}`").cast(types.get(f.name, T.StringType())) for f in rows.schema if isinstance(f.dataType, T.NullType)})
         if "document" in rows.columns and self._embedder is not None:
             filled = fill_embedding(F.col("embedding"), F.col("document"), self._embedder)
             rows = rows.withColumn("embedding", filled)
         if local and self._embedder is None:
-            return rows
-        if not local:
-            # The caller's order decides, but positions are our own: none missing, none twice. Generated
-            # numbers are safe here only because the checkpoint below fixes them.
-            if "_pos" in rows.columns:
-                rows = rows.orderBy("_pos", "id")
-            rows = rows.withColumn("_pos", F.monotonically_increasing_id())
-        search.ensure_checkpoint_dir(rows, f"{self._store.path}/checkpoints")
-        return rows.checkpoint()
+            yield rows
+            return
+        folder = f"batches/{uuid.uuid4().hex}"
+        try:
+            given = local or "_pos" in rows.columns
+            # Generated numbers are safe here only because storing fixes them.
+            kept = self._store.keep(rows if given else rows.withColumn("_pos", F.monotonically_increasing_id()), f"{folder}/given")
+            if given and not local and not mutate.positions_serve(kept):
+                # The caller's order decides, but positions are our own: none missing, none twice.
+                ordered = kept.orderBy("_pos", "id").withColumn("_pos", F.monotonically_increasing_id())
+                kept = self._store.keep(ordered, f"{folder}/ordered")
+            yield kept
+        finally:
+            self._store.folder.delete(folder)
 
     def _publish(self, version: Version, gone: Iterable[str], new: Iterable[str], **changes: Any) -> None:
         dropped, new = set(gone), tuple(new)
@@ -138,13 +155,14 @@ class Collection:
     def add(self, batch: Batch) -> None:
         """Add records; a record with a known id is left out."""
         version = self.version
-        rows = self._batch(batch)
-        facts = mutate.validate_batch(rows, version.dim)
-        if not facts.rows:
-            return
-        small = mutate.is_small(rows, facts)
-        fresh = mutate.unknown_rows(self._store.read(version), rows, small)
-        self._append(version, mutate.new_records(fresh, version.schema, version.next_batch), facts)
+        with self._batch(batch) as rows:
+            facts = mutate.validate_batch(rows, version.dim)
+            if not facts.rows:
+                return
+            small = mutate.is_small(rows, facts)
+            base = self._store.read(version)
+            fresh = mutate.unknown_rows(base, rows, small, not small and fits(base.select("id")))
+            self._append(version, mutate.new_records(fresh, version.schema, version.next_batch), facts)
 
     def _append(self, version: Version, rows: DataFrame, facts: mutate.BatchFacts, **changes: Any) -> None:
         new = self._store.write(rows, facts.bytes)
@@ -163,13 +181,13 @@ class Collection:
         A new text without a vector is embedded again if there is an embedding function.
         """
         version = self.version
-        rows = self._batch(batch)
-        facts = mutate.validate_batch(rows, version.dim, embedding_required=False)
-        small = mutate.is_small(rows, facts)
-        held = self._files_of(version, rows, small) if facts.rows else ()
-        if held:
-            changed = mutate.update(self._store.read(version, held), rows, small)
-            self._publish(version, held, self._store.write(changed), dim=version.dim or facts.dim)
+        with self._batch(batch) as rows:
+            facts = mutate.validate_batch(rows, version.dim, embedding_required=False)
+            small = mutate.is_small(rows, facts)
+            held = self._files_of(version, rows, small) if facts.rows else ()
+            if held:
+                changed = mutate.update(self._store.read(version, held), rows, small)
+                self._publish(version, held, self._store.write(changed), dim=version.dim or facts.dim)
 
     def upsert(self, batch: Batch, stream: tuple[str, int] | None = None) -> bool:
         """Change known records and add the others.
@@ -183,19 +201,20 @@ class Collection:
             if version.streams.get(stream[0], -1) >= stream[1]:
                 return False
             done = {"streams": {**version.streams, stream[0]: stream[1]}}
-        rows = self._batch(batch)
-        facts = mutate.validate_batch(rows, version.dim)
-        if not facts.rows:
-            return True
-        small = mutate.is_small(rows, facts)
-        held = self._files_of(version, rows, small)
-        if not held:
-            self._append(version, mutate.new_records(rows, version.schema, version.next_batch), facts, **done)
+        with self._batch(batch) as rows:
+            facts = mutate.validate_batch(rows, version.dim)
+            if not facts.rows:
+                return True
+            small = mutate.is_small(rows, facts)
+            held = self._files_of(version, rows, small)
+            if not held:
+                self._append(version, mutate.new_records(rows, version.schema, version.next_batch), facts, **done)
+                return True
+            base = self._store.read(version, held)
+            merged = mutate.upsert(base, rows, version.next_batch, small, not small and fits(base.select("id")))
+            new = self._store.write(merged)
+            self._publish(version, held, new, dim=version.dim or facts.dim, next_batch=version.next_batch + 1, **done)
             return True
-        merged = mutate.upsert(self._store.read(version, held), rows, version.next_batch, small)
-        new = self._store.write(merged)
-        self._publish(version, held, new, dim=version.dim or facts.dim, next_batch=version.next_batch + 1, **done)
-        return True
 
     def delete(self, ids: Ids | str = None, where: Filter = None, where_document: Filter = None) -> None:
         """Delete the records that match all given arguments."""

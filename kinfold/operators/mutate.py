@@ -8,6 +8,7 @@ one that is costly to compute should be checkpointed or stored first, as `Collec
 from __future__ import annotations
 
 import operator
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -70,6 +71,14 @@ def validate_batch(batch: DataFrame, dim: int | None = None, embedding_required:
     return BatchFacts(s["rows"], s["bytes"], s["low"] if s["vectors"] else None)
 
 
+def positions_serve(batch: DataFrame) -> bool:
+    """Whether the batch's `_pos` are whole numbers, none missing and none twice."""
+    if not isinstance(batch.schema["_pos"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return False
+    per_pos = batch.groupBy("_pos").agg(F.count(F.lit(1)).alias("n"))
+    return per_pos.agg(F.coalesce(F.max(F.when(F.col("_pos").isNull(), 2).otherwise(F.col("n"))), F.lit(0))).first()[0] <= 1
+
+
 def is_small(batch: DataFrame, facts: BatchFacts) -> bool:
     return facts.bytes <= broadcast_limit(batch.sparkSession)
 
@@ -123,36 +132,42 @@ def _is_odd(metadata: Column, promoted: list[str]) -> Column:
     return F.when(F.exists(keys, lambda k: k.isin(promoted)), F.lit(True)) if promoted else F.lit(None).cast("boolean")
 
 
-def new_records(batch: DataFrame, schema: T.StructType, batch_no: int) -> DataFrame:
-    """Batch rows as records of a collection: promoted keys out of the map, explicit nulls dropped."""
-    batch = with_all_metadata(batch, schema)
+def _record_columns(batch: DataFrame, schema: T.StructType, batch_no: int, of: Callable[[str], Column]) -> dict[str, Column]:
+    """Columns of a new record; `of` gives those of the batch, which has one metadata map."""
     have = set(batch.columns)
-    changes: dict[str, Column] = {"_batch": F.lit(batch_no).cast("bigint")}
+    out = {f.name: of(f.name) if f.name in have else F.lit(None) for f in schema.fields}
+    out["_batch"] = F.lit(batch_no)
     if "document" in have:
-        changes["document"] = empty_as_null(F.col("document"))
+        out["document"] = empty_as_null(of("document"))
     if "metadata" in have:
         columns = {}
         for f in schema.fields:
             if f.name not in RESERVED:
-                given = F.col("metadata")[F.lit(f.name)]
-                value = typed_slot(given, f.dataType)
-                old = F.col(f"`{f.name}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)
-                columns[f.name] = F.when(given.isNotNull(), value).otherwise(old)
-        changes |= columns
-        changes["metadata"] = _split(drop_nulls(F.col("metadata")), columns)
+                given = of("metadata")[F.lit(f.name)]
+                columns[f.name] = F.when(given.isNotNull(), typed_slot(given, f.dataType)).otherwise(out[f.name].cast(f.dataType))
+        out |= columns
+        out["metadata"] = _split(drop_nulls(of("metadata")), columns)
         if ODD in schema.fieldNames():
-            changes[ODD] = _is_odd(changes["metadata"], list(columns))
-    return conform(batch.withColumns(changes), schema)
+            out[ODD] = _is_odd(out["metadata"], list(columns))
+    return {f.name: out[f.name].cast(f.dataType) for f in schema.fields}
+
+
+def new_records(batch: DataFrame, schema: T.StructType, batch_no: int) -> DataFrame:
+    """Batch rows as records of a collection: promoted keys out of the map, explicit nulls dropped."""
+    batch = with_all_metadata(batch, schema)
+    columns = _record_columns(batch, schema, batch_no, lambda c: F.col(f"`{c}`"))
+    return batch.select(*[c.alias(n) for n, c in columns.items()])
 
 
-def unknown_rows(base: DataFrame, batch: DataFrame, small: bool) -> DataFrame:
+def unknown_rows(base: DataFrame, batch: DataFrame, small: bool, few: bool = False) -> DataFrame:
     """Batch rows whose id is not in the collection.
 
     A small batch first looks up which of its ids exist, a scan of the collection's id column;
-    the collection is not shuffled.
+    the collection is not shuffled. `few` says that the collection's ids can be broadcast: then a large batch is not either.
     """
     if not small:
-        return batch.join(base.select("id"), "id", "left_anti")
+        ids = base.select("id")
+        return batch.join(F.broadcast(ids) if few else ids, "id", "left_anti")
     known = base.select("id").join(F.broadcast(batch.select("id")), "id", "left_semi")
     return batch.join(F.broadcast(known), "id", "left_anti")
 
@@ -202,14 +217,29 @@ def update(base: DataFrame, batch: DataFrame, small: bool | None = None) -> Data
     return joined.select(*[changed.get(c, F.col(f"o.`{c}`")).alias(c) for c in base.columns])
 
 
-def upsert(base: DataFrame, batch: DataFrame, batch_no: int, small: bool | None = None) -> DataFrame:
+def upsert(base: DataFrame, batch: DataFrame, batch_no: int, small: bool | None = None, few: bool = False) -> DataFrame:
     """Change the records with known ids and append the others.
 
-    Both parts are those of :func:`update` and :func:`add`, whatever the size of the batch.
+    Both parts are those of :func:`update` and :func:`add`, whatever the size of the batch. Rows of a large batch move
+    once: only those with known ids if the collection's ids are `few` enough to be broadcast, else all in one join.
     """
     small = _small(batch, small)
-    fresh = unknown_rows(base, batch, small)
-    return update(base, batch, small).unionByName(new_records(fresh, base.schema, batch_no))
+    if not small and not few:
+        return _merged(base, batch, batch_no)
+    fresh = unknown_rows(base, batch, small, few)
+    known = batch if small else batch.join(F.broadcast(base.select("id")), "id", "left_semi")
+    return update(base, known, small).unionByName(new_records(fresh, base.schema, batch_no))
+
+
+def _merged(base: DataFrame, batch: DataFrame, batch_no: int) -> DataFrame:
+    """As :func:`upsert`, by one full join of two large sides."""
+    batch = with_all_metadata(batch, base.schema)
+    marked = base.withColumn("_known", F.lit(True))
+    joined = marked.alias("o").join(batch.alias("n"), F.col("o.id") == F.col("n.id"), "full")
+    changed = _changed(base, batch)
+    fresh = _record_columns(batch, base.schema, batch_no, lambda c: F.col(f"n.`{c}`"))
+    known = F.col("o._known").isNotNull()
+    return joined.select(*[F.when(known, changed.get(c, F.col(f"o.`{c}`"))).otherwise(fresh[c]).alias(c) for c in base.columns])
 
 
 def _id_column(ids: list[str]) -> Column:
