@@ -21,7 +21,7 @@ from kinfold.functions.filters import Filter, document_column, where_column
 from kinfold.functions.values import drop_nulls, from_json_text, merge, metadata_column, typed_slot, value_column
 from kinfold.operators.get import MAX_ID_LITERALS, Ids, ids_frame
 from kinfold.plans.sizing import broadcast_limit, fits, key_list, row_bytes
-from kinfold.schema import METADATA, ODD, ORDER, RESERVED, conform, empty_as_null, promoted_columns
+from kinfold.schema import METADATA, ODD, ORDER, RESERVED, empty_as_null, promoted_columns
 
 
 @dataclass(frozen=True)
